@@ -214,3 +214,173 @@ TOPK_CATEGORY_K = 3
     f"order by count(*) desc, category asc limit {TOPK_CATEGORY_K}"))
 def q_topk_category(spark, sf_dir):
     return search.top_k(search.complete_videos(fx.videos_fx(spark, sf_dir)), "category", TOPK_CATEGORY_K)
+
+
+# ---------------------------------------------------------------- ingest
+
+from vidgraph.functions import text as tx  # noqa: E402
+from vidgraph.operators import catalog, ingest  # noqa: E402
+from vidgraph.plans import duck  # noqa: E402
+from vidgraph.schema import VIDEOS_TEXT, RELATED_TEXT, VIDEOS_TYPED  # noqa: E402
+from vidgraph.session import scratch_path  # noqa: E402
+from vidgraph.sources import crawl, tables  # noqa: E402
+
+_ORDER = ["batch", "line_no"]
+
+
+@register("ingest_strip_outer_quotes", duck.with_lines("select batch, line_no, line from unq"))
+def q_ingest_strip_outer_quotes(spark, sf_dir):
+    rl = fx.raw_lines_fx(spark, sf_dir)
+    return rl.select("batch", "line_no", tx.strip_outer_quotes("value").alias("line"))
+
+
+@register("ingest_split_lines", duck.with_lines(
+    "select batch, line_no, len(f) as numFields, f[1] as firstField from lines"))
+def q_ingest_split_lines(spark, sf_dir):
+    lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
+    return lines.select("batch", "line_no", F.size("fields").alias("numFields"),
+                        F.col("fields")[0].alias("firstField"))
+
+
+@register("ingest_clean_id", duck.with_lines(
+    f"select batch, line_no, {duck.clean_id('f[1]')} as videoId, {duck.clean_id('f[10]')} as firstRelated, "
+    f"{duck.clean_id('f[11]')} as secondRelated from lines"))
+def q_ingest_clean_id(spark, sf_dir):
+    lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
+    f = F.col("fields")
+    return lines.select("batch", "line_no", tx.clean_id(F.get(f, 0)).alias("videoId"),
+                        tx.clean_id(F.get(f, 9)).alias("firstRelated"),
+                        tx.clean_id(F.get(f, 10)).alias("secondRelated"))
+
+
+@register("ingest_clean_cell", duck.with_lines(
+    f"select batch, line_no, {duck.clean_cell('f[2]')} as uploader, {duck.clean_cell('f[4]')} as category, "
+    f"{duck.clean_cell('f[6]')} as views from lines"))
+def q_ingest_clean_cell(spark, sf_dir):
+    lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
+    f = F.col("fields")
+    return lines.select("batch", "line_no", tx.clean_cell(F.get(f, 1)).alias("uploader"),
+                        tx.clean_cell(F.get(f, 3)).alias("category"),
+                        tx.clean_cell(F.get(f, 5)).alias("views"))
+
+
+@register("ingest_videos", duck.with_lines("select * from vt"))
+def q_ingest_videos(spark, sf_dir):
+    return ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir))
+
+
+@register("ingest_related", duck.with_lines("select * from rt"))
+def q_ingest_related(spark, sf_dir):
+    return ingest.parse_related(fx.raw_lines_fx(spark, sf_dir))
+
+
+@register("ingest_crawl_folders", duck.with_lines(
+    "select 'batch=' || cast(v.batch as varchar) as folder, v.numVideos, coalesce(r.numEdges, 0) as numEdges "
+    "from (select batch, count(*) as numVideos from vt group by batch) v "
+    "left join (select batch, count(*) as numEdges from rt group by batch) r on v.batch = r.batch"))
+def q_ingest_crawl_folders(spark, sf_dir):
+    """Crawl lines written by Spark as text files into one folder per batch
+    (same file names in each), then read back as crawl folders and parsed."""
+    root = scratch_path(spark, "crawl")
+    fx.raw_lines_fx(spark, sf_dir).select("batch", "value").write.partitionBy("batch").text(root)
+    raw = crawl.read_crawl(spark, root, layout="folders")
+    lines = ingest.parse_lines(raw)
+    v = ingest.videos_from_fields(lines).groupBy("folder").agg(F.count(F.lit(1)).alias("numVideos"))
+    e = ingest.related_from_fields(lines).groupBy("folder").agg(F.count(F.lit(1)).alias("numEdges"))
+    return (v.join(e, "folder", "left")
+            .select("folder", "numVideos", F.coalesce("numEdges", F.lit(0)).cast("bigint").alias("numEdges")))
+
+
+def _nulled(cols):
+    return ", ".join(f"nullif({c}, '') as {c}" for c in cols)
+
+
+@register("csv_roundtrip_videos", duck.with_lines(f"select {_nulled(VIDEOS_TEXT.fieldNames())} from vt"))
+def q_csv_roundtrip_videos(spark, sf_dir):
+    path = scratch_path(spark, "videos_csv")
+    tables.write_csv(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir)).select(*VIDEOS_TEXT.fieldNames()), path)
+    return tables.read_csv(spark, path, VIDEOS_TEXT)
+
+
+@register("csv_roundtrip_related", duck.with_lines(f"select {_nulled(RELATED_TEXT.fieldNames())} from rt"))
+def q_csv_roundtrip_related(spark, sf_dir):
+    path = scratch_path(spark, "related_csv")
+    tables.write_csv(ingest.parse_related(fx.raw_lines_fx(spark, sf_dir)).select(*RELATED_TEXT.fieldNames()), path)
+    return tables.read_csv(spark, path, RELATED_TEXT)
+
+
+# ---------------------------------------------------------------- catalogue
+
+@register("typed_videos_double", duck.with_lines(
+    "select videoId, uploader, category, "
+    + ", ".join(f"round({duck.finite_double(c)}, 6) as {c}" for c in ["views", "rating", "ratingCount", "commentCount"])
+    + " from vt"))
+def q_typed_videos_double(spark, sf_dir):
+    return rounded(catalog.type_videos_double(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir))))
+
+
+_GT_OUT = ", ".join(c if c != "rating" else "round(rating, 6) as rating" for c in _V_COLS)
+
+
+@register("typed_videos_graph", duck.with_lines(f"select batch, line_no, {_GT_OUT} from gt"))
+def q_typed_videos_graph(spark, sf_dir):
+    return rounded(catalog.type_videos_graph(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir)), keep=_ORDER))
+
+
+_LATEST = """
+select {cols} from (
+  select *, row_number() over (partition by videoId order by batch desc, line_no desc) as rn
+  from gt where videoId is not null {skip}) where rn = 1"""
+
+# Fixture parameter: the skip list holds the IDs of small parts.
+SKIP_SQL = "select 'v' || cast(p_partkey as string) as videoId from {part} where p_size <= 5"
+
+
+@register("upsert_videos", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
+def q_upsert_videos(spark, sf_dir):
+    return rounded(catalog.upsert_videos(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir)), order=_ORDER))
+
+
+@register("upsert_videos_skip_list", duck.with_lines(_LATEST.format(
+    cols=_GT_OUT, skip="and videoId not in (" + SKIP_SQL.format(part="part") + ")")))
+def q_upsert_videos_skip_list(spark, sf_dir):
+    skip = spark.sql(SKIP_SQL, part=fx.table(spark, sf_dir, "part"))
+    return rounded(catalog.upsert_videos(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir)),
+                                         order=_ORDER, skip_ids=skip))
+
+
+@register("upsert_related", _net_sql("select srcVideoId, dstVideoId from cat_edges", catalog=True))
+def q_upsert_related(spark, sf_dir):
+    return catalog.upsert_related(fx.related_fx(spark, sf_dir), fx.videos_fx(spark, sf_dir))
+
+
+@register("unique_violations", duck.with_lines(
+    "select videoId, count(*) as count from vt group by videoId having count(*) > 1"))
+def q_unique_violations(spark, sf_dir):
+    return catalog.unique_violations(ingest.parse_videos(fx.raw_lines_fx(spark, sf_dir)))
+
+
+@register("drop_null_endpoints", fx.with_fixtures(
+    "select srcVideoId, dstVideoId from related_fx where srcVideoId is not null and dstVideoId is not null",
+    "related_fx"))
+def q_drop_null_endpoints(spark, sf_dir):
+    return network.drop_null_endpoints(fx.related_fx(spark, sf_dir))
+
+
+@register("related_endpoints", fx.with_fixtures("select srcVideoId, dstVideoId from related_fx", "related_fx"))
+def q_related_endpoints(spark, sf_dir):
+    """Edges shaped like a graph-connector frame (``source.videoId``,
+    ``target.videoId`` as literal column names), projected back."""
+    r = fx.related_fx(spark, sf_dir)
+    conn = r.select(F.col("srcVideoId").alias("source.videoId"), F.col("dstVideoId").alias("target.videoId"))
+    return catalog.endpoints(conn)
+
+
+_V_FX_OUT = fx.with_fixtures(f"select {_V_OUT} from videos_fx", "videos_fx")
+
+
+@register("videos_catalog", _V_FX_OUT)
+def q_videos_catalog(spark, sf_dir):
+    path = scratch_path(spark, "videos_catalog")
+    tables.write_table(fx.videos_fx(spark, sf_dir), path)
+    return rounded(tables.read_table(spark, path, schema=VIDEOS_TYPED))
