@@ -384,3 +384,68 @@ def q_videos_catalog(spark, sf_dir):
     path = scratch_path(spark, "videos_catalog")
     tables.write_table(fx.videos_fx(spark, sf_dir), path)
     return rounded(tables.read_table(spark, path, schema=VIDEOS_TYPED))
+
+
+# ---------------------------------------------------------------- influence
+
+from vidgraph.operators import influence  # noqa: E402
+
+PR_RESET, PR_TOL, PR_TOP = 0.15, 0.01, 20
+_PR_OUT = ("v.videoId as id, v.uploader, v.age, v.category, v.length, v.views, round(v.rating, 6) as rating, "
+           "v.ratingCount, v.commentCount, round(r.pr * tot.n / tot.s, 6) as pagerank")
+
+
+def _pagerank_sql(tail: str = "") -> str:
+    return f"""with recursive videos_fx as ({fx.duck('videos_fx')}),
+related_fx as ({fx.duck('related_fx')}),
+ce as (select distinct srcVideoId as src, dstVideoId as dst from related_fx
+       where srcVideoId in (select videoId from videos_fx) and dstVideoId in (select videoId from videos_fx)),
+od as (select src, count(*) as deg from ce group by src),
+w as (select ce.src, ce.dst, 1.0 / od.deg as w from ce join od on ce.src = od.src),
+it(step, id, delta) as (
+  select 0, videoId, cast({PR_RESET} as double) from videos_fx
+  union all
+  select it.step + 1, w.dst, {1 - PR_RESET} * sum(it.delta * w.w)
+  from it join w on it.id = w.src where it.delta > {PR_TOL} group by it.step + 1, w.dst),
+r as (select id, sum(delta) as pr from it group by id),
+tot as (select sum(pr) as s, count(*) as n from r),
+res as (select {_PR_OUT} from videos_fx v join r on v.videoId = r.id cross join tot)
+select * from res {tail}"""
+
+
+def _pagerank_results(spark, sf_dir):
+    videos = fx.videos_fx(spark, sf_dir)
+    edges = catalog.upsert_related(fx.related_fx(spark, sf_dir), videos)
+    return influence.pagerank(videos, edges, PR_RESET, PR_TOL)
+
+
+@register("pagerank", _pagerank_sql())
+def q_pagerank(spark, sf_dir):
+    return rounded(_pagerank_results(spark, sf_dir))
+
+
+@register("pagerank_top", _pagerank_sql(f"order by pagerank desc, id asc limit {PR_TOP}"))
+def q_pagerank_top(spark, sf_dir):
+    return rounded(influence.influence_top(_pagerank_results(spark, sf_dir), PR_TOP))
+
+
+@register("pagerank_sink_roundtrip", _pagerank_sql())
+def q_pagerank_sink_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "pagerank_results")
+    tables.write_table(_pagerank_results(spark, sf_dir), path)
+    return rounded(tables.read_table(spark, path, schema=influence.RESULT_SCHEMA))
+
+
+@register("influence_top10", _pagerank_sql("order by pagerank desc, id asc limit 10"))
+def q_influence_top10(spark, sf_dir):
+    """Stored results read back as one property map per node, flattened, top 10."""
+    path = scratch_path(spark, "pagerank_results")
+    tables.write_table(influence.to_property_map(_pagerank_results(spark, sf_dir)), path)
+    flat = influence.flatten_properties(tables.read_table(spark, path), influence.RESULT_SCHEMA)
+    return rounded(influence.influence_top(flat, 10))
+
+
+@register("property_map_flatten", _V_FX_OUT)
+def q_property_map_flatten(spark, sf_dir):
+    maps = influence.to_property_map(fx.videos_fx(spark, sf_dir))
+    return rounded(influence.flatten_properties(maps, VIDEOS_TYPED))
