@@ -1,0 +1,78 @@
+"""Crawl lines -> videos/related (P1-P7), crawl folders (S1/S2), CSV round trip (K1/S3)."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from vidgraph.operators import ingest
+from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT
+from vidgraph.sources import crawl, tables
+
+
+def _raw(spark, lines):
+    return spark.createDataFrame([(1, i, v) for i, v in enumerate(lines)], "batch int, line_no long, value string")
+
+
+def test_skips_and_blank_line(spark):
+    v = ingest.parse_videos(_raw(spark, ['""', "", "  ", "v1"])).orderBy("line_no").collect()
+    assert [r.videoId for r in v] == ["", "v1"]
+
+
+def test_padding_and_related(spark):
+    lines = ["v1", "v2\ta\t1\tc\t2\t3\t4\t5\t6", "v3\ta\t1\tc\t2\t3\t4\t5\t6\tv4\t\t v5 \tv4\t\"\"", "\"v6\tu\""]
+    raw = _raw(spark, lines)
+    vids = {r.videoId: r for r in ingest.parse_videos(raw).collect()}
+    assert vids["v1"].uploader == "" and vids["v1"].commentCount == ""
+    assert vids["v6"].uploader == "u"
+    rel = sorted((r.srcVideoId, r.dstVideoId) for r in ingest.parse_related(raw).collect())
+    assert rel == [("v3", "v4"), ("v3", "v4"), ("v3", "v5")]
+
+
+def test_ingest_report(spark):
+    rep = ingest.ingest_report(_raw(spark, ['""', "", "v1\ta\t1\tc\t2\t3\t4\t5\t6\tv2\t\tv3", "bad�"])).first()
+    assert (rep.lines, rep.skipped, rep.badBytes, rep.videos, rep.edges) == (4, 2, 1, 2, 2)
+
+
+def _write(path, data: bytes):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data)
+
+
+def test_line_endings_files_layout(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/0.tsv", b"v1\nv2\r\nv3\rv4")
+    _write(f"{tmp_dir}/in/sub/1.tsv", b"nested\n")
+    raw = crawl.read_crawl(spark, f"{tmp_dir}/in", layout="files")
+    assert sorted(r.value for r in raw.collect()) == ["v1", "v2", "v3", "v4"]
+
+
+def test_crawl_folders(spark, tmp_dir):
+    root = f"{tmp_dir}/prep"
+    _write(f"{root}/a/0.tsv", "﻿v1\tx\n\"v2\"\n".encode())
+    _write(f"{root}/a/log.txt", b"crawl log line\n")
+    _write(f"{root}/b/0.tsv", b"v1\ty\n")
+    _write(f"{root}/b/log.txt", b"log\n")
+    _write(f"{root}/b/deeper/0.tsv", b"v9\n")
+    raw = crawl.read_crawl(spark, root)
+    got = sorted((r.folder, r.value) for r in raw.collect())
+    assert got == [("a", "\"v2\""), ("a", "v1\tx"), ("b", "v1\ty")]
+
+
+def test_csv_round_trip(spark, tmp_dir):
+    rows = [("v1", 'a, "b"', "1", "c", "2", "3", "4", "5", "6"),
+            ("v2", "", "1", None, "2", "3", "4", "5", "6"),
+            ("v3", " lead", "1", "c d", "2", "3", "4", "5", "6 ")]
+    df = spark.createDataFrame(rows, VIDEOS_TEXT)
+    tables.write_csv(df, f"{tmp_dir}/v")
+    back = {r.videoId: r for r in tables.read_csv(spark, f"{tmp_dir}/v", VIDEOS_TEXT).collect()}
+    assert back["v1"].uploader == 'a, "b"'
+    assert back["v2"].uploader is None and back["v2"].category is None
+    assert back["v3"].uploader == " lead" and back["v3"].commentCount == "6 "
+    with open([os.path.join(f"{tmp_dir}/v", f) for f in os.listdir(f"{tmp_dir}/v") if f.endswith(".csv")][0]) as fh:
+        assert fh.readline().strip() == ",".join(VIDEOS_TEXT.fieldNames())
+
+
+def test_related_csv(spark, tmp_dir):
+    df = spark.createDataFrame([("a", "b"), ("a", "b")], RELATED_TEXT)
+    tables.write_csv(df, f"{tmp_dir}/r", single_file=True)
+    assert tables.read_csv(spark, f"{tmp_dir}/r", RELATED_TEXT).count() == 2
