@@ -28,6 +28,9 @@ Plan at scale
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +88,27 @@ def weighted_edges(vertex_ids: DataFrame, edges: DataFrame, salt_size: int = SAL
     return w, vx.select("id", "salts")
 
 
+@contextmanager
+def _static_plan(spark):
+    """Plan one action without AQE, restoring the setting afterwards."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _partitioned_checkpoint(df: DataFrame, parts: int, keys: list[str]) -> DataFrame:
+    """Reliable checkpoint that keeps ``hashpartitioning(keys, parts)`` and the
+    sort on ``keys``, so joins on ``keys`` in later supersteps shuffle only the
+    other side.  (Under AQE the checkpointed plan reports no partitioning, and
+    every superstep would re-shuffle the whole edge table.)"""
+    with _static_plan(df.sparkSession):
+        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+
+
 def pagerank(
     vertices: DataFrame,
     edges: DataFrame,
@@ -109,12 +133,16 @@ def pagerank(
 
     verts = vertices.withColumnRenamed(id_col, "id")
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    w, vx = weighted_edges(verts.select("id"), e, salt_size)
-    w = w.repartition(parts, "src", "salt").sortWithinPartitions("src", "salt").checkpoint(eager=True)
-
+    w_raw, vx = weighted_edges(verts.select("id"), e, salt_size)
+    vx = vx.persist(StorageLevel.MEMORY_AND_DISK)
+    w_raw = w_raw.persist(StorageLevel.MEMORY_AND_DISK)
+    w_raw.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
+    w = _partitioned_checkpoint(w_raw, parts, ["src", "salt"])
     frontier = vx.select(
         "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
     ).checkpoint(eager=True)
+    w_raw.unpersist()
+    vx.unpersist()
     deltas = [frontier.select("id", "delta")]
     step = 0
     while max_iter is None or step < max_iter:
@@ -132,13 +160,17 @@ def pagerank(
                 (F.lit(1.0 - reset_probability) * F.col("mass")).alias("delta"),
                 "salts",
             )
-            .checkpoint(eager=True)
+            .persist(StorageLevel.MEMORY_AND_DISK)
         )
         step += 1
-        if nxt.isEmpty():
+        received = nxt.count()  # computes the superstep once; the checkpoint reads the cache
+        if received == 0:
+            nxt.unpersist()
             break
-        deltas.append(nxt.select("id", "delta"))
-        frontier = nxt
+        cut = nxt.checkpoint(eager=True)
+        nxt.unpersist()
+        deltas.append(cut.select("id", "delta"))
+        frontier = cut
 
     union = deltas[0]
     for d in deltas[1:]:
