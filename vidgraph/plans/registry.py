@@ -449,3 +449,23 @@ def q_influence_top10(spark, sf_dir):
 def q_property_map_flatten(spark, sf_dir):
     maps = influence.to_property_map(fx.videos_fx(spark, sf_dir))
     return rounded(influence.flatten_properties(maps, VIDEOS_TYPED))
+
+
+# ---------------------------------------------------------------- outputs
+
+from vidgraph.plans import jobs  # noqa: E402
+
+CATEGORY_SUMMARY_SCHEMA = T.StructType([
+    T.StructField("category", T.StringType()), T.StructField("numVideos", T.LongType()),
+    T.StructField("totalViews", T.DoubleType()), T.StructField("avgViews", T.DoubleType()),
+    T.StructField("avgRating", T.DoubleType()), T.StructField("avgOutDegree", T.DoubleType()),
+    T.StructField("avgInDegree", T.DoubleType()),
+])
+
+
+@register("network_outputs_roundtrip", _net_sql(_CAT_SQL.format(nd="node_deg")))
+def q_network_outputs_roundtrip(spark, sf_dir):
+    """The network job's three CSV outputs written, ``category_summary`` read back."""
+    out = scratch_path(spark, "network_out")
+    jobs.network_job(fx.videos_fx(spark, sf_dir), fx.related_fx(spark, sf_dir), out)
+    return rounded(tables.read_csv(spark, f"{out}/category_summary", CATEGORY_SUMMARY_SCHEMA))

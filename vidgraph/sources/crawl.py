@@ -33,15 +33,14 @@ def _path_part(p: str) -> str:
     return re.sub(_SCHEME, "", p).rstrip("/") or "/"
 
 
-def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folders") -> DataFrame:
-    """``folder, file, block, pos, value`` for every data line under ``roots``."""
+def crawl_lines(df: DataFrame, roots: list[str], layout: str) -> DataFrame:
+    """Keep data files at the layout's depth (no ``log.txt``) of a text scan
+    (batch or streaming) and add ``folder, file, block``."""
     if layout not in ("files", "folders"):
         raise ValueError("layout must be 'files' or 'folders'")
-    roots = [roots] if isinstance(roots, str) else list(roots)
     if not roots:
         raise ValueError("no crawl folder given")
     depth = 1 if layout == "files" else 2
-    df = spark.read.option("recursiveFileLookup", "true").text(roots)
     path = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "")
     keep = F.lit(False)
     for r in roots:
@@ -49,13 +48,21 @@ def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folde
         prefix = base if base.endswith("/") else base + "/"
         rel = F.substring(path, len(prefix) + 1, 1 << 30)
         keep = keep | (path.startswith(prefix) & (F.size(F.split(rel, "/")) == depth))
-    return (
-        df.where(keep & (F.col("_metadata.file_name") != LOG_FILE))
-        .select(
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("folder"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-            F.col("value"),
-        )
+    return df.where(keep & (F.col("_metadata.file_name") != LOG_FILE)).select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("folder"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value"),
     )
+
+
+def with_position(lines: DataFrame) -> DataFrame:
+    """Add ``pos``: increasing within each file split (taken before any shuffle)."""
+    return lines.select("folder", "file", "block", F.monotonically_increasing_id().alias("pos"), "value")
+
+
+def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folders") -> DataFrame:
+    """``folder, file, block, pos, value`` for every data line under ``roots``."""
+    roots = [roots] if isinstance(roots, str) else list(roots)
+    df = spark.read.option("recursiveFileLookup", "true").text(roots)
+    return with_position(crawl_lines(df, roots, layout))
