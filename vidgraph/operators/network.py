@@ -4,9 +4,10 @@ Scale notes
 * Degrees are ``groupBy(...).count()``: a partial (map-side) aggregate, so a
   hub with a third of all edges is collapsed inside each map task before the
   shuffle and never lands whole in one reducer.
-* The two left joins of ``node_degrees`` join the video table with one row per
-  key on the other side, so they cannot multiply rows or skew; whether a side
-  is broadcast is left to Spark's size-checked thresholds (AQE).
+* ``node_degrees`` computes both degrees in one aggregation and joins it to the
+  video table once; the degree side has one row per key, so the join cannot
+  multiply rows or skew.  Whether a side is broadcast is left to Spark's
+  size-checked thresholds (AQE measures the real size at run time).
 * ``global_metrics`` is one lazy plan: two one-row aggregates combined by a
   union and a final aggregate (no driver round trips, no cross join).
 """
@@ -57,15 +58,32 @@ def in_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col(DST).alias("videoId")).agg(F.count(F.lit(1)).alias("inDegree"))
 
 
+def degrees(edges: DataFrame) -> DataFrame:
+    """``videoId, outDegree, inDegree`` for every ID that ends an edge, in one
+    pass: each edge becomes its two endpoints, aggregated once (partial
+    aggregation), so the edge table is scanned and shuffled once, not twice."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col(SRC).alias("videoId"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+            F.struct(F.col(DST).alias("videoId"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+        )
+    )
+    return (
+        edges.select(ends.alias("e"))
+        .groupBy(F.col("e.videoId").alias("videoId"))
+        .agg(F.sum("e.o").cast("bigint").alias("outDegree"), F.sum("e.i").cast("bigint").alias("inDegree"))
+    )
+
+
 def node_degrees(videos: DataFrame, edges: DataFrame) -> DataFrame:
     """Every video row with its out- and in-degree (0 when it has none).
 
-    Degrees of IDs that are not videos are dropped by the left joins; only the
+    Degrees of IDs that are not videos are dropped by the left join (the
+    degree side is unique per key, so no video row is multiplied); only the
     two degree columns are defaulted to 0, other nulls stay.
     """
     return (
-        videos.join(out_degree(edges), "videoId", "left")
-        .join(in_degree(edges), "videoId", "left")
+        videos.join(degrees(edges), "videoId", "left")
         .withColumn("outDegree", F.coalesce(F.col("outDegree"), F.lit(0).cast("bigint")))
         .withColumn("inDegree", F.coalesce(F.col("inDegree"), F.lit(0).cast("bigint")))
     )
