@@ -21,6 +21,11 @@ Plan at scale
   to one row per bucket on the (small) frontier side, so no task holds more
   than about ``salt_size`` edges of one source.  Targets with many in-edges
   are summed by a partial aggregate.
+* Join strategy per superstep: the frontier's row count is known (it is
+  counted anyway), so a frontier of at most ``broadcast_rows`` rows is
+  broadcast and the edge table is only scanned; a larger one is shuffled to
+  the edge table's partitioning (merge join, edges neither shuffled nor
+  sorted).  The edge table itself is never broadcast.
 * Each frontier is cut from the lineage with a reliable ``checkpoint()`` (it
   survives executor loss); ranks are one final union + aggregate.  Only two
   scalars (N and the rank sum) and one emptiness flag per step reach the driver.
@@ -39,6 +44,10 @@ from vidgraph.schema import VIDEO_COLUMNS
 from vidgraph.session import checkpoint_dir
 
 SALT_SIZE = 200_000
+# Frontiers up to this many rows (counted each superstep: a proven bound,
+# about 50 bytes each) are broadcast to the edge table; larger ones are
+# shuffled to the edge table's partitioning.
+BROADCAST_ROWS = 200_000
 
 
 def _check(reset: float, tol: float, max_iter: int | None) -> None:
@@ -50,32 +59,42 @@ def _check(reset: float, tol: float, max_iter: int | None) -> None:
         raise ValueError("max_iter must be >= 0")
 
 
-def weighted_edges(vertex_ids: DataFrame, edges: DataFrame, salt_size: int = SALT_SIZE) -> tuple[DataFrame, DataFrame]:
-    """``(W, VX)``: W = ``src, salt, dst, w, dstSalts``; VX = ``id, salts`` per vertex.
-
-    ``vertex_ids`` has one column ``id``; ``edges`` has ``src, dst``.
-    """
+def distinct_edges(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """``src, dst, mult``: edges between known vertices, parallel ones counted."""
     ids = vertex_ids.select("id").where(F.col("id").isNotNull())
-    e = (
+    return (
         edges.select("src", "dst")
         .join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
         .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("mult"))
     )
-    deg = e.groupBy("src").agg(
+
+
+def vertex_salts(vertex_ids: DataFrame, dedup: DataFrame, salt_size: int = SALT_SIZE) -> DataFrame:
+    """``id, salts, outdeg`` for every vertex: salts = ceil(targets / salt_size), at least 1."""
+    deg = dedup.groupBy(F.col("src").alias("id")).agg(
         F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("targets")
     )
-    vx = ids.join(deg.withColumnRenamed("src", "id"), "id", "left").select(
-        "id",
-        F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("targets"), F.lit(0)) / F.lit(salt_size)))
-        .cast("int").alias("salts"),
-        F.coalesce(F.col("outdeg"), F.lit(0)).alias("outdeg"),
+    return (
+        vertex_ids.select("id").where(F.col("id").isNotNull())
+        .join(deg, "id", "left")
+        .select(
+            "id",
+            F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("targets"), F.lit(0)) / F.lit(salt_size)))
+            .cast("int").alias("salts"),
+            F.coalesce(F.col("outdeg"), F.lit(0)).alias("outdeg"),
+        )
     )
+
+
+def weighted_edges(dedup: DataFrame, vx: DataFrame) -> DataFrame:
+    """``src, salt, dst, w, dstSalts``: weight = mult / outdeg(src); the salt
+    spreads a source's edges over its buckets by a hash of the target."""
     src_side = vx.select(F.col("id").alias("src"), F.col("salts").alias("srcSalts"), "outdeg")
     dst_side = vx.select(F.col("id").alias("dst"), F.col("salts").alias("dstSalts"))
-    w = (
-        e.join(src_side, "src")
+    return (
+        dedup.join(src_side, "src")
         .join(dst_side, "dst")
         .select(
             "src",
@@ -85,7 +104,6 @@ def weighted_edges(vertex_ids: DataFrame, edges: DataFrame, salt_size: int = SAL
             "dstSalts",
         )
     )
-    return w, vx.select("id", "salts")
 
 
 @contextmanager
@@ -120,6 +138,7 @@ def pagerank(
     src_col: str = "srcVideoId",
     dst_col: str = "dstVideoId",
     salt_size: int = SALT_SIZE,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Vertices (``id_col`` renamed ``id``, other columns kept) + ``pagerank``.
 
@@ -133,15 +152,14 @@ def pagerank(
 
     verts = vertices.withColumnRenamed(id_col, "id")
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    w_raw, vx = weighted_edges(verts.select("id"), e, salt_size)
-    vx = vx.persist(StorageLevel.MEMORY_AND_DISK)
-    w_raw = w_raw.persist(StorageLevel.MEMORY_AND_DISK)
-    w_raw.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
-    w = _partitioned_checkpoint(w_raw, parts, ["src", "salt"])
+    dedup = distinct_edges(verts.select("id"), e).persist(StorageLevel.MEMORY_AND_DISK)
+    vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
+    received = vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
+    w = _partitioned_checkpoint(weighted_edges(dedup, vx), parts, ["src", "salt"])
     frontier = vx.select(
         "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
     ).checkpoint(eager=True)
-    w_raw.unpersist()
+    dedup.unpersist()
     vx.unpersist()
     deltas = [frontier.select("id", "delta")]
     step = 0
@@ -151,8 +169,12 @@ def pagerank(
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
             "delta",
         )
+        if received <= broadcast_rows:
+            joined = sends.hint("broadcast").join(w, ["src", "salt"])
+        else:
+            joined = sends.join(w.hint("merge"), ["src", "salt"])
         nxt = (
-            sends.join(w, ["src", "salt"])
+            joined
             .groupBy("dst")
             .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts"))
             .select(
