@@ -48,6 +48,8 @@ SALT_SIZE = 200_000
 # about 50 bytes each) are broadcast to the edge table; larger ones are
 # shuffled to the edge table's partitioning.
 BROADCAST_ROWS = 200_000
+# Edge rows per partition of the weighted edge table (about 40 bytes each).
+EDGES_PER_PARTITION = 4_000_000
 
 
 def _check(reset: float, tol: float, max_iter: int | None) -> None:
@@ -139,6 +141,7 @@ def pagerank(
     dst_col: str = "dstVideoId",
     salt_size: int = SALT_SIZE,
     broadcast_rows: int = BROADCAST_ROWS,
+    edges_per_partition: int = EDGES_PER_PARTITION,
 ) -> DataFrame:
     """Vertices (``id_col`` renamed ``id``, other columns kept) + ``pagerank``.
 
@@ -148,13 +151,13 @@ def pagerank(
     _check(reset_probability, tol, max_iter)
     spark = vertices.sparkSession
     checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     verts = vertices.withColumnRenamed(id_col, "id")
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
     dedup = distinct_edges(verts.select("id"), e).persist(StorageLevel.MEMORY_AND_DISK)
     vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
     received = vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
+    parts = max(1, -(-dedup.count() // edges_per_partition))  # sized by the data, not a session default
     w = _partitioned_checkpoint(weighted_edges(dedup, vx), parts, ["src", "salt"])
     frontier = vx.select(
         "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
