@@ -1,0 +1,76 @@
+"""Property and skew checks: hot keys stay exact and are pre-aggregated; random graphs."""
+
+import contextlib
+import io
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from vidgraph.operators import catalog, influence, ingest, network, search
+from test_influence import _reference_pagerank
+
+TEXT_COLS = "batch int, line_no long, value string"
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_hot_video_last_write_wins(spark):
+    n = 3000
+    rows = []
+    for i in range(n):
+        vid = "hot" if i % 3 == 0 else f"v{i}"
+        rows.append((1, i, f"{vid}\tu{i}\t{i}\tcat{i % 5}\t1\t{i}\t1.5\t2\t3"))
+    raw = spark.createDataFrame(rows, TEXT_COLS).repartition(8)
+    up = catalog.upsert_videos(ingest.parse_videos(raw), ["batch", "line_no"])
+    assert "partial_max_by" in _plan(up)
+    got = {r.videoId: r for r in up.collect()}
+    last_hot = max(i for i in range(n) if i % 3 == 0)
+    assert got["hot"].views == last_hot and got["hot"].uploader == f"u{last_hot}"
+    assert len(got) == 1 + sum(1 for i in range(n) if i % 3)
+
+
+def test_hot_source_degrees(spark):
+    edges = [("hub", f"v{i}") for i in range(2000)] + [(f"v{i}", "hub") for i in range(0, 2000, 2)]
+    e = spark.createDataFrame(edges, "srcVideoId string, dstVideoId string").repartition(8)
+    d = network.degrees(e)
+    assert "partial_sum" in _plan(d)
+    got = {r.videoId: (r.outDegree, r.inDegree) for r in d.collect()}
+    assert got["hub"] == (2000, 1000) and got["v0"] == (1, 1) and got["v1"] == (0, 1)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000))
+def test_random_graph_pagerank(spark, seed):
+    rnd = random.Random(seed)
+    n = rnd.randint(2, 12)
+    ids = [f"n{i}" for i in range(n)]
+    edges = [(rnd.choice(ids + ["ghost"]), rnd.choice(ids)) for _ in range(rnd.randint(0, 40))]
+    v = spark.createDataFrame([(i,) for i in ids], "videoId string")
+    e = spark.createDataFrame(edges, "srcVideoId string, dstVideoId string")
+    got = {r.id: r.pagerank for r in influence.pagerank(v, e, salt_size=rnd.choice([1, 2, 100])).collect()}
+    want = _reference_pagerank(ids, edges)
+    assert set(got) == set(ids)
+    assert abs(sum(got.values()) - n) < 1e-9
+    for k in ids:
+        assert abs(got[k] - want[k]) < 1e-9
+
+
+def test_topk_subset_of_complete_and_range_exclusive(spark):
+    rnd = random.Random(7)
+    rows = [(f"v{i}", rnd.choice(["u", None]), i, "c", 1, rnd.choice([None, rnd.randint(0, 50)]), 1.0, 1, 1)
+            for i in range(300)]
+    from vidgraph.schema import VIDEOS_TYPED
+    df = spark.createDataFrame(rows, VIDEOS_TYPED)
+    complete = {r.videoId for r in search.complete_videos(df).collect()}
+    top = [r for r in search.top_k(search.complete_videos(df), "views", 25).collect()]
+    assert {r.videoId for r in top} <= complete
+    assert [r.views for r in top] == sorted((r.views for r in top), reverse=True)
+    rng = search.find_in_range(df, "views", 10, 20, 1000).collect()
+    assert all(10 < r.views < 20 for r in rng)
+    assert len(rng) == sum(1 for r in rows if r[5] is not None and 10 < r[5] < 20)
