@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from vidgraph.plans import jobs
 from vidgraph.streaming import start_incremental_import
 
@@ -62,3 +64,27 @@ def test_streaming_import(spark, tmp_dir):
     vids = {r.videoId: r for r in cat.videos.collect()}
     assert vids["v1"].views == 99 and vids["v2"].views == 20
     assert sorted(map(tuple, cat.related.collect())) == [("v1", "v2")]
+
+
+def test_network_from_csv_with_optional_columns(spark, tmp_dir):
+    _write(f"{tmp_dir}/videos.csv",
+           "videoId,uploader,categoryId,category,metric1,views,rating,ratingCount,commentCount\n"
+           "v1,u,10,Music,2.5,100,4.5,7,3\nv2,u,10,Music,x,n/a,3.5,8,4\n")
+    _write(f"{tmp_dir}/related.csv", "srcVideoId,dstVideoId\nv1,v2\nv1,v2\nv2,v9\n,v1\n")
+    jobs.network_from_csv(spark, f"{tmp_dir}/videos.csv", f"{tmp_dir}/related.csv", f"{tmp_dir}/out")
+    nd = spark.read.options(header="true").csv(f"{tmp_dir}/out/node_degrees")
+    assert "categoryId" in nd.columns and "metric1" in nd.columns
+    rows = {r.videoId: r for r in nd.collect()}
+    assert rows["v1"].outDegree == "2" and rows["v2"].inDegree == "2" and rows["v2"].metric1 is None
+    gm = spark.read.options(header="true").csv(f"{tmp_dir}/out/global_metrics").first()
+    assert (gm.numVideos, gm.numEdges) == ("2", "3")
+
+
+def test_network_from_catalog_guard(spark, tmp_dir):
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/empty")
+    with pytest.raises(ValueError):
+        jobs.network_from_catalog(store, f"{tmp_dir}/out")
+    _write(f"{tmp_dir}/prep/a/0.tsv", _line("v1", 1, 10) + "\n")
+    store.import_crawl(f"{tmp_dir}/prep")
+    with pytest.raises(ValueError):
+        jobs.network_from_catalog(store, f"{tmp_dir}/out")   # no edges

@@ -72,3 +72,13 @@ def find_in_range(videos: DataFrame, field: str, start, end, n: int = 10) -> Dat
         .orderBy(F.desc(field), F.asc("videoId"))
         .limit(n)
     )
+
+
+def search_top_k(videos: DataFrame, field: str, k: int) -> DataFrame:
+    """Search entry: top-k over complete rows only (the catalogue as stored)."""
+    return top_k(complete_videos(videos), field, k)
+
+
+def search_range(videos: DataFrame, field: str, start, end, n: int = 10) -> DataFrame:
+    """Search entry: open-range search over complete rows only; ``n`` defaults to 10."""
+    return find_in_range(complete_videos(videos), field, start, end, n)

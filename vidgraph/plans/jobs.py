@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vidgraph.operators import catalog, influence, ingest, network
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TYPED
@@ -121,3 +122,24 @@ def influence_job(cat: Catalogue, results_path: str, *, reset: float = 0.15, tol
     stored = tables.read_table(cat.videos.sparkSession, results_path, schema=influence.RESULT_SCHEMA,
                                format=format, options=options)
     return influence.influence_top(stored, top)
+
+
+def network_from_csv(spark: SparkSession, videos_path: str, related_path: str, out_dir: str) -> None:
+    """Text entry: ``videos.csv`` + ``related.csv`` (all strings, header) -> three outputs.
+
+    Uses the raw edge multiset (duplicates and edges to unknown videos count).
+    Extra ``categoryId`` / ``metric1`` columns are carried along when present.
+    """
+    header = spark.read.options(header="true", escape='"').csv(videos_path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    videos = tables.read_csv(spark, videos_path, schema)
+    related = tables.read_csv(spark, related_path, RELATED_TEXT)
+    network_job(videos, related, out_dir)
+
+
+def network_from_catalog(store: CatalogStore, out_dir: str, version: int | None = None) -> None:
+    """Catalogue entry: de-duplicated, endpoint-checked edges; empty inputs raise."""
+    cat = store.read(version)
+    if cat is None:
+        raise ValueError("no catalogue found")
+    network_job(cat.videos, cat.related, out_dir, check_nonempty=True)
