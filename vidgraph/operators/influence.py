@@ -124,7 +124,9 @@ def _partitioned_checkpoint(df: DataFrame, parts: int, keys: list[str]) -> DataF
     """Reliable checkpoint that keeps ``hashpartitioning(keys, parts)`` and the
     sort on ``keys``, so joins on ``keys`` in later supersteps shuffle only the
     other side.  (Under AQE the checkpointed plan reports no partitioning, and
-    every superstep would re-shuffle the whole edge table.)"""
+    every superstep would re-shuffle the whole edge table.)  ``df`` should be
+    materialized (persisted) already: only the repartition and sort run with
+    AQE off, and the salted keys keep that repartition balanced."""
     with _static_plan(df.sparkSession):
         return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
 
@@ -157,11 +159,14 @@ def pagerank(
     dedup = distinct_edges(verts.select("id"), e).persist(StorageLevel.MEMORY_AND_DISK)
     vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
     received = vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
-    parts = max(1, -(-dedup.count() // edges_per_partition))  # sized by the data, not a session default
-    w = _partitioned_checkpoint(weighted_edges(dedup, vx), parts, ["src", "salt"])
+    w_raw = weighted_edges(dedup, vx).persist(StorageLevel.MEMORY_AND_DISK)
+    n_edges = w_raw.count()  # the joins run here, with AQE skew splitting for hot sources/targets
+    parts = max(1, -(-n_edges // edges_per_partition))  # sized by the data, not a session default
+    w = _partitioned_checkpoint(w_raw, parts, ["src", "salt"])
     frontier = vx.select(
         "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
     ).checkpoint(eager=True)
+    w_raw.unpersist()
     dedup.unpersist()
     vx.unpersist()
     deltas = [frontier.select("id", "delta")]
