@@ -34,6 +34,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    except Exception:  # noqa: BLE001 - key not readable in this session
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session.
 
@@ -42,16 +49,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     without it is an error: a machine-local folder would not survive the loss
     of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the server owns the folder
+        configured = _conf_checkpoint_dir(spark)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _conf_checkpoint_dir(spark)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError(
