@@ -238,7 +238,7 @@ def q_ingest_strip_outer_quotes(spark, sf_dir):
     "select batch, line_no, len(f) as numFields, f[1] as firstField from lines"))
 def q_ingest_split_lines(spark, sf_dir):
     lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
-    return lines.select("batch", "line_no", F.size("fields").alias("numFields"),
+    return lines.select("batch", "line_no", F.size("fields").cast("bigint").alias("numFields"),
                         F.col("fields")[0].alias("firstField"))
 
 
