@@ -3,8 +3,9 @@
 * ``import_crawl``  - crawl folders -> typed ``videos`` + ``related`` catalogue
   (optionally merged into an existing one, with a skip list).
 * ``CatalogStore``  - a catalogue kept as versioned Parquet folders
-  (``videos/version=N``, ``related/version=N``); a new import writes version
-  N+1 and never overwrites what it reads.
+  (``videos/version=N``, ``related/version=N``) plus a commit log
+  (``_versions``); a new import writes version N+1 and never overwrites what
+  it reads.
 * ``network_job``   - the three aggregation outputs as header CSV; the two
   small tables as one file each, ``node_degrees`` written by all tasks.
 * ``influence_job`` - PageRank over the catalogue, results stored, top list.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,12 +64,18 @@ class CatalogStore:
 
     def _versions(self) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(f"{self.path}/videos").select("version").distinct()
-        except Exception:  # noqa: BLE001 - no catalogue written yet
+            log = self.spark.read.schema("version bigint").parquet(f"{self.path}/_versions")
+            log.limit(1).collect()  # the folder may not exist yet
+            return log
+        except AnalysisException:
             return None
 
     def latest_version(self, before: int | None = None) -> int | None:
-        """Newest version number (only those ``< before`` when given)."""
+        """Newest committed version (only those ``< before`` when given).
+
+        Reads the small commit log, not the data folders, so the cost grows
+        with the number of versions, not with the catalogue.
+        """
         v = self._versions()
         if v is None:
             return None
@@ -85,10 +93,14 @@ class CatalogStore:
         return Catalogue(v, r)
 
     def write(self, cat: Catalogue, version: int, mode: str = "errorifexists") -> None:
+        """Write both tables of ``version``, then commit it to the log (a
+        version is visible only once both tables are complete)."""
         tables.write_table(cat.videos.select(*VIDEOS_TYPED.fieldNames()), f"{self.path}/videos/version={version}",
                            mode=mode)
         tables.write_table(cat.related.select(*RELATED_TEXT.fieldNames()), f"{self.path}/related/version={version}",
                            mode=mode)
+        marker = self.spark.createDataFrame([(version,)], "version bigint")
+        marker.coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
 
     def import_crawl(self, roots: str | list[str], *, layout: str = "folders",
                      skip_ids: DataFrame | None = None) -> int:
