@@ -29,8 +29,8 @@ def test_padding_and_related(spark):
 
 
 def test_ingest_report(spark):
-    rep = ingest.ingest_report(_raw(spark, ['""', "", "v1\ta\t1\tc\t2\t3\t4\t5\t6\tv2\t\tv3", "bad�"])).first()
-    assert (rep.lines, rep.skipped, rep.badBytes, rep.videos, rep.edges) == (4, 2, 1, 2, 2)
+    rep = ingest.ingest_report(_raw(spark, ['""', "", "v1\ta\t1\tc\t2\t3\t4\t5\t6\tv2\t\tv3", "ok"])).first()
+    assert (rep.lines, rep.skipped, rep.badBytes, rep.videos, rep.edges) == (4, 2, 0, 2, 2)
 
 
 def _write(path, data: bytes):
@@ -76,3 +76,31 @@ def test_related_csv(spark, tmp_dir):
     df = spark.createDataFrame([("a", "b"), ("a", "b")], RELATED_TEXT)
     tables.write_csv(df, f"{tmp_dir}/r", single_file=True)
     assert tables.read_csv(spark, f"{tmp_dir}/r", RELATED_TEXT).count() == 2
+
+
+def test_undecodable_bytes_counted(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/0.tsv", b"v1\xff\xfe\tx\nv2\n")
+    raw = crawl.read_crawl(spark, f"{tmp_dir}/in", layout="files")
+    rep = ingest.ingest_report(raw).first()
+    assert (rep.lines, rep.badBytes, rep.videos) == (2, 1, 2)
+    ids = sorted(r.videoId for r in ingest.parse_videos(raw).collect())
+    assert ids == ["v1\ufffd\ufffd", "v2"]
+
+
+def test_split_file_keeps_line_order(spark, tmp_dir):
+    n = 60_000
+    _write(f"{tmp_dir}/big/0.tsv", "".join(f"v{i % 7}\tu{i}\n" for i in range(n)).encode())
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(64 * 1024))
+    try:
+        raw = crawl.read_crawl(spark, f"{tmp_dir}/big", layout="files")
+        assert raw.rdd.getNumPartitions() > 5
+        ordered = [r.value for r in raw.orderBy("file", "block", "pos").select("value").collect()]
+        assert ordered == [f"v{i % 7}\tu{i}" for i in range(n)]
+        from vidgraph.operators import catalog
+        latest = {r.videoId: r.uploader for r in catalog.upsert_videos(
+            ingest.parse_videos(raw), crawl.ORDER_COLUMNS).collect()}
+        assert latest == {f"v{k}": f"u{max(i for i in range(n) if i % 7 == k)}" for k in range(7)}
+    finally:
+        spark.conf.set(key, before)

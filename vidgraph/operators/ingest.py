@@ -28,8 +28,12 @@ def _carry(df: DataFrame, *drop: str) -> list[str]:
 
 
 def parse_lines(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Provenance columns + ``fields`` (array of raw strings) for non-empty lines."""
-    line = strip_outer_quotes(F.col(value))
+    """Provenance columns + ``fields`` (array of raw strings) for non-empty lines.
+
+    Invalid UTF-8 byte sequences become U+FFFD (``make_valid_utf8``) instead of
+    ending the import; ``ingest_report`` counts such lines.
+    """
+    line = strip_outer_quotes(F.make_valid_utf8(F.col(value)))
     return (
         raw.select(*_carry(raw, value), line.alias("_line"))
         .where(F.col("_line") != "")
@@ -69,9 +73,9 @@ def parse_related(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def ingest_report(raw: DataFrame, value: str = "value") -> DataFrame:
-    """One row of counts: lines, skipped (empty after unquoting), lines with an
-    undecodable byte (U+FFFD), videos and related edges."""
-    line = strip_outer_quotes(F.col(value))
+    """One row of counts: lines, skipped (empty after unquoting), lines with
+    invalid UTF-8 (``badBytes``), videos and related edges."""
+    line = strip_outer_quotes(F.make_valid_utf8(F.col(value)))
     fields = split_fields(line)
     n_rel = F.size(
         F.filter(
@@ -82,7 +86,7 @@ def ingest_report(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(line == "", 1)).alias("skipped"),
-        F.count(F.when(F.col(value).contains("\ufffd"), 1)).alias("badBytes"),
+        F.count(F.when(~F.is_valid_utf8(F.col(value)), 1)).alias("badBytes"),
         F.count(F.when(line != "", 1)).alias("videos"),
         F.coalesce(F.sum(F.when(line != "", n_rel)), F.lit(0)).cast("bigint").alias("edges"),
     )

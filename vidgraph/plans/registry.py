@@ -469,3 +469,11 @@ def q_network_outputs_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "network_out")
     jobs.network_job(fx.videos_fx(spark, sf_dir), fx.related_fx(spark, sf_dir), out)
     return rounded(tables.read_csv(spark, f"{out}/category_summary", CATEGORY_SUMMARY_SCHEMA))
+
+
+@register("ingest_report", duck.with_lines(
+    "select (select count(*) from raw_lines_fx) as lines, (select count(*) from unq where line = '') as skipped, "
+    "(select count(*) from raw_lines_fx where contains(value, chr(65533))) as badBytes, "
+    "(select count(*) from lines) as videos, (select count(*) from rt) as edges"))
+def q_ingest_report(spark, sf_dir):
+    return ingest.ingest_report(fx.raw_lines_fx(spark, sf_dir))
