@@ -27,8 +27,9 @@ Plan at scale
   the edge table's partitioning (merge join, edges neither shuffled nor
   sorted).  The edge table itself is never broadcast.
 * Each frontier is cut from the lineage with a reliable ``checkpoint()`` (it
-  survives executor loss); ranks are one final union + aggregate.  Only two
-  scalars (N and the rank sum) and one emptiness flag per step reach the driver.
+  survives executor loss); ranks are one final union + aggregate.  Only
+  scalars reach the driver: the edge and vertex counts, one frontier row count
+  per superstep, and N and the rank sum for the final scaling.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ deleted.  Each line keeps its provenance: ``folder`` (crawl folder name),
 so ``(folder, file, block, pos)`` orders lines as they are in the files.
 
 The text reader splits on ``\\n``, ``\\r\\n`` and lone ``\\r`` and drops a BOM at
-the start of a file; undecodable bytes become U+FFFD (see ``ingest_report``).
+the start of a file.  Values keep invalid UTF-8 bytes as read; ``parse_lines``
+turns them into U+FFFD and ``ingest_report`` counts such lines.
 """
 
 from __future__ import annotations
