@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vidgraph.operators import network, search
+from vidgraph.functions import text as tx
+from vidgraph.operators import catalog, influence, ingest, network, search
+from vidgraph.plans import duck, jobs
 from vidgraph.plans import fixtures as fx
+from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
+from vidgraph.session import scratch_path
+from vidgraph.sources import crawl, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,8 +90,6 @@ def _raw_inputs(spark, sf_dir):
 
 
 def _catalog_inputs(spark, sf_dir):
-    from vidgraph.operators import catalog
-
     videos = fx.videos_fx(spark, sf_dir)
     edges = catalog.upsert_related(fx.related_fx(spark, sf_dir), videos)
     return network.aggregation_videos(videos), edges
@@ -218,12 +221,6 @@ def q_topk_category(spark, sf_dir):
 
 # ---------------------------------------------------------------- ingest
 
-from vidgraph.functions import text as tx  # noqa: E402
-from vidgraph.operators import catalog, ingest  # noqa: E402
-from vidgraph.plans import duck  # noqa: E402
-from vidgraph.schema import VIDEOS_TEXT, RELATED_TEXT, VIDEOS_TYPED  # noqa: E402
-from vidgraph.session import scratch_path  # noqa: E402
-from vidgraph.sources import crawl, tables  # noqa: E402
 
 _ORDER = ["batch", "line_no"]
 
@@ -388,7 +385,6 @@ def q_videos_catalog(spark, sf_dir):
 
 # ---------------------------------------------------------------- influence
 
-from vidgraph.operators import influence  # noqa: E402
 
 PR_RESET, PR_TOL, PR_TOP = 0.15, 0.01, 20
 _PR_OUT = ("v.videoId as id, v.uploader, v.age, v.category, v.length, v.views, round(v.rating, 6) as rating, "
@@ -453,7 +449,6 @@ def q_property_map_flatten(spark, sf_dir):
 
 # ---------------------------------------------------------------- outputs
 
-from vidgraph.plans import jobs  # noqa: E402
 
 CATEGORY_SUMMARY_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()), T.StructField("numVideos", T.LongType()),
