@@ -472,3 +472,24 @@ def q_network_outputs_roundtrip(spark, sf_dir):
     "(select count(*) from lines) as videos, (select count(*) from rt) as edges"))
 def q_ingest_report(spark, sf_dir):
     return ingest.ingest_report(fx.raw_lines_fx(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@register("streaming_import", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
+def q_streaming_import(spark, sf_dir):
+    """Crawl lines written by Spark as text (one folder per batch), imported by
+    the Structured Streaming job (one ``availableNow`` run), catalogue read back."""
+    from vidgraph.streaming import start_incremental_import
+
+    watch = scratch_path(spark, "watch")
+    fx.raw_lines_fx(spark, sf_dir).select("batch", "value").write.partitionBy("batch").text(watch)
+    store_path = scratch_path(spark, "stream_catalog")
+    q = start_incremental_import(spark, watch, store_path, scratch_path(spark, "stream_state"),
+                                 layout="folders", available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"streaming import failed: {q.exception()}")
+    cat = jobs.CatalogStore(spark, store_path).read()
+    return rounded(cat.videos)
