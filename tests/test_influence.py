@@ -63,8 +63,8 @@ def test_salting_matches_plain_rule(spark):
     edges += [(f"n{i}", f"n{(i * 7) % 40}") for i in range(1, 40)]
     edges += [(f"n{i}", "n0") for i in range(1, 40, 3)]      # hub target
     expected = _reference_pagerank(ids, edges)
-    for salt_size in (1, 3, 1000):
-        got = _pr(spark, ids, edges, salt_size=salt_size)
+    for salt_size, bcast, per_part in ((1, 0, 7), (3, 200_000, 4_000_000), (1000, 0, 1), (2, 5, 10)):
+        got = _pr(spark, ids, edges, salt_size=salt_size, broadcast_rows=bcast, edges_per_partition=per_part)
         assert set(got) == set(expected)
         for k in ids:
             assert got[k] == pytest.approx(expected[k], rel=1e-9)

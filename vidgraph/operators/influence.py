@@ -16,13 +16,14 @@ Plan at scale
 * The weighted edge table is built once, de-duplicated (parallel edges become
   a multiplicity), written to the shared checkpoint folder hash-partitioned by
   ``(src, salt)``; later supersteps re-use that partitioning.
-* Skew: a source with many out-edges is split into ``ceil(outdeg / salt_size)``
+* Skew: a source with many out-edges is split into ``ceil(targets / salt_size)``
   salt buckets (edges spread by a hash of their target); its delta is exploded
   to one row per bucket on the (small) frontier side, so no task holds more
   than about ``salt_size`` edges of one source.  Targets with many in-edges
   are summed by a partial aggregate.
-* Join strategy per superstep: the frontier's row count is known (it is
-  counted anyway), so a frontier of at most ``broadcast_rows`` rows is
+* Join strategy per superstep: the number of rows the frontier will send
+  (active vertices times their salt buckets) is computed with the frontier's
+  row count in one aggregate, so at most ``broadcast_rows`` sent rows are
   broadcast and the edge table is only scanned; a larger one is shuffled to
   the edge table's partitioning (merge join, edges neither shuffled nor
   sorted).  The edge table itself is never broadcast.
@@ -45,8 +46,8 @@ from vidgraph.schema import VIDEO_COLUMNS
 from vidgraph.session import checkpoint_dir
 
 SALT_SIZE = 200_000
-# Frontiers up to this many rows (counted each superstep: a proven bound,
-# about 50 bytes each) are broadcast to the edge table; larger ones are
+# Frontiers sending up to this many rows (counted each superstep: a proven
+# bound, about 50 bytes each) are broadcast to the edge table; larger ones are
 # shuffled to the edge table's partitioning.
 BROADCAST_ROWS = 200_000
 # Edge rows per partition of the weighted edge table (about 40 bytes each).
@@ -132,6 +133,15 @@ def _partitioned_checkpoint(df: DataFrame, parts: int, keys: list[str]) -> DataF
         return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
 
 
+def _frontier_size(frontier: DataFrame, tol: float) -> tuple[int, int]:
+    """(rows, rows it will send): one aggregate, two scalars to the driver."""
+    row = frontier.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("delta") > F.lit(tol), F.col("salts"))), F.lit(0)).alias("send"),
+    ).first()
+    return int(row["n"]), int(row["send"])
+
+
 def pagerank(
     vertices: DataFrame,
     edges: DataFrame,
@@ -159,7 +169,7 @@ def pagerank(
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
     dedup = distinct_edges(verts.select("id"), e).persist(StorageLevel.MEMORY_AND_DISK)
     vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
-    received = vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
+    vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
     w_raw = weighted_edges(dedup, vx).persist(StorageLevel.MEMORY_AND_DISK)
     n_edges = w_raw.count()  # the joins run here, with AQE skew splitting for hot sources/targets
     parts = max(1, -(-n_edges // edges_per_partition))  # sized by the data, not a session default
@@ -167,6 +177,7 @@ def pagerank(
     frontier = vx.select(
         "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
     ).checkpoint(eager=True)
+    _, to_send = _frontier_size(frontier, tol)
     w_raw.unpersist()
     dedup.unpersist()
     vx.unpersist()
@@ -178,7 +189,7 @@ def pagerank(
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
             "delta",
         )
-        if received <= broadcast_rows:
+        if to_send <= broadcast_rows:
             joined = sends.hint("broadcast").join(w, ["src", "salt"])
         else:
             joined = sends.join(w.hint("merge"), ["src", "salt"])
@@ -194,7 +205,7 @@ def pagerank(
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         step += 1
-        received = nxt.count()  # computes the superstep once; the checkpoint reads the cache
+        received, to_send = _frontier_size(nxt, tol)  # computes the superstep once; the checkpoint reads the cache
         if received == 0:
             nxt.unpersist()
             break
