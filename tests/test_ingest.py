@@ -104,3 +104,11 @@ def test_split_file_keeps_line_order(spark, tmp_dir):
         assert latest == {f"v{k}": f"u{max(i for i in range(n) if i % 7 == k)}" for k in range(7)}
     finally:
         spark.conf.set(key, before)
+
+
+def test_paths_with_blank_plus_and_umlaut(spark, tmp_dir):
+    root = f"{tmp_dir}/my crawl+1"
+    _write(f"{root}/f ä/0 1.tsv", b"v1\tx\n")
+    _write(f"{root}/f ä/log.txt", b"log\n")
+    got = [(r.folder, r.value) for r in crawl.read_crawl(spark, root).collect()]
+    assert got == [("f ä", "v1\tx")]

@@ -34,6 +34,12 @@ def _path_part(p: str) -> str:
     return re.sub(_SCHEME, "", p).rstrip("/") or "/"
 
 
+def _decoded_path():
+    """``_metadata.file_path`` is a URI (a blank is ``%20``); undo the
+    percent-encoding, keeping ``+`` (which form decoding would turn into a blank)."""
+    return F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def crawl_lines(df: DataFrame, roots: list[str], layout: str) -> DataFrame:
     """Keep data files at the layout's depth (no ``log.txt``) of a text scan
     (batch or streaming) and add ``folder, file, block``."""
@@ -42,7 +48,7 @@ def crawl_lines(df: DataFrame, roots: list[str], layout: str) -> DataFrame:
     if not roots:
         raise ValueError("no crawl folder given")
     depth = 1 if layout == "files" else 2
-    path = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "")
+    path = F.regexp_replace(_decoded_path(), _SCHEME, "")
     keep = F.lit(False)
     for r in roots:
         base = _path_part(r)
@@ -50,7 +56,7 @@ def crawl_lines(df: DataFrame, roots: list[str], layout: str) -> DataFrame:
         rel = F.substring(path, len(prefix) + 1, 1 << 30)
         keep = keep | (path.startswith(prefix) & (F.size(F.split(rel, "/")) == depth))
     return df.where(keep & (F.col("_metadata.file_name") != LOG_FILE)).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("folder"),
+        F.element_at(F.split(_decoded_path(), "/"), -2).alias("folder"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value"),
