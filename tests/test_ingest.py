@@ -2,6 +2,9 @@
 
 import os
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from pyspark.sql import functions as F
 
 from vidgraph.operators import ingest
@@ -112,3 +115,17 @@ def test_paths_with_blank_plus_and_umlaut(spark, tmp_dir):
     _write(f"{root}/f ä/log.txt", b"log\n")
     got = [(r.folder, r.value) for r in crawl.read_crawl(spark, root).collect()]
     assert got == [("f ä", "v1\tx")]
+
+
+CSV_ALPHABET = st.sampled_from(list(' ,"\t\\aä#;') + [" "])
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.text(alphabet=CSV_ALPHABET, max_size=6), min_size=200, max_size=200))
+def test_csv_round_trip_property(spark, tmp_path_factory, values):
+    path = str(tmp_path_factory.mktemp("csvprop") / "r")
+    rows = [(f"v{i}", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, RELATED_TEXT)
+    tables.write_csv(df, path)
+    back = dict((r.srcVideoId, r.dstVideoId) for r in tables.read_csv(spark, path, RELATED_TEXT).collect())
+    assert back == {k: (v if v != "" else None) for k, v in rows}
