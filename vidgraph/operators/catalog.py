@@ -12,7 +12,8 @@ Scale notes
 * The merge with an existing catalogue is a full outer join of two sides that
   are both unique per key (no multiplication, no skew).
 * Edge de-duplication is a partial aggregate on (src, dst); the endpoint
-  checks are semi joins, split by AQE when one source holds a large share.
+  checks are semi joins over the new edges only, split by AQE when one source
+  holds a large share.
 """
 
 from __future__ import annotations
@@ -108,19 +109,26 @@ def upsert_videos(
 def upsert_related(
     edges: DataFrame, videos: DataFrame, existing: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct (srcVideoId, dstVideoId) pairs whose both endpoints are videos."""
-    e = edges.select("srcVideoId", "dstVideoId").where(
-        F.col("srcVideoId").isNotNull() & F.col("dstVideoId").isNotNull()
+    """Distinct (srcVideoId, dstVideoId) pairs whose both endpoints are videos.
+
+    Only the new ``edges`` are checked against ``videos``: ``existing`` catalogue
+    edges already satisfy the rule (videos are never removed), so the existing
+    edge table is shuffled once, by the final de-duplication, not by the joins.
+    """
+    e = (
+        edges.select("srcVideoId", "dstVideoId")
+        .where(F.col("srcVideoId").isNotNull() & F.col("dstVideoId").isNotNull())
+        .dropDuplicates(["srcVideoId", "dstVideoId"])
     )
-    if existing is not None:
-        e = existing.select("srcVideoId", "dstVideoId").unionByName(e)
-    e = e.dropDuplicates(["srcVideoId", "dstVideoId"])
     ids = videos.select("videoId").where(F.col("videoId").isNotNull())
-    return (
+    e = (
         e.join(ids.withColumnRenamed("videoId", "srcVideoId"), "srcVideoId", "left_semi")
         .join(ids.withColumnRenamed("videoId", "dstVideoId"), "dstVideoId", "left_semi")
         .select("srcVideoId", "dstVideoId")
     )
+    if existing is None:
+        return e
+    return existing.select("srcVideoId", "dstVideoId").unionByName(e).dropDuplicates(["srcVideoId", "dstVideoId"])
 
 
 def unique_violations(videos: DataFrame) -> DataFrame:
