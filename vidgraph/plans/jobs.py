@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,17 +100,49 @@ class CatalogStore:
                            mode=mode)
         tables.write_table(cat.related.select(*RELATED_TEXT.fieldNames()), f"{self.path}/related/version={version}",
                            mode=mode)
+        self._commit(version)
+
+    def merge_lines(self, lines: DataFrame, order: list[str], version: int, *,
+                    existing: Catalogue | None = None, skip_ids: DataFrame | None = None,
+                    mode: str = "errorifexists") -> None:
+        """Merge parsed crawl lines (``ingest.parse_lines`` output with the
+        ``order`` columns) into ``existing`` and commit the result as ``version``.
+
+        Staged: the merged videos are written first; the new edges are then
+        checked against the *written* videos (only ``videoId`` is read back),
+        so the video merge runs once.  The parsed lines are persisted for the
+        two writes, so the crawl text is scanned once.
+        """
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            videos = catalog.upsert_videos(ingest.videos_from_fields(lines), order=order,
+                                           existing=existing.videos if existing else None, skip_ids=skip_ids)
+            vpath = f"{self.path}/videos/version={version}"
+            tables.write_table(videos.select(*VIDEOS_TYPED.fieldNames()), vpath, mode=mode)
+            written = tables.read_table(self.spark, vpath, schema=VIDEOS_TYPED)
+            related = catalog.upsert_related(ingest.related_from_fields(lines), written,
+                                             existing=existing.related if existing else None)
+            tables.write_table(related.select(*RELATED_TEXT.fieldNames()),
+                               f"{self.path}/related/version={version}", mode=mode)
+        finally:
+            lines.unpersist()
+        self._commit(version)
+
+    def _commit(self, version: int) -> None:
         marker = self.spark.createDataFrame([(version,)], "version bigint")
         marker.coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
 
     def import_crawl(self, roots: str | list[str], *, layout: str = "folders",
                      skip_ids: DataFrame | None = None) -> int:
-        """Merge a crawl into the latest version; returns the new version number."""
+        """Merge a crawl into the latest version; returns the new version number.
+
+        Lines are ordered by (folder, file, split, position): a later line wins.
+        """
         current = self.latest_version()
         existing = self.read(current) if current is not None else None
-        cat = import_crawl(self.spark, roots, layout=layout, existing=existing, skip_ids=skip_ids)
+        lines = ingest.parse_lines(crawl.read_crawl(self.spark, roots, layout=layout))
         new_version = 0 if current is None else current + 1
-        self.write(cat, new_version)
+        self.merge_lines(lines, crawl.ORDER_COLUMNS, new_version, existing=existing, skip_ids=skip_ids)
         return new_version
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vidgraph.operators import catalog, ingest
-from vidgraph.plans.jobs import Catalogue, CatalogStore
+from vidgraph.operators import ingest
+from vidgraph.plans.jobs import CatalogStore
 from vidgraph.sources import crawl
 
 
@@ -34,14 +34,9 @@ def crawl_stream(spark: SparkSession, watch_dir: str, *, layout: str = "files",
 def merge_batch(store: CatalogStore, batch: DataFrame, batch_id: int) -> None:
     """Merge one micro-batch of crawl lines into ``store`` as version ``batch_id``."""
     lines = ingest.parse_lines(crawl.with_position(batch).withColumn("batch", F.lit(batch_id)))
-    order = ["batch", "file", "block", "pos"]
     previous = store.latest_version(before=batch_id)
     existing = store.read(previous) if previous is not None else None
-    videos = catalog.upsert_videos(ingest.videos_from_fields(lines), order=order,
-                                   existing=existing.videos if existing else None)
-    related = catalog.upsert_related(ingest.related_from_fields(lines), videos,
-                                     existing=existing.related if existing else None)
-    store.write(Catalogue(videos, related), batch_id, mode="overwrite")
+    store.merge_lines(lines, ["batch", "file", "block", "pos"], batch_id, existing=existing, mode="overwrite")
 
 
 def start_incremental_import(spark: SparkSession, watch_dir: str, catalog_path: str, checkpoint_location: str,
