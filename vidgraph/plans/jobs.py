@@ -43,6 +43,8 @@ def import_crawl(
     """Parse every crawl line under ``roots`` and merge it into ``existing``.
 
     Lines are ordered by (folder, file, split, position): a later line wins.
+    Both results are lazy and share the video merge; to store them, use
+    ``CatalogStore.import_crawl``, which stages the writes so it runs once.
     """
     lines = ingest.parse_lines(crawl.read_crawl(spark, roots, layout=layout))
     videos = catalog.upsert_videos(
