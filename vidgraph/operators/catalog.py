@@ -88,8 +88,9 @@ def upsert_videos(
     """
     typed = type_videos_graph(new_text, keep=list(order))
     typed = typed.where(F.col("videoId").isNotNull())
-    typed = skip_listed(typed, skip_ids)
-    latest = latest_per_video(typed, list(order))
+    # Skipping is per ID, so it runs after the partial aggregate, on one row per
+    # video: a hot video is collapsed map-side before any shuffle by videoId.
+    latest = skip_listed(latest_per_video(typed, list(order)), skip_ids)
     if existing is None:
         return latest
     old = existing.select(*VIDEO_COLUMNS)

@@ -64,14 +64,21 @@ def _check(reset: float, tol: float, max_iter: int | None) -> None:
 
 
 def distinct_edges(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
-    """``src, dst, mult``: edges between known vertices, parallel ones counted."""
+    """``src, dst, mult``: edges between known vertices, parallel ones counted.
+
+    Counted first (partial aggregate: repeated pairs collapse map-side), then
+    the endpoint semi joins run on distinct pairs; nothing after them needs
+    their partitioning, so AQE may split a hot source or target.
+    """
     ids = vertex_ids.select("id").where(F.col("id").isNotNull())
     return (
         edges.select("src", "dst")
-        .join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-        .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        .where(F.col("src").isNotNull() & F.col("dst").isNotNull())
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("mult"))
+        .join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
+        .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        .select("src", "dst", "mult")
     )
 
 
