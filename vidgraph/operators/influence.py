@@ -176,9 +176,10 @@ def pagerank(
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
     dedup = distinct_edges(verts.select("id"), e).persist(StorageLevel.MEMORY_AND_DISK)
     vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
-    vx.count()  # edge clean-up runs once, with AQE (runtime broadcast / skew split)
     w_raw = weighted_edges(dedup, vx).persist(StorageLevel.MEMORY_AND_DISK)
-    n_edges = w_raw.count()  # the joins run here, with AQE skew splitting for hot sources/targets
+    # One job fills all three caches: edge clean-up and the weight joins run
+    # once, with AQE (runtime broadcast, skew splitting of hot sources/targets).
+    n_edges = w_raw.count()
     parts = max(1, -(-n_edges // edges_per_partition))  # sized by the data, not a session default
     w = _partitioned_checkpoint(w_raw, parts, ["src", "salt"])
     frontier = vx.select(
