@@ -88,3 +88,18 @@ def test_network_from_catalog_guard(spark, tmp_dir):
     store.import_crawl(f"{tmp_dir}/prep")
     with pytest.raises(ValueError):
         jobs.network_from_catalog(store, f"{tmp_dir}/out")   # no edges
+
+
+def test_format_options_passthrough(spark, tmp_dir):
+    from vidgraph.operators import influence
+    from vidgraph.sources import tables
+
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/catalog")
+    _write(f"{tmp_dir}/prep/a/0.tsv", "\n".join([_line("v1", 1, 10, ["v2"]), _line("v2", 1, 20, ["v1"])]) + "\n")
+    store.import_crawl(f"{tmp_dir}/prep")
+    top = jobs.influence_job(store.read(), f"{tmp_dir}/results_json", format="json",
+                             options={"compression": "none"}, top=2).collect()
+    assert [r.id for r in top] == ["v1", "v2"]
+    assert any(f.endswith(".json") for f in os.listdir(f"{tmp_dir}/results_json"))
+    back = tables.read_table(spark, f"{tmp_dir}/results_json", schema=influence.RESULT_SCHEMA, format="json")
+    assert back.count() == 2
