@@ -488,7 +488,9 @@ def q_streaming_import(spark, sf_dir):
     store_path = scratch_path(spark, "stream_catalog")
     q = start_incremental_import(spark, watch, store_path, scratch_path(spark, "stream_state"),
                                  layout="folders", available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(900):
+        q.stop()
+        raise TimeoutError("streaming import did not finish within 900 s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming import failed: {q.exception()}")
     cat = jobs.CatalogStore(spark, store_path).read()
