@@ -5,7 +5,6 @@ import os
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql import functions as F
 
 from vidgraph.operators import ingest
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT
