@@ -388,7 +388,7 @@ def q_videos_catalog(spark, sf_dir):
 
 PR_RESET, PR_TOL, PR_TOP = 0.15, 0.01, 20
 _PR_OUT = ("v.videoId as id, v.uploader, v.age, v.category, v.length, v.views, round(v.rating, 6) as rating, "
-           "v.ratingCount, v.commentCount, round(r.pr * tot.n / tot.s, 6) as pagerank")
+           "v.ratingCount, v.commentCount, round(r.pr * (select n from tot) / (select s from tot), 6) as pagerank")
 
 
 def _pagerank_sql(tail: str = "") -> str:
@@ -405,7 +405,7 @@ it(step, id, delta) as (
   from it join w on it.id = w.src where it.delta > {PR_TOL} group by it.step + 1, w.dst),
 r as (select id, sum(delta) as pr from it group by id),
 tot as (select sum(pr) as s, count(*) as n from r),
-res as (select {_PR_OUT} from videos_fx v join r on v.videoId = r.id cross join tot)
+res as (select {_PR_OUT} from videos_fx v join r on v.videoId = r.id)
 select * from res {tail}"""
 
 
