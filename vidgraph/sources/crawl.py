@@ -5,8 +5,9 @@ Layouts
 * ``"folders"`` - every file one level below each root (``root/<crawl>/<file>``),
   so several crawls can reuse file names; deeper files are skipped.
 
-Files named ``log.txt`` are never read as data.  Nothing is moved, renamed or
-deleted.  Each line keeps its provenance: ``folder`` (crawl folder name),
+Files named ``log.txt`` are never read as data, and, as everywhere in Spark,
+files whose names start with ``_`` or ``.`` (commit markers, checksums) are not
+listed.  Nothing is moved, renamed or deleted.  Each line keeps its provenance: ``folder`` (crawl folder name),
 ``file`` (full path), ``block`` (start offset of its split) and ``pos``
 (``monotonically_increasing_id`` taken on the scan, increasing within a split),
 so ``(folder, file, block, pos)`` orders lines as they are in the files.
