@@ -103,3 +103,26 @@ def test_format_options_passthrough(spark, tmp_dir):
     assert any(f.endswith(".json") for f in os.listdir(f"{tmp_dir}/results_json"))
     back = tables.read_table(spark, f"{tmp_dir}/results_json", schema=influence.RESULT_SCHEMA, format="json")
     assert back.count() == 2
+
+
+def test_micro_batch_replay_is_idempotent(spark, tmp_dir):
+    from vidgraph.sources import crawl
+    from vidgraph.streaming.incremental import merge_batch
+
+    _write(f"{tmp_dir}/w/0.tsv", "\n".join([_line("v1", 1, 10, ["v2"]), _line("v2", 1, 20)]) + "\n")
+    _write(f"{tmp_dir}/w2/1.tsv", _line("v1", 2, 30, ["v2", "v2"]) + "\n")
+
+    def batch(folder):
+        df = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_dir}/{folder}")
+        return crawl.crawl_lines(df, [f"{tmp_dir}/{folder}"], "files")
+
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/cat")
+    merge_batch(store, batch("w"), 0)
+    first = sorted(map(tuple, store.read(0).videos.collect()))
+    merge_batch(store, batch("w"), 0)   # replay after a failure
+    assert sorted(map(tuple, store.read(0).videos.collect())) == first
+    merge_batch(store, batch("w2"), 1)
+    cat = store.read()
+    vids = {r.videoId: r for r in cat.videos.collect()}
+    assert store.latest_version() == 1 and vids["v1"].views == 30 and vids["v2"].views == 20
+    assert sorted(map(tuple, cat.related.collect())) == [("v1", "v2")]
