@@ -94,3 +94,8 @@ def test_property_map_round_trip(spark):
     back = sorted(map(tuple, influence.flatten_properties(maps, schema).collect()))
     assert back == [("a", 3, 0.25), ("b", None, 1.5)]
     assert not any(math.isnan(x[2]) for x in back)
+
+
+def test_repeated_vertex_rows(spark):
+    pr = _pr(spark, ["a", "b", "a"], [("a", "b"), ("b", "a")])
+    assert pr == {"a": pytest.approx(1.0), "b": pytest.approx(1.0)}

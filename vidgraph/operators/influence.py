@@ -88,7 +88,7 @@ def vertex_salts(vertex_ids: DataFrame, dedup: DataFrame, salt_size: int = SALT_
         F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("targets")
     )
     return (
-        vertex_ids.select("id").where(F.col("id").isNotNull())
+        vertex_ids.select("id").where(F.col("id").isNotNull()).distinct()
         .join(deg, "id", "left")
         .select(
             "id",
@@ -165,8 +165,8 @@ def pagerank(
 ) -> DataFrame:
     """Vertices (``id_col`` renamed ``id``, other columns kept) + ``pagerank``.
 
-    ``vertices`` must be unique by ``id_col`` (a catalogue is).  ``max_iter``
-    (default: none, run to convergence) bounds the supersteps.
+    Each distinct ID is one vertex (a repeated vertex row gets the same rank);
+    ``max_iter`` (default: none, run to convergence) bounds the supersteps.
     """
     _check(reset_probability, tol, max_iter)
     spark = vertices.sparkSession
