@@ -9,7 +9,9 @@ Scale notes
   multiply rows or skew.  Whether a side is broadcast is left to Spark's
   size-checked thresholds (AQE measures the real size at run time).
 * ``global_metrics`` is one lazy plan: two one-row aggregates combined by a
-  union and a final aggregate (no driver round trips, no cross join).
+  union and a final aggregate (no driver round trips, no cross join); the
+  edge count comes from the degree table (sum of out-degrees), so the edges
+  are scanned once per network run.
 """
 
 from __future__ import annotations
@@ -75,28 +77,40 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
-def node_degrees(videos: DataFrame, edges: DataFrame) -> DataFrame:
+def node_degrees(videos: DataFrame, edges: DataFrame | None = None, *,
+                 degree_table: DataFrame | None = None) -> DataFrame:
     """Every video row with its out- and in-degree (0 when it has none).
 
     Degrees of IDs that are not videos are dropped by the left join (the
     degree side is unique per key, so no video row is multiplied); only the
-    two degree columns are defaulted to 0, other nulls stay.
+    two degree columns are defaulted to 0, other nulls stay.  ``degree_table``
+    (the output of ``degrees``) can be passed instead of ``edges`` to reuse it.
     """
+    deg = degree_table if degree_table is not None else degrees(edges)
     return (
-        videos.join(degrees(edges), "videoId", "left")
+        videos.join(deg, "videoId", "left")
         .withColumn("outDegree", F.coalesce(F.col("outDegree"), F.lit(0).cast("bigint")))
         .withColumn("inDegree", F.coalesce(F.col("inDegree"), F.lit(0).cast("bigint")))
     )
 
 
-def global_metrics(node_deg: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: numVideos, numEdges (all edge rows given), avgOutDegree, avgInDegree."""
+def global_metrics(node_deg: DataFrame, edges: DataFrame | None = None, *,
+                   degree_table: DataFrame | None = None) -> DataFrame:
+    """One row: numVideos, numEdges (all edge rows given), avgOutDegree, avgInDegree.
+
+    With ``degree_table`` (the output of ``degrees``) numEdges is the sum of
+    its out-degrees, which equals the number of edges, so the edge table is
+    not scanned again.
+    """
     videos_part = node_deg.agg(
         F.count(F.lit(1)).alias("numVideos"),
         F.avg("outDegree").alias("avgOutDegree"),
         F.avg("inDegree").alias("avgInDegree"),
     )
-    edges_part = edges.agg(F.count(F.lit(1)).alias("numEdges"))
+    if degree_table is not None:
+        edges_part = degree_table.agg(F.coalesce(F.sum("outDegree"), F.lit(0)).alias("numEdges"))
+    else:
+        edges_part = edges.agg(F.count(F.lit(1)).alias("numEdges"))
     both = videos_part.unionByName(edges_part, allowMissingColumns=True)
     return both.agg(
         F.max("numVideos").cast("bigint").alias("numVideos"),
@@ -149,9 +163,12 @@ class NetworkResult:
     node_degrees: DataFrame
     global_metrics: DataFrame
     category_summary: DataFrame
+    degree_table: DataFrame | None = None
 
     def unpersist(self) -> None:
         self.node_degrees.unpersist()
+        if self.degree_table is not None:
+            self.degree_table.unpersist()
 
 
 def run_network(videos: DataFrame, edges: DataFrame, *, check_nonempty: bool = False) -> NetworkResult:
@@ -165,5 +182,6 @@ def run_network(videos: DataFrame, edges: DataFrame, *, check_nonempty: bool = F
     e = drop_null_endpoints(edges.select(SRC, DST))
     if check_nonempty:
         require_nonempty(v, e)
-    nd = node_degrees(v, e).persist(StorageLevel.MEMORY_AND_DISK)
-    return NetworkResult(nd, global_metrics(nd, e), category_summary(nd))
+    deg = degrees(e).persist(StorageLevel.MEMORY_AND_DISK)
+    nd = node_degrees(v, degree_table=deg).persist(StorageLevel.MEMORY_AND_DISK)
+    return NetworkResult(nd, global_metrics(nd, degree_table=deg), category_summary(nd), deg)

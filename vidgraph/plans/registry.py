@@ -129,7 +129,8 @@ from {nd} group by category"""
 @register("global_metrics", _net_sql(_global_sql("node_deg", "raw_edges")))
 def q_global_metrics(spark, sf_dir):
     v, e = _raw_inputs(spark, sf_dir)
-    return rounded(network.global_metrics(network.node_degrees(v, e), e))
+    deg = network.degrees(e)
+    return rounded(network.global_metrics(network.node_degrees(v, degree_table=deg), degree_table=deg))
 
 
 @register("category_summary", _net_sql(_CAT_SQL.format(nd="node_deg")))
@@ -140,7 +141,8 @@ def q_category_summary(spark, sf_dir):
 @register("global_metrics_catalog", _net_sql(_global_sql("cat_node_deg", "cat_edges"), catalog=True))
 def q_global_metrics_catalog(spark, sf_dir):
     v, e = _catalog_inputs(spark, sf_dir)
-    return rounded(network.global_metrics(network.node_degrees(v, e), e))
+    deg = network.degrees(e)
+    return rounded(network.global_metrics(network.node_degrees(v, degree_table=deg), degree_table=deg))
 
 
 @register("category_summary_catalog", _net_sql(_CAT_SQL.format(nd="cat_node_deg"), catalog=True))
