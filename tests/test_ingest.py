@@ -128,3 +128,9 @@ def test_csv_round_trip_property(spark, tmp_path_factory, values):
     tables.write_csv(df, path)
     back = dict((r.srcVideoId, r.dstVideoId) for r in tables.read_csv(spark, path, RELATED_TEXT).collect())
     assert back == {k: (v if v != "" else None) for k, v in rows}
+
+
+def test_relative_root(spark, tmp_dir, monkeypatch):
+    _write(f"{tmp_dir}/prep/a/0.tsv", b"v1\tx\n")
+    monkeypatch.chdir(tmp_dir)
+    assert [r.value for r in crawl.read_crawl(spark, "prep").collect()] == ["v1\tx"]

@@ -19,6 +19,7 @@ turns them into U+FFFD and ``ingest_report`` counts such lines.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,18 @@ ORDER_COLUMNS = ["folder", "file", "block", "pos"]
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
+def resolve_root(p: str) -> str:
+    """A scheme-less relative root becomes absolute (from the working
+    directory); the same string is given to the reader and to the matching
+    below.  Roots on a cluster file system should be absolute URIs; glob
+    patterns are not roots."""
+    if not re.match(_SCHEME, p) and not p.startswith("/"):
+        return os.path.abspath(p)
+    return p
+
+
 def _path_part(p: str) -> str:
-    return re.sub(_SCHEME, "", p).rstrip("/") or "/"
+    return re.sub(_SCHEME, "", resolve_root(p)).rstrip("/") or "/"
 
 
 def _decoded_path():
@@ -71,6 +82,6 @@ def with_position(lines: DataFrame) -> DataFrame:
 
 def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folders") -> DataFrame:
     """``folder, file, block, pos, value`` for every data line under ``roots``."""
-    roots = [roots] if isinstance(roots, str) else list(roots)
+    roots = [resolve_root(r) for r in ([roots] if isinstance(roots, str) else list(roots))]
     df = spark.read.option("recursiveFileLookup", "true").text(roots)
     return with_position(crawl_lines(df, roots, layout))

@@ -25,6 +25,7 @@ from vidgraph.sources import crawl
 def crawl_stream(spark: SparkSession, watch_dir: str, *, layout: str = "files",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``folder, file, block, value`` rows of new crawl files."""
+    watch_dir = crawl.resolve_root(watch_dir)
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
