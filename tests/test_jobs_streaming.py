@@ -126,3 +126,16 @@ def test_micro_batch_replay_is_idempotent(spark, tmp_dir):
     vids = {r.videoId: r for r in cat.videos.collect()}
     assert store.latest_version() == 1 and vids["v1"].views == 30 and vids["v2"].views == 20
     assert sorted(map(tuple, cat.related.collect())) == [("v1", "v2")]
+
+
+def test_import_retry_after_crash_before_commit(spark, tmp_dir):
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/catalog")
+    _write(f"{tmp_dir}/prep/a/0.tsv", _line("v1", 1, 10, ["v2"]) + "\n" + _line("v2", 1, 20) + "\n")
+    assert store.import_crawl(f"{tmp_dir}/prep") == 0
+    # a crashed attempt at version 1: data written, never committed
+    junk = store.read(0)
+    junk.videos.write.parquet(f"{tmp_dir}/catalog/videos/version=1")
+    assert store.latest_version() == 0
+    _write(f"{tmp_dir}/more/b/0.tsv", _line("v3", 3, 5, ["v1"]) + "\n")
+    assert store.import_crawl(f"{tmp_dir}/more") == 1
+    assert store.read().videos.count() == 3 and store.read().related.count() == 2

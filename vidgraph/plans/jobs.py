@@ -144,7 +144,10 @@ class CatalogStore:
         existing = self.read(current) if current is not None else None
         lines = ingest.parse_lines(crawl.read_crawl(self.spark, roots, layout=layout))
         new_version = 0 if current is None else current + 1
-        self.merge_lines(lines, crawl.ORDER_COLUMNS, new_version, existing=existing, skip_ids=skip_ids)
+        # The new version is not committed yet, so leftovers of a failed
+        # attempt at it are invisible to readers and can be overwritten.
+        self.merge_lines(lines, crawl.ORDER_COLUMNS, new_version, existing=existing, skip_ids=skip_ids,
+                         mode="overwrite")
         return new_version
 
 
