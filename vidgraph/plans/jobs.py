@@ -60,7 +60,12 @@ def import_crawl(
 
 
 class CatalogStore:
-    """Versioned Parquet catalogue under ``path``."""
+    """Versioned Parquet catalogue under ``path``.
+
+    Readers see only committed versions.  One writer at a time: two imports
+    running at once would both build on the same version and race for the
+    next number (the streaming import is one writer by construction).
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
