@@ -124,3 +124,9 @@ def test_survives_lost_cache(spark, monkeypatch):
     assert got.keys() == expected.keys()
     for k in ids:
         assert got[k] == pytest.approx(expected[k], rel=1e-12)
+
+
+def test_trusted_edges_same_result(spark):
+    ids = [f"n{i}" for i in range(12)]
+    edges = sorted({(f"n{i}", f"n{(i * 5 + 1) % 12}") for i in range(12)} | {("n0", f"n{i}") for i in range(1, 12)})
+    assert _pr(spark, ids, edges, trusted_edges=True) == pytest.approx(_pr(spark, ids, edges))
