@@ -130,3 +130,34 @@ def test_trusted_edges_same_result(spark):
     ids = [f"n{i}" for i in range(12)]
     edges = sorted({(f"n{i}", f"n{(i * 5 + 1) % 12}") for i in range(12)} | {("n0", f"n{i}") for i in range(1, 12)})
     assert _pr(spark, ids, edges, trusted_edges=True) == pytest.approx(_pr(spark, ids, edges))
+
+
+def test_superstep_shuffles_only_the_frontier(spark):
+    """On the merge-join path the checkpointed edge table keeps its (src, salt)
+    partitioning and order: only the frontier side is exchanged and sorted."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    import vidgraph.operators.influence as inf
+
+    v = spark.createDataFrame([(f"n{i}",) for i in range(50)], "id string")
+    e = spark.createDataFrame([(f"n{i}", f"n{(i * 3) % 50}") for i in range(50)], "src string, dst string")
+    dedup = inf.distinct_edges(v, e).persist()
+    vx = inf.vertex_salts(v, dedup, 2).persist()
+    w = inf.weighted_edges(dedup, vx).persist()
+    w.count()
+    wp = inf._partitioned_checkpoint(w, 4, ["src", "salt"])
+    sends = vx.select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                      F.lit(0.15).alias("delta"))
+    step = sends.join(wp.hint("merge"), ["src", "salt"]).groupBy("dst").agg(F.sum("w").alias("m"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        step.explain()
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning(src") == 1
+    assert plan.count("Sort [src") == 1
+    for df in (w, vx, dedup):
+        df.unpersist()
