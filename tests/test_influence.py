@@ -149,8 +149,9 @@ def test_superstep_shuffles_only_the_frontier(spark):
     w = inf.weighted_edges(dedup, vx).persist()
     w.count()
     wp = inf._partitioned_checkpoint(w, 4, ["src", "salt"])
-    sends = vx.select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                      F.lit(0.15).alias("delta"))
+    frontier = vx.select("id", F.lit(0.15).alias("delta"), "salts").checkpoint()
+    sends = frontier.select(F.col("id").alias("src"),
+                            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "delta")
     step = sends.join(wp.hint("merge"), ["src", "salt"]).groupBy("dst").agg(F.sum("w").alias("m"))
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
