@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the crawler's log file, which is not data.
@@ -46,30 +46,53 @@ def _path_part(p: str) -> str:
     return re.sub(_SCHEME, "", resolve_root(p)).rstrip("/") or "/"
 
 
-def _decoded_path():
-    """``_metadata.file_path`` is a URI (a blank is ``%20``); undo the
-    percent-encoding, keeping ``+`` (which form decoding would turn into a blank)."""
-    return F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+# Characters a URI path keeps as they are; a root with any other character is
+# matched against the percent-decoded file path instead (slower, per line).
+_URI_SAFE = re.compile(r"^[A-Za-z0-9/._~!$&'()*+,;=:@-]*$")
+
+
+def _decoded(c: Column) -> Column:
+    """Undo percent-encoding, keeping ``+`` (form decoding would make it a blank)."""
+    return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def _depth_is(rel: Column, depth: int) -> Column:
+    """``rel`` (path below a root) has exactly ``depth`` segments; string
+    functions only, no regular expression or array per line."""
+    first = F.instr(rel, "/")
+    if depth == 1:
+        return first == 0
+    rest = F.substring(rel, first + 1, 1 << 30)
+    return (first > 0) & (F.instr(rest, "/") == 0)
 
 
 def crawl_lines(df: DataFrame, roots: list[str], layout: str) -> DataFrame:
     """Keep data files at the layout's depth (no ``log.txt``) of a text scan
-    (batch or streaming) and add ``folder, file, block``."""
+    (batch or streaming) and add ``folder, file, block``.
+
+    The checks use cheap string functions on ``_metadata.file_path`` (the root
+    is found with ``locate``, which sees it right after the scheme and
+    authority); percent-decoding runs only where a name needs it.
+    """
     if layout not in ("files", "folders"):
         raise ValueError("layout must be 'files' or 'folders'")
     if not roots:
         raise ValueError("no crawl folder given")
     depth = 1 if layout == "files" else 2
-    path = F.regexp_replace(_decoded_path(), _SCHEME, "")
+    uri = F.col("_metadata.file_path")
     keep = F.lit(False)
     for r in roots:
         base = _path_part(r)
         prefix = base if base.endswith("/") else base + "/"
-        rel = F.substring(path, len(prefix) + 1, 1 << 30)
-        keep = keep | (path.startswith(prefix) & (F.size(F.split(rel, "/")) == depth))
+        path = uri if _URI_SAFE.match(prefix) else _decoded(uri)
+        at = F.locate(prefix, path)
+        rel = F.substring(path, at + len(prefix), 1 << 30)
+        keep = keep | ((at > 0) & _depth_is(rel, depth))
+    folder = F.substring_index(F.substring_index(uri, "/", -2), "/", 1)
+    folder = F.when(F.instr(folder, "%") > 0, _decoded(folder)).otherwise(folder)
     return df.where(keep & (F.col("_metadata.file_name") != LOG_FILE)).select(
-        F.element_at(F.split(_decoded_path(), "/"), -2).alias("folder"),
-        F.col("_metadata.file_path").alias("file"),
+        folder.alias("folder"),
+        uri.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value"),
     )
