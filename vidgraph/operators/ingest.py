@@ -30,15 +30,15 @@ def _carry(df: DataFrame, *drop: str) -> list[str]:
 def parse_lines(raw: DataFrame, value: str = "value") -> DataFrame:
     """Provenance columns + ``fields`` (array of raw strings) for non-empty lines.
 
-    Invalid UTF-8 byte sequences become U+FFFD (``make_valid_utf8``) instead of
-    ending the import; ``ingest_report`` counts such lines.
+    A line is empty after unquoting exactly when, without its trailing CR/LF,
+    it is '' or ``""``; that cheap test is the filter, so the unquoting itself
+    runs once per kept line.  Invalid UTF-8 byte sequences become U+FFFD
+    (``make_valid_utf8``) instead of ending the import; ``ingest_report``
+    counts such lines.
     """
+    kept = raw.where(~F.rtrim(F.col(value), F.lit("\r\n")).isin("", '""'))
     line = strip_outer_quotes(F.make_valid_utf8(F.col(value)))
-    return (
-        raw.select(*_carry(raw, value), line.alias("_line"))
-        .where(F.col("_line") != "")
-        .select(*_carry(raw, value), split_fields("_line").alias("fields"))
-    )
+    return kept.select(*_carry(raw, value), split_fields(line).alias("fields"))
 
 
 def videos_from_fields(lines: DataFrame) -> DataFrame:
