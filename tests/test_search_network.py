@@ -85,3 +85,24 @@ def test_no_edges_and_guards(spark, videos):
         network.run_network(videos, empty, check_nonempty=True)
     with pytest.raises(ValueError):
         network.run_network(videos.limit(0), empty, check_nonempty=True)
+
+
+def _physical(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_top_k_plans_as_take_ordered(spark, tmp_dir, videos):
+    videos.write.parquet(f"{tmp_dir}/tk")
+    plan = _physical(search.search_top_k(spark.read.parquet(f"{tmp_dir}/tk"), "views", 3))
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
+def test_degrees_aggregate_edges_once(spark, tmp_dir, videos):
+    spark.createDataFrame([("a", "b"), ("b", "c")], "srcVideoId string, dstVideoId string").write.parquet(f"{tmp_dir}/e")
+    edges = spark.read.parquet(f"{tmp_dir}/e")
+    plan = _physical(network.node_degrees(network.aggregation_videos(videos), edges))
+    assert sum("partial_sum" in line for line in plan.splitlines()) == 1
+    assert plan.count("Scan parquet") == 1
