@@ -1,9 +1,10 @@
 """Network aggregation: degrees, global metrics and per-category metrics.
 
 Scale notes
-* Degrees are ``groupBy(...).count()``: a partial (map-side) aggregate, so a
-  hub with a third of all edges is collapsed inside each map task before the
-  shuffle and never lands whole in one reducer.
+* Degrees are partial (map-side) aggregates (``groupBy().count()`` for one
+  direction, ``degrees`` sums both at once), so a hub with a third of all
+  edges is collapsed inside each map task before the shuffle and never lands
+  whole in one reducer.
 * ``node_degrees`` computes both degrees in one aggregation and joins it to the
   video table once; the degree side has one row per key, so the join cannot
   multiply rows or skew.  Whether a side is broadcast is left to Spark's
