@@ -47,24 +47,27 @@ def _py_float(s):
     return f if f == f and abs(f) != float("inf") else None
 
 
-def _expected(lines):
+def _expected(lines, batches=None):
+    """Videos and edges after importing ``batches`` (lists of lines) in order;
+    each batch's edges are checked against the videos known after that batch."""
+    batches = batches if batches is not None else [lines]
     videos, edges = {}, set()
-    rows = []
-    for i, raw in enumerate(lines):
-        line = py_outer(raw)
-        if not line:
-            continue
-        f = line.split("\t")
-        f = f + [""] * (9 - len(f)) if len(f) < 9 else f
-        vid = py_id(f[0])
-        rows.append((i, vid, [py_cell(c) for c in f[1:9]], [py_id(d) for d in f[9:] if py_id(d)]))
-    for _, vid, attrs, _ in rows:          # in line order: later lines win
-        if vid:
-            videos[vid] = attrs
-    for _, vid, _, rel in rows:
-        for d in rel:
-            if vid in videos and d in videos:
-                edges.add((vid, d))
+    for batch in batches:
+        rows = []
+        for raw in batch:
+            line = py_outer(raw)
+            if not line:
+                continue
+            f = line.split("\t")
+            f = f + [""] * (9 - len(f)) if len(f) < 9 else f
+            rows.append((py_id(f[0]), [py_cell(c) for c in f[1:9]], [py_id(d) for d in f[9:] if py_id(d)]))
+        for vid, attrs, _ in rows:          # in line order: later lines win
+            if vid:
+                videos[vid] = attrs
+        for vid, _, rel in rows:
+            for d in rel:
+                if vid in videos and d in videos:
+                    edges.add((vid, d))
     typed = {}
     for vid, a in videos.items():
         nz = [x if x != "" else None for x in a]
@@ -85,3 +88,29 @@ def test_ingest_and_upsert_match_python(spark, seed):
     got_v = {r.videoId: tuple(r[c] for c in VIDEO_COLUMNS[1:]) for r in videos.collect()}
     assert got_v == want_v
     assert {tuple(r) for r in edges.collect()} == want_e
+
+
+def test_micro_batches_equal_one_import(spark, tmp_path):
+    import os
+
+    from vidgraph.plans.jobs import CatalogStore
+    from vidgraph.sources import crawl
+    from vidgraph.streaming.incremental import merge_batch
+
+    rnd = random.Random(11)
+    batches = [[_random_line(rnd) for _ in range(60)] for _ in range(3)]
+    batches[0].append("w1\tu\t1\tc\t2\t3\t4\t5\t6\tlate")   # target crawled only in batch 2:
+    batches[2].append("late\tu")                                  # this edge must stay out
+    store = CatalogStore(spark, str(tmp_path / "cat"))
+    for b, lines in enumerate(batches):
+        folder = tmp_path / f"in{b}"
+        os.makedirs(folder)
+        (folder / "0.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        df = spark.read.option("recursiveFileLookup", "true").text(str(folder))
+        merge_batch(store, crawl.crawl_lines(df, [str(folder)], "files"), b)
+    cat = store.read()
+    got_v = {r.videoId: tuple(r[c] for c in VIDEO_COLUMNS[1:]) for r in cat.videos.collect()}
+    want_v, want_e = _expected(None, batches)
+    assert store.latest_version() == 2
+    assert got_v == want_v
+    assert {tuple(r) for r in cat.related.collect()} == want_e
