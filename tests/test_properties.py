@@ -4,6 +4,8 @@ import contextlib
 import io
 import random
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -74,3 +76,37 @@ def test_topk_subset_of_complete_and_range_exclusive(spark):
     rng = search.find_in_range(df, "views", 10, 20, 1000).collect()
     assert all(10 < r.views < 20 for r in rng)
     assert len(rng) == sum(1 for r in rows if r[5] is not None and 10 < r[5] < 20)
+
+
+def test_random_network_metrics(spark):
+    import math
+
+    rnd = random.Random(5)
+    cats = ["Music", "Film", None]
+    vals = [1.0, 2.5, None, float("nan"), float("inf"), 7.0]
+    vids = [f"v{i}" for i in range(40)]
+    videos = [(v, "u", rnd.choice(cats), rnd.choice(vals), rnd.choice(vals), 1.0, 1.0) for v in vids]
+    edges = [(rnd.choice(vids + ["x"]), rnd.choice(vids + ["y", None])) for _ in range(120)]
+    vdf = spark.createDataFrame(videos, "videoId string, uploader string, category string, views double, "
+                                        "rating double, ratingCount double, commentCount double")
+    edf = spark.createDataFrame(edges, "srcVideoId string, dstVideoId string")
+    res = network.run_network(vdf, edf)
+    ok_edges = [(s, d) for s, d in edges if s is not None and d is not None]
+    out = {v: sum(1 for s, _ in ok_edges if s == v) for v in vids}
+    inn = {v: sum(1 for _, d in ok_edges if d == v) for v in vids}
+    g = res.global_metrics.first()
+    assert (g.numVideos, g.numEdges) == (40, len(ok_edges))
+    assert g.avgOutDegree == pytest.approx(sum(out.values()) / 40)
+
+    def finite(x):
+        return x if x is not None and math.isfinite(x) else None
+
+    for row in res.category_summary.collect():
+        members = [t for t in videos if t[2] == row.category]
+        views = [finite(t[3]) for t in members if finite(t[3]) is not None]
+        ratings = [finite(t[4]) for t in members if finite(t[4]) is not None]
+        assert row.numVideos == len(members)
+        assert row.totalViews == (pytest.approx(sum(views)) if views else None)
+        assert row.avgRating == (pytest.approx(sum(ratings) / len(ratings)) if ratings else None)
+        assert row.avgInDegree == pytest.approx(sum(inn[t[0]] for t in members) / len(members))
+    res.unpersist()
