@@ -40,3 +40,14 @@ def test_cli_commands(spark, tmp_dir, capsys):
     assert os.path.isdir(f"{tmp_dir}/net_csv/node_degrees")
     with pytest.raises(SystemExit):
         main(["top", "--catalog", f"{tmp_dir}/nothing", "--field", "views"])
+
+
+def test_cli_to_csv(spark, tmp_dir, capsys):
+    from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT
+    from vidgraph.sources import tables
+
+    _write(f"{tmp_dir}/input/0.tsv", '"v1\tu, x\t1\tMusic\t60\t100\t4.5\t7\t3\tv2\tv2"\n\nv2\n')
+    main(["to-csv", "--crawl", f"{tmp_dir}/input", "--videos-out", f"{tmp_dir}/v", "--related-out", f"{tmp_dir}/r"])
+    videos = {r.videoId: r for r in tables.read_csv(spark, f"{tmp_dir}/v", VIDEOS_TEXT).collect()}
+    assert videos["v1"].uploader == "u, x" and videos["v2"].uploader is None
+    assert sorted(map(tuple, tables.read_csv(spark, f"{tmp_dir}/r", RELATED_TEXT).collect())) == [("v1", "v2")] * 2

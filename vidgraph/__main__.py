@@ -1,6 +1,7 @@
 """Command line: ``python -m vidgraph <command> ...`` (or ``spark-submit vidgraph/__main__.py ...``).
 
 Commands
+  to-csv        --crawl DIR [--crawl DIR ...] --videos-out DIR --related-out DIR [--layout files|folders]
   import        --crawl DIR [--crawl DIR ...] --catalog DIR [--layout folders|files]
   network-csv   --videos CSV --related CSV --out DIR
   network       --catalog DIR --out DIR
@@ -27,6 +28,11 @@ if __package__ in (None, ""):  # run as a script by spark-submit
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="vidgraph")
     sub = p.add_subparsers(dest="command", required=True)
+    s = sub.add_parser("to-csv")
+    s.add_argument("--crawl", action="append", required=True)
+    s.add_argument("--videos-out", required=True)
+    s.add_argument("--related-out", required=True)
+    s.add_argument("--layout", choices=["folders", "files"], default="files")
     s = sub.add_parser("import")
     s.add_argument("--crawl", action="append", required=True)
     s.add_argument("--catalog", required=True)
@@ -78,7 +84,10 @@ def main(argv: list[str] | None = None) -> int:
     from vidgraph.sources import tables
 
     spark = SparkSession.builder.appName(f"vidgraph-{args.command}").getOrCreate()
-    if args.command == "import":
+    if args.command == "to-csv":
+        jobs.crawl_to_csv(spark, args.crawl, args.videos_out, args.related_out, layout=args.layout)
+        print(f"wrote {args.videos_out} and {args.related_out}")
+    elif args.command == "import":
         version = jobs.CatalogStore(spark, args.catalog).import_crawl(args.crawl, layout=args.layout)
         print(f"catalogue version {version} written under {args.catalog}")
     elif args.command == "network-csv":

@@ -1,5 +1,6 @@
 """End-to-end jobs built from the operators.
 
+* ``crawl_to_csv``  - crawl files -> ``videos`` / ``related`` CSV (the converter).
 * ``import_crawl``  - crawl folders -> typed ``videos`` + ``related`` catalogue
   (optionally merged into an existing one, with a skip list).
 * ``CatalogStore``  - a catalogue kept as versioned Parquet folders
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidgraph.operators import catalog, influence, ingest, network
-from vidgraph.schema import RELATED_TEXT, VIDEOS_TYPED
+from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
 from vidgraph.sources import crawl, tables
 
 
@@ -202,3 +203,15 @@ def network_from_catalog(store: CatalogStore, out_dir: str, version: int | None
     if cat is None:
         raise ValueError("no catalogue found")
     network_job(cat.videos, cat.related, out_dir, check_nonempty=True)
+
+
+def crawl_to_csv(spark: SparkSession, roots: str | list[str], videos_out: str, related_out: str, *,
+                 layout: str = "files") -> None:
+    """Converter: crawl files -> ``videos`` and ``related`` header CSV (text rows,
+    duplicates kept, as the converter writes them; outputs overwritten)."""
+    lines = ingest.parse_lines(crawl.read_crawl(spark, roots, layout=layout)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables.write_csv(ingest.videos_from_fields(lines).select(*VIDEOS_TEXT.fieldNames()), videos_out)
+        tables.write_csv(ingest.related_from_fields(lines).select(*RELATED_TEXT.fieldNames()), related_out)
+    finally:
+        lines.unpersist()
