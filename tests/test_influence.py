@@ -162,3 +162,13 @@ def test_superstep_shuffles_only_the_frontier(spark):
     assert plan.count("Sort [src") == 1
     for df in (w, vx, dedup):
         df.unpersist()
+
+
+def test_integer_vertex_ids(spark):
+    edges = [(i, (i * 3 + 1) % 20) for i in range(20)] + [(0, i) for i in range(1, 20)]
+    v = spark.createDataFrame([(i,) for i in range(20)], "videoId long")
+    e = spark.createDataFrame(edges, "srcVideoId long, dstVideoId long")
+    got = {r.id: r.pagerank for r in influence.pagerank(v, e, salt_size=3, broadcast_rows=0,
+                                                         edges_per_partition=7).collect()}
+    want = _reference_pagerank(list(range(20)), edges)
+    assert got == pytest.approx(want, rel=1e-12)
