@@ -1,8 +1,12 @@
 """Skew experiment for PageRank's salted edge table (a measurement, not a query).
 
-Builds a graph in which one source holds a third of all edge rows, then prints
-the partition sizes of the weighted edge table with and without salting, and
-checks that PageRank's ranks sum to N.  Usage: python tools/skew_check.py
+The graph is derived from the driver's tables: every order is a vertex, every
+line item an edge.  Line items with line number <= 2 are re-pointed to come
+from one hub order (``o0``) to their own order, so at sf0.1 the hub holds 29%
+of the edge rows and 19% of the distinct edges; the other line items link their
+order to another order.  Prints the partition sizes of the weighted edge
+table with and without salting, and checks that PageRank's ranks sum to N.
+Usage: python tools/skew_check.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -20,18 +24,28 @@ def main() -> None:
     from vidgraph.operators import influence
     from vidgraph.session import local_session
 
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
-    n_v, n_e, parts = 200_000, 1_500_000, 8
-    v = spark.range(n_v).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("id"))
-    e = spark.range(n_e).select(
-        F.when(F.col("id") % 3 == 0, F.lit("v0"))
-        .otherwise(F.concat(F.lit("v"), (F.col("id") * 7919 % n_v).cast("string"))).alias("src"),
-        F.concat(F.lit("v"), (F.col("id") * 104729 % n_v).cast("string")).alias("dst"),
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    n_orders = orders.count()
+    v = orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"))
+    hub_row = F.col("l_linenumber") <= 2
+    e = lineitem.select(
+        F.when(hub_row, F.lit("o0"))
+        .otherwise(F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))).alias("src"),
+        F.when(hub_row, F.concat(F.lit("o"), F.col("l_orderkey").cast("string")))
+        .otherwise(F.concat(F.lit("o"), F.pmod(F.col("l_orderkey") + F.col("l_partkey") * 7,
+                                                F.lit(n_orders)).cast("string"))).alias("dst"),
     )
+    salt_size, parts = 20_000, 8
     dedup = influence.distinct_edges(v, e).persist()
-    vx = influence.vertex_salts(v, dedup, salt_size=20_000).persist()
+    vx = influence.vertex_salts(v, dedup, salt_size=salt_size).persist()
     w = influence.weighted_edges(dedup, vx).persist()
-    print("distinct edges", w.count(), "| hub buckets", vx.where("id = 'v0'").first()["salts"])
+    hub = dedup.where("src = 'o0'").count()
+    hub_buckets = vx.where("id = 'o0'").first()["salts"]
+    print(f"edge rows {e.count()} | distinct edges {w.count()} | hub distinct edges {hub} | "
+          f"hub buckets {hub_buckets}")
 
     def sizes(df):
         return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
@@ -40,9 +54,9 @@ def main() -> None:
     print("partition sizes without salt", sizes(w.repartition(parts, "src")))
     t = time.perf_counter()
     res = influence.pagerank(v.withColumnRenamed("id", "videoId"), e.toDF("srcVideoId", "dstVideoId"),
-                             salt_size=20_000, edges_per_partition=200_000)
+                             salt_size=salt_size, edges_per_partition=80_000)
     total = res.agg(F.sum("pagerank")).first()[0]
-    print(f"pagerank: {res.count()} rows, rank sum {total:.6f} (N = {n_v}), {time.perf_counter() - t:.1f}s")
+    print(f"pagerank: {res.count()} rows, rank sum {total:.6f} (N = {n_orders}), {time.perf_counter() - t:.1f}s")
     spark.stop()
 
 
