@@ -1,0 +1,22 @@
+"""bench.py prints exactly one JSON line with the fields the driver reads."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1", BENCH_CPUS="2",
+               VIDGRAPH_DRIVER_MEMORY="2g")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, check=True).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and isinstance(d["value"], float)
+    assert set(d["queries"]) >= {"pagerank", "category_summary", "topk_views"}
+    assert abs(d["value"] - sum(d["queries"].values())) < 0.01
+    assert "error" not in d["e2e"]
