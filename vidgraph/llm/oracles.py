@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from vidgraph.llm.chat import END, SEP, STOP, TURN
+from vidgraph.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 # Runs of letters, digits and non-ASCII characters, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -32,4 +35,73 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
-ORACLES = {"op9_benchmark_decontamination": OP9}
+OP2 = """
+with sizes as (select source, sum(length(coalesce(text, '')) + 1)::double size from documents group by 1),
+rates as (select source, sqrt(size) / (select sum(sqrt(size)) from sizes) * (select sum(size) from sizes) / size rate
+  from sizes),
+parts as (select source, ceil(rate / 64)::int m, rate / ceil(rate / 64) mean from rates),
+cdf as (select source, k, sum(p) over (partition by source order by k) c from (
+  select source, k, exp(-mean) * pow(mean, k) / gamma(k + 1) p
+  from parts, (select unnest(generate_series(0, 160)) k))),
+draws as (select doc_id, text, source, ('0x' || substr(md5('42|' || doc_id || '|' || part), 1, 13))::bigint / 4503599627370496.0 u
+  from (select doc_id, text, source, unnest(generate_series(1, m)) part from documents join parts using (source))),
+copies as (select doc_id, any_value(text) as text, source, sum(n)::bigint n_copies from (
+  select doc_id, text, source, (select count(*) from cdf where cdf.source = draws.source and c <= u) n from draws)
+  group by doc_id, source)
+select md5('42|order|' || doc_id || '|' || copy) shuffle_key, doc_id, copy, n_copies, source, text
+from (select *, unnest(generate_series(1, n_copies)) copy from copies where n_copies > 0)
+"""
+
+_BODIES = r"\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|/?SYS>"
+
+
+def _escaped(text: str) -> str:
+    return f"regexp_replace({text}, '([<\\[])(\\\\*)({_BODIES})', '\\1\\\\\\2\\3', 'g')"
+
+
+OP4 = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') r, coalesce(text, '') x from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g as (select conv_id, count(*) n_turns, string_agg(r || chr(10) || x || chr(10), '' order by turn, r, x) turns,
+  coalesce(string_agg(x, '' order by turn, r, x) filter (where r = 'assistant'), '') loss,
+  sum(length({_escaped('r')}) + length({_escaped('x')}) + {len(TURN + SEP + END)}) + {len(STOP)} formatted_chars
+  from t group by conv_id)
+select conv_id, n_turns, sha256(turns) turns_sha256, length(loss)::bigint loss_chars, sha256(loss) loss_sha256,
+  formatted_chars::bigint formatted_chars
+from g
+"""
+
+
+def _values(rows) -> str:
+    return ", ".join("('" + "', '".join(r) + "')" for r in rows)
+
+
+OP10 = f"""
+with phrases(phrase, label) as (values {_values(PHRASES.items())}),
+templates as (select name, list_distinct({words('t')}) w from (values {_values(TEMPLATES.items())}) v(name, t)),
+d as (select doc_id, text, {words('text')} w from documents),
+places as (select doc_id, label, p - 1 at
+  from (select doc_id, w, label, string_split(phrase, ' ') f, unnest(generate_series(1, len(w))) p from d, phrases)
+  where w[p:p + len(f) - 1] = f),
+base as (select doc_id, count(*) n_base, min(at) first_word, max(at) last_word,
+  string_agg(distinct label, ',' order by label) base_labels, list(distinct label) labels from places group by 1),
+blocks as (select doc_id, {words('line')} b from (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line from documents)),
+found as (select doc_id, list(distinct name) labels, max(c) best from (
+  select doc_id, name, len(list_intersect(t.w, b)) / len(t.w) c from blocks, templates t)
+  where c >= {THRESHOLD} - 1e-9 group by 1)
+select doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word::bigint first_word,
+  last_word::bigint last_word, coalesce(base_labels, '') base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') labels,
+  case when n_base > 0 then 1.0::double else coalesce(best, 0)::double end score
+from d left join base using (doc_id) left join found using (doc_id)
+"""
+
+ORACLES = {
+    "op2_mixing": OP2,
+    "op4_chat_formatting": OP4,
+    "op9_benchmark_decontamination": OP9,
+    "op10_license_scan": OP10,
+}

@@ -6,8 +6,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidgraph.llm import decontaminate
-from vidgraph.llm.common import table
+from vidgraph.llm import chat, decontaminate, licenses, mixing
+from vidgraph.llm.common import scratch, table
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources at shares proportional to the square root of their size, one epoch."""
+    out = mixing.mix_sources(table(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
+    return out.select("shuffle_key", "doc_id", "copy", "n_copies", "source", "text")
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``conversations`` is a record of the turn-row layout."""
+    control = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  control.alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    records = rows.select("conv_id", F.col("turn").alias("seq"),
+                          F.to_variant_object(F.struct("role", "text")).alias("record"))
+    out = scratch(chat.format_chats(records), "chats")
+    turns, loss = chat.parse_turns(F.col("formatted")), chat.loss_texts(F.col("formatted"), F.col("loss_spans"))
+    read = out.select("conv_id", turns.alias("turns"), F.array_join(loss, "").alias("loss"),
+                      F.length("formatted").cast("bigint").alias("formatted_chars"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+                       F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       "formatted_chars")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,4 +42,12 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op9_benchmark_decontamination,)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                      F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_mixing, op4_chat_formatting, op9_benchmark_decontamination, op10_license_scan)}
