@@ -70,6 +70,10 @@ def _places(w: Column, phrase: str) -> Column:
     return F.when(F.array_contains(w, parts[-1]), F.filter(every, here)).otherwise(F.array().cast("array<int>"))
 
 
+def _labelled(places: Column, label: str) -> Column:
+    return F.transform(places, lambda at: F.struct(at.alias("at"), F.lit(label).alias("label")))
+
+
 def word_ranks(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """Rank of each template word by its number of documents, rarest first; the
     counts (one per template word) are all that reaches the driver."""
@@ -96,8 +100,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     least = min(needed.values(), default=0)
 
     def report(w: Column) -> Column:
-        places = [F.transform(_places(w, p), lambda at, name=name: F.struct(at.alias("at"), F.lit(name).alias("label")))
-                  for p, name in phrases.items()]
+        places = [_labelled(_places(w, phrase), label) for phrase, label in phrases.items()]
         # The block's template words, rarest first.
         lines = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(vocabulary, words(line)))
         blocks = F.filter(lines, lambda b: (F.size(b) >= least) & F.arrays_overlap(b, rare))

@@ -82,10 +82,10 @@ OP10 = f"""
 with phrases(phrase, label) as (values {_values(PHRASES.items())}),
 templates as (select name, list_distinct({words('t')}) w from (values {_values(TEMPLATES.items())}) v(name, t)),
 d as (select doc_id, text, {words('text')} w from documents),
-places as (select doc_id, label, p - 1 at
+places as (select doc_id, label, p - 1 spot
   from (select doc_id, w, label, string_split(phrase, ' ') f, unnest(generate_series(1, len(w))) p from d, phrases)
   where w[p:p + len(f) - 1] = f),
-base as (select doc_id, count(*) n_base, min(at) first_word, max(at) last_word,
+base as (select doc_id, count(*) n_base, min(spot) first_word, max(spot) last_word,
   string_agg(distinct label, ',' order by label) base_labels, list(distinct label) labels from places group by 1),
 blocks as (select doc_id, {words('line')} b from (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line from documents)),
