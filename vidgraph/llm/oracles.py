@@ -35,6 +35,18 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
+OP1 = f"""
+with t as (select doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents),
+l as (select doc_id, i, ls[i] line,
+    {LOWERED.format("trim(ls[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} k
+  from (select doc_id, ls, unnest(generate_series(1, len(ls))) i from t)),
+rep as (select k, max(doc_id) last from l where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+m as (select doc_id, i, line, last is not null and doc_id < last dropped from l left join rep using (k))
+select doc_id, count(*) n_lines, count(*) filter (where dropped) n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '')) kept_sha256
+from m group by doc_id
+"""
+
 OP2 = """
 with sizes as (select source, sum(length(coalesce(text, '')) + 1)::double size from documents group by 1),
 rates as (select source, sqrt(size) / (select sum(sqrt(size)) from sizes) * (select sum(size) from sizes) / size rate
@@ -100,6 +112,7 @@ from d left join base using (doc_id) left join found using (doc_id)
 """
 
 ORACLES = {
+    "op1_line_dedup": OP1,
     "op2_mixing": OP2,
     "op4_chat_formatting": OP4,
     "op9_benchmark_decontamination": OP9,

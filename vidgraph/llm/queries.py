@@ -6,16 +6,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidgraph.llm import chat, decontaminate, licenses, mixing
+from vidgraph.llm import chat, decontaminate, licenses, lines, mixing, simhash, token_files
 from vidgraph.llm.common import scratch, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources at shares proportional to the square root of their size, one epoch."""
     out = mixing.mix_sources(table(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
     return out.select("shuffle_key", "doc_id", "copy", "n_copies", "source", "text")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``conversations`` is a record of the turn-row layout."""
     control = F.lit("</s>[INST] ok [/INST]")
@@ -36,6 +46,12 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.token_folder(spark)
+    manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, token_files.default_tokenizer())
+    return token_files.read_index(manifest, folder)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items",
@@ -50,4 +66,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mixing, op4_chat_formatting, op9_benchmark_decontamination, op10_license_scan)}
+    op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op8_token_ids,
+    op9_benchmark_decontamination, op10_license_scan)}
