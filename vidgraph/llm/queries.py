@@ -6,7 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidgraph.llm import chat, decontaminate, licenses, lines, mixing, simhash, token_files
+from vidgraph.llm import (
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    lines,
+    mixing,
+    quality,
+    simhash,
+    token_files,
+)
 from vidgraph.llm.common import scratch, table
 
 
@@ -46,6 +56,15 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.token_folder(spark)
     manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, token_files.default_tokenizer())
@@ -66,5 +85,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op8_token_ids,
-    op9_benchmark_decontamination, op10_license_scan)}
+    op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op6_language_id,
+    op7_quality_classifier, op8_token_ids, op9_benchmark_decontamination, op10_license_scan)}
