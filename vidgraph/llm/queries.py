@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vidgraph.llm import (
     chat,
     decontaminate,
+    embeddings,
     language,
     licenses,
     lines,
@@ -56,6 +57,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -85,5 +91,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op6_language_id,
-    op7_quality_classifier, op8_token_ids, op9_benchmark_decontamination, op10_license_scan)}
+    op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op5_embedding_near_dedup,
+    op6_language_id, op7_quality_classifier, op8_token_ids, op9_benchmark_decontamination, op10_license_scan)}
