@@ -13,8 +13,8 @@ count is what the finished job returned, so a lost executor or a repeated task
 leaves only files that nothing names.
 
 Encoding: a byte-level BPE with spaces kept in front of words never joins text
-across a single space between two non-blanks, so a text is cut there and every
-distinct piece is encoded once per task.  The pieces' ids are the library's own.
+across a single space between two non-blanks, nor a word and the mark after it,
+so a text is cut there and every distinct piece is encoded once per task.  The pieces' ids are the library's own.
 Strings that name special tokens are ordinary text.
 
 Defined cases: null and empty texts give the end id only; null ids come first;
@@ -41,7 +41,9 @@ from vidgraph.llm.common import scratch, text_hash
 from vidgraph.session import scratch_path
 
 LENGTH, BATCH_ROWS = 2048, 64
-CACHE, CHUNK = 700_000, 1 << 20  # pieces a task remembers; characters encoded at a time
+CACHE, CHUNK = 700_000, 1 << 20  # pieces remembered; characters encoded at a time
+# Stand-ins for marks after a letter or digit, which are pieces of their own.
+MARKS = {"\x00": ",", "\x01": ".", "\x02": ".\n"}
 ASCII_BLANKS = "".join(chr(i) for i in range(128) if chr(i).isspace() and chr(i) != " ")
 OTHER_BLANKS = "".join(chr(i) for i in range(128, 0x3001) if chr(i).isspace())
 _ENCODERS: dict[str, Encoder] = {}
@@ -72,30 +74,31 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces.  Those without an inner space go through the library
         as one text: only a piece's first id then starts with a space."""
-        plain = [p for p in pieces if " " not in p]
+        plain = [p for p in pieces if p[:1] not in MARKS and " " not in p]
+        other = [p for p in pieces if p[:1] in MARKS or " " in p]
+        texts = [MARKS[p[0]] + p[1:] if p[:1] in MARKS else " " + p for p in other]
+        self.pieces.update(zip(other, self._whole(texts)))
         if plain:
             ids = np.frombuffer(self._whole([" " + " ".join(plain)])[0], self.dtype)
-            cuts = np.flatnonzero(self.spaced[ids])
             raw, size = ids.tobytes(), self.dtype.itemsize
-            bounds = [*(cuts * size).tolist(), len(raw)]
+            bounds = [*(np.flatnonzero(self.spaced[ids]) * size).tolist(), len(raw)]
             self.pieces.update(zip(plain, [raw[a:b] for a, b in zip(bounds, bounds[1:])], strict=True))
-        other = [p for p in pieces if " " in p]
-        if other:
-            self.pieces.update(zip(other, self._whole([" " + p for p in other])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of a few texts."""
-        cut = [t.split(" ") if _evenly_spaced(t) else _rejoined(t.split(" ")) for t in texts]
+        cut = [_pieces(t) for t in texts]
+        heads = self._whole([c[0] for c in cut])
+        for c in cut:
+            del c[0]
         if len(self.pieces) > CACHE:
             self.pieces.clear()
-        new = set().union(*[c[1:] for c in cut]).difference(self.pieces)
+        new = set().union(*cut).difference(self.pieces)
         if new:
-            self._learn(new)
-        heads = self._whole([c[0] for c in cut])
-        return [h + b"".join(map(self.pieces.__getitem__, c[1:])) for h, c in zip(heads, cut)]
+            self._learn(list(new))
+        return [h + b"".join(map(self.pieces.__getitem__, c)) for h, c in zip(heads, cut)]
 
     def encode_stream(self, texts: Iterator[str | None]) -> Iterator[bytes]:
         """The ids of many texts, a bounded number of characters at a time."""
@@ -110,6 +113,21 @@ class Encoder:
             yield from self.encode(held)
 
 
+def _pieces(text: str) -> list[str]:
+    """Cut where no token can reach across: at single spaces between non-blanks,
+    and before a comma or full stop that ends a word.  The first piece is as it
+    stands; the others follow a space, or start with one of ``MARKS``."""
+    if any(m in text for m in MARKS):
+        return [text]
+    if not _evenly_spaced(text):
+        return _rejoined(text.split(" "))
+    marked = text.replace(", ", " \x00 ").replace(". ", " \x01 ").replace(".\n", " \x02")
+    parts = marked.split(" ")
+    # A mark that follows anything but a letter or digit may share its token.
+    loose = [e for e in {p[-1:] for p in parts} if not e.isalnum()]
+    return text.split(" ") if any(f"{e} {m}" in marked for e in loose for m in MARKS) else parts
+
+
 def _evenly_spaced(text: str) -> bool:
     """No space has a blank (or nothing) beside it."""
     if "  " in text or text[:1] == " " or text[-1:] == " ":
@@ -249,7 +267,8 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
 def read_index(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files."""
     schema = f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint"
-    dealt = manifest.select("part", "tokens", "index", "first").repartition("part")
+    files = max(1, manifest.count())  # a task for every file; small rows stand for large files
+    dealt = manifest.select("part", "tokens", "index", "first").repartition(files, "part")
     return dealt.select("tokens", "index", "first").mapInArrow(lambda it: _read(it, folder), schema)
 
 
