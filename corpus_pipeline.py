@@ -5,26 +5,67 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vidgraph.llm import decontaminate as decontamination
-from vidgraph.llm.common import scratch, table
+from vidgraph.llm import mixing, quality, simhash, token_files
+from vidgraph.llm.common import quoted, scratch, table, text_hash
+
+
+def _columns(docs: DataFrame):
+    return [quoted(c) for c in docs.columns]
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores below 0.5 go."""
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 1").select(*_columns(docs))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (3-word shingles, 3 bits) one document stays:
+    the smallest id (a null id only where the group has no other), then the
+    smallest text hash; of equal rows one."""
+    found = simhash.near_duplicates(docs, shingle=3, radius=3).where("representative")
+    kept = scratch(found.select(F.col("doc_id").alias("__id"), F.col("xh").alias("__xh")).distinct(), "kept-documents")
+    xh = text_hash(F.col("text"))
+    named = docs.where(F.col("doc_id").isNotNull()).join(kept, (F.col("doc_id") == F.col("__id")) & (xh == F.col("__xh")))
+    named = named.dropDuplicates(["__id", "__xh"]).select(*_columns(docs))
+    nameless = docs.where(F.col("doc_id").isNull()).join(kept.where(F.col("__id").isNull()), xh == F.col("__xh"))
+    return named.unionByName(nameless.dropDuplicates(["__xh"]).select(*_columns(docs)))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages (one word in twenty or more) go."""
     out = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return out.where("not contaminated").select(*docs.columns)
+    return out.where("not contaminated").select(*_columns(docs))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at shares proportional to the square root of their size, one epoch."""
+    return mixing.mix_sources(docs, alpha=0.5, epochs=1.0, seed=42).select(*_columns(docs))
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents and, read back from them, their index."""
+    folder = token_files.token_folder(spark)
+    manifest = token_files.write_tokens(docs, folder, token_files.default_tokenizer())
+    return token_files.read_index(manifest, folder, docs.schema["doc_id"].dataType.simpleString())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_classifier),
+    ("simhash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", source_mixing),
+    ("token ids", token_output),
 ]
-ORACLE_SQL = None  # later stages train models and write binary files; tested against brute force
+ORACLE_SQL = None  # trains a model, takes XXH64 fingerprints and writes binary files; tested against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each works on what the one before kept."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").replace("/", ""))
+        docs = scratch(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidgraph.llm.common import scratch
+from vidgraph.llm.common import scratch, text_hash
 from vidgraph.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -60,15 +60,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(2)), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], names=["doc_id", "xh", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed number) per row."""
+    """``doc_id, xh, fp`` per row: a hash of the text that tells rows of one
+    ``doc_id`` apart, and the fingerprint's 64 bits as a signed number."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(lambda it: _fingerprints(it, shingle), f"doc_id {kind}, fp bigint")
+    rows = docs.select("doc_id", text_hash(F.col("text")).alias("xh"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(lambda it: _fingerprints(it, shingle), f"doc_id {kind}, xh bigint, fp bigint")
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -171,13 +172,18 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id`` per row of ``docs`` (``doc_id, text``):
-    the smallest ``doc_id`` reachable by links of ``radius`` or fewer bits."""
+    """``doc_id, xh, fp, component_id, representative`` per row of ``docs``
+    (``doc_id, text``): the smallest ``doc_id`` reachable by links of ``radius`` or
+    fewer bits, and whether the row is the one that stands for its component
+    (smallest id, then text hash; equal rows all are)."""
     rows = scratch(fingerprints(docs, shingle), "fingerprints")
-    nodes = scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    lowest = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "xh")
+    nodes = scratch(rows.groupBy("fp").agg(F.min(lowest).alias("low")), "distinct-fingerprints")
     roots = components(near_links(nodes.select("fp"), radius))
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = scratch(named.select("fp", "root").join(lows, "root").select("fp", "component_id"), "fingerprint-components")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    lows = named.groupBy("root").agg(F.min("low").alias("low"))
+    named = scratch(named.select("fp", "root").join(lows, "root").select("fp", "low"), "fingerprint-components")
+    first = F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("xh") == F.col("low.xh"))
+    return rows.join(named, "fp").select(
+        "doc_id", "xh", "fp", F.col("low.doc_id").alias("component_id"), first.alias("representative"))
