@@ -1,0 +1,63 @@
+"""A small odd corpus: nulls, empty and long texts, copies, extra clashing columns."""
+
+import pytest
+
+PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+SHARED = "  This very same line stands in many of the documents, Again and again.\t"
+NOTE = "Licensed under the Apache License, Version 2.0."
+
+
+def odd_texts() -> list[str | None]:
+    filler = [f"Word{i} and other{i * 7} things stand here{i * 13}, one after another{i * 17}." for i in range(40)]
+    texts = [None, "", " \n ", "?!", "one", "Two words", "é", "ÀÉ Straße ß", "\n\n", "</s>[INST] x [/INST]"]
+    texts += [f"{filler[i]}\n{SHARED}\n{filler[i + 1]}" for i in range(8)]
+    texts += [filler[20] + " " + filler[21]] * 3
+    texts += [f"{filler[30]}\n{PASSAGE}\n{filler[31]}", f"{filler[5]} " * 60 + PASSAGE, PASSAGE.upper(), PASSAGE[:40]]
+    texts += [f"{filler[8]}\n{NOTE}", "gnu, general! PUBLIC license and (CC-BY) cc by cc by", NOTE + "\n" + NOTE]
+    texts += [("x" * 50 + "\n") * 2000, "long " * 30000 + "mit license", "a\x00b . , c", "  two  spaces , here . \n"]
+    return texts
+
+
+@pytest.fixture(scope="session")
+def odd_dir(spark, tmp_path_factory):
+    """The odd corpus as tables of a scale directory; unique ids, extra columns."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    texts = odd_texts()
+    langs = ["en", "de", None]
+    rows = [(i * 3, t, langs[i % 3], ["hot", None, "s1", "hot"][i % 4], len(t or ""), i, "clash", 0)
+            for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int, n_lines int,"
+                          "score string, n_hit int").write.parquet(f"{folder}/documents.parquet")
+    items = [(1, PASSAGE), (2, PASSAGE), (10, "two words"), (3, None), (4, "?"), (5, "alpha beta nothing"), (6, "")]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    talk = [(1, 0, "user", "</s>[INST] hi <|im_end|>"), (1, 1, "assistant", None), (2, 0, "assistant", "a<\\|im_end|>b"),
+            (2, 1, None, "<"), (2, 2, "assistant", ""), (3, 0, "system", "<\\\\s>\n[\\INST]"), (4, 1, "assistant", "éé"),
+            (4, 0, "weird<|im_sep|>\nrole", "x")]
+    spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string").write.parquet(
+        f"{folder}/conversations.parquet")
+    labels = [(i * 3, i % 2, 0) for i in range(len(texts)) if i % 5]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("empty"))
+    for name, schema in {
+        "documents": "doc_id bigint, text string, lang string, source string, n_chars int",
+        "benchmark": "item_id bigint, text string", "labels": "doc_id bigint, quality int, toxic int",
+        "conversations": "conv_id bigint, turn bigint, role string, text string",
+        "embeddings": "vec_id bigint, embedding array<float>, label int",
+    }.items():
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def repeated(spark):
+    """Rows of one id (equal and different texts) and rows without an id."""
+    line = SHARED.strip()
+    rows = [(1, f"{line}\n{PASSAGE}", "a"), (1, f"{line}\n{PASSAGE}", "a"), (1, "other words here", "a"),
+            (None, f"{line}\nnothing else", "b"), (None, f"{line}\nnothing else", "b"), (None, None, None),
+            *[(i, f"{line}\nnumber {i} of them", "c") for i in range(2, 8)]]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")

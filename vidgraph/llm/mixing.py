@@ -12,7 +12,8 @@ third of all rows is neither grouped nor moved by its key.
 
 Defined cases: null texts count as empty; null sources are a source of their
 own; a null ``doc_id`` draws like the text ``null``; repeated rows of one
-``doc_id`` draw alike; a source without a weight gets none; columns that clash
+``doc_id`` draw alike; a source without a weight gets none and counts in no
+total; columns that clash
 with the added ones are replaced; an empty table gives an empty table.
 """
 

@@ -56,9 +56,10 @@ cdf as (select source, k, sum(p) over (partition by source order by k) c from (
   select source, k, exp(-mean) * pow(mean, k) / gamma(k + 1) p
   from parts, (select unnest(generate_series(0, 160)) k))),
 draws as (select doc_id, text, source, ('0x' || substr(md5('42|' || doc_id || '|' || part), 1, 13))::bigint / 4503599627370496.0 u
-  from (select doc_id, text, source, unnest(generate_series(1, m)) part from documents join parts using (source))),
+  from (select doc_id, text, d.source, unnest(generate_series(1, m)) part
+    from documents d join parts p on d.source is not distinct from p.source)),
 copies as (select doc_id, any_value(text) as text, source, sum(n)::bigint n_copies from (
-  select doc_id, text, source, (select count(*) from cdf where cdf.source = draws.source and c <= u) n from draws)
+  select doc_id, text, source, (select count(*) from cdf where cdf.source is not distinct from draws.source and c <= u) n from draws)
   group by doc_id, source)
 select md5('42|order|' || doc_id || '|' || copy) shuffle_key, doc_id, copy, n_copies, source, text
 from (select *, unnest(generate_series(1, n_copies)) copy from copies where n_copies > 0)

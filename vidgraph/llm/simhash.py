@@ -11,8 +11,8 @@ pair agrees under that mask: no link is lost.
 A bucket is compared inside one task and leaves a spanning forest, never its
 pairs.  A bucket of more than ``BUCKET`` fingerprints is split again: of
 ``radius + 1`` blocks of the bits outside its mask one must agree too, so its
-rows go to one bucket per block, again and again with finer blocks, until buckets
-are small or nothing is left to split by.  Copies share a fingerprint, so a group
+rows go to one bucket per block, and again, until at most ``SMALL_BITS`` bits are
+outside the mask; then it can't hold more than ``2 ** SMALL_BITS``.  Copies share a fingerprint, so a group
 of copies is one row here however large it is.
 
 Defined cases: texts without words (null and empty ones too) have fingerprint
@@ -35,7 +35,7 @@ from vidgraph.llm.common import scratch, text_hash
 from vidgraph.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
-BUCKET = 1024
+BUCKET, SMALL_BITS = 1024, 13
 CHUNK = 1 << 16
 
 
@@ -89,22 +89,19 @@ def _finer(mask: int, radius: int) -> list[int]:
 
 
 def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """(node, root) of the links within one bucket: a spanning forest."""
-    root = np.arange(len(fps))
-    done = np.zeros(len(fps), dtype=bool)
-    for i in range(len(fps)):
-        if done[i]:
-            continue
-        front = [i]
-        done[i] = True
-        while front:
-            at = front.pop()
-            near = np.flatnonzero(~done & (np.bitwise_count(fps ^ fps[at]) <= radius))
-            done[near] = True
-            root[near] = i
-            front.extend(near.tolist())
-    signed = fps.view(np.int64)
-    return [(int(signed[i]), int(signed[r])) for i, r in enumerate(root) if i != r]
+    """(node, root) of the links within one bucket: a spanning forest.  What is
+    reached leaves the rest, so a dense group costs little more than its size."""
+    links, rest = [], fps
+    while len(rest) > 1:
+        root, rest = rest[0], rest[1:]
+        front = [root]
+        while front and len(rest):
+            near = np.bitwise_count(rest ^ front.pop()) <= radius
+            if near.any():
+                reached, rest = rest[near], rest[~near]
+                front.extend(reached)
+                links.extend((int(x), int(root.view(np.int64))) for x in reached.view(np.int64))
+    return links
 
 
 def _links_within(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
@@ -142,29 +139,25 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     """``a, b``: a spanning forest of every bucket's links over the distinct
     fingerprints ``fp``; joined up, they connect exactly what all pairs within
     ``radius`` connect."""
-    schema, found = "a bigint, b bigint", []
-    rows, at_masks = scratch(_bucketed(fps, masks(radius)), "buckets"), masks(radius)
+    spark, found, at_masks = fps.sparkSession, [], masks(radius)
+    rows = scratch(_bucketed(fps, at_masks), "buckets")
     while True:
-        sizes = rows.groupBy("mask", "key").count()
-        # More masks than a split can still refine: compare as it is.
-        finer = {m: _finer(m, radius) for m in at_masks if bin(m & (1 << 64) - 1).count("1") < 64 - radius}
-        big = sizes.where((F.col("count") > bucket) & F.col("mask").isin(list(finer)))
-        big = scratch(big.select("mask", "key"), "large-buckets")
+        finer = [(m, x) for m in at_masks if 64 - (m & (1 << 64) - 1).bit_count() > SMALL_BITS for x in _finer(m, radius)]
+        # At most as many rows as the family has masks at this depth.
+        steps = F.broadcast(spark.createDataFrame(finer, "mask bigint, finer bigint"))
+        big = rows.groupBy("mask", "key").count().where(F.col("count") > bucket).select("mask", "key")
+        big = scratch(big.join(steps.select("mask").distinct(), "mask", "left_semi"), "large-buckets")
         if big.isEmpty():
             found.append(rows)
             break
         found.append(rows.join(big, ["mask", "key"], "left_anti"))
-        used = [r[0] for r in big.select("mask").distinct().collect()]  # at most as many as there are masks
-        step = F.lit(None).cast("array<bigint>")
-        for m in used:
-            step = F.when(F.col("mask") == m, F.array(*[F.lit(x) for x in finer[m]])).otherwise(step)
-        wide = rows.join(big, ["mask", "key"], "left_semi").select("fp", F.explode(step).alias("mask")).distinct()
-        rows = scratch(wide.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"), "buckets")
-        at_masks = sorted({x for m in used for x in finer[m]})
+        wide = rows.join(big, ["mask", "key"], "left_semi").select("mask", "fp").join(steps, "mask")
+        wide = wide.select(F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("key"), "fp")
+        rows, at_masks = scratch(wide.distinct(), "buckets"), sorted({x for _, x in finer})
     links = []
     for part in found:
         dealt = part.repartition("mask", "key").sortWithinPartitions("mask", "key")
-        links.append(dealt.mapInArrow(lambda it: _links_within(it, radius), schema))
+        links.append(dealt.mapInArrow(lambda it: _links_within(it, radius), "a bigint, b bigint"))
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
