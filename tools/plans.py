@@ -35,7 +35,7 @@ def main() -> None:
     spark = local_session()
     store = CatalogStore(spark, scratch_path(spark, "plans_catalog"))
     videos = fx.videos_fx(spark, sf_dir)
-    store.write(Catalogue(videos, catalog.upsert_related(fx.related_fx(spark, sf_dir), videos)), 0)
+    store.merge(videos, lambda: fx.related_fx(spark, sf_dir))
     cat = store.read(0)
     raw = fx.raw_lines_fx(spark, sf_dir)
     new_rows = ingest.parse_videos(raw)

@@ -2,7 +2,8 @@
 
 Commands
   to-csv        --crawl DIR [--crawl DIR ...] --videos-out DIR --related-out DIR [--layout files|folders]
-  import        --crawl DIR [--crawl DIR ...] --catalog DIR [--layout folders|files]
+  import        --crawl DIR [--crawl DIR ...] --catalog DIR [--layout folders|files] [--skip FILE]
+  import-csv    --videos CSV --related CSV --catalog DIR [--skip FILE]   (FILE: one video ID per line)
   network-csv   --videos CSV --related CSV --out DIR
   network       --catalog DIR --out DIR
   top           --catalog DIR --field F [--k 10]
@@ -37,6 +38,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--crawl", action="append", required=True)
     s.add_argument("--catalog", required=True)
     s.add_argument("--layout", choices=["folders", "files"], default="folders")
+    s.add_argument("--skip")
+    s = sub.add_parser("import-csv")
+    s.add_argument("--videos", required=True)
+    s.add_argument("--related", required=True)
+    s.add_argument("--catalog", required=True)
+    s.add_argument("--skip")
     s = sub.add_parser("network-csv")
     s.add_argument("--videos", required=True)
     s.add_argument("--related", required=True)
@@ -88,7 +95,12 @@ def main(argv: list[str] | None = None) -> int:
         jobs.crawl_to_csv(spark, args.crawl, args.videos_out, args.related_out, layout=args.layout)
         print(f"wrote {args.videos_out} and {args.related_out}")
     elif args.command == "import":
-        version = jobs.CatalogStore(spark, args.catalog).import_crawl(args.crawl, layout=args.layout)
+        version = jobs.CatalogStore(spark, args.catalog).import_crawl(
+            args.crawl, layout=args.layout, skip_ids=spark.read.text(args.skip) if args.skip else None)
+        print(f"catalogue version {version} written under {args.catalog}")
+    elif args.command == "import-csv":
+        version = jobs.CatalogStore(spark, args.catalog).import_csv(
+            args.videos, args.related, skip_ids=spark.read.text(args.skip) if args.skip else None)
         print(f"catalogue version {version} written under {args.catalog}")
     elif args.command == "network-csv":
         jobs.network_from_csv(spark, args.videos, args.related, args.out)

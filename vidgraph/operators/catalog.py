@@ -93,9 +93,14 @@ def upsert_videos(
     latest = skip_listed(latest_per_video(typed, list(order)), skip_ids)
     if existing is None:
         return latest
-    old = existing.select(*VIDEO_COLUMNS)
+    return merge_videos(existing, latest)
+
+
+def merge_videos(existing: DataFrame, latest: DataFrame) -> DataFrame:
+    """``existing`` with every video of ``latest`` replaced, nulls included (both
+    one row per ID)."""
     joined = (
-        old.alias("o")
+        existing.select(*VIDEO_COLUMNS).alias("o")
         .join(latest.withColumn("_new", F.lit(True)).alias("n"), "videoId", "full_outer")
     )
     return joined.select(
@@ -132,6 +137,15 @@ def upsert_related(
     return existing.select("srcVideoId", "dstVideoId").unionByName(e).dropDuplicates(["srcVideoId", "dstVideoId"])
 
 
+def unknown_related(fresh: DataFrame, existing: DataFrame) -> DataFrame:
+    """The ``fresh`` edges that ``existing`` does not hold.  The large existing
+    table is only the streamed side of a semi join with the fresh edges, so
+    where these are small enough to broadcast it is scanned, not shuffled."""
+    pair = ["srcVideoId", "dstVideoId"]
+    again = existing.select(*pair).join(fresh.select(*pair), pair, "left_semi")
+    return fresh.select(*pair).join(again, pair, "left_anti")
+
+
 def unique_violations(videos: DataFrame) -> DataFrame:
     """``videoId, count`` for every ID held by more than one row (empty when unique)."""
     return (

@@ -265,9 +265,10 @@ def to_property_map(df: DataFrame, column: str = "video") -> DataFrame:
 
 
 def flatten_properties(df: DataFrame, schema: T.StructType, column: str = "video") -> DataFrame:
-    """Map column -> one typed column per ``schema`` field (missing key -> null)."""
+    """Map column -> one typed column per ``schema`` field (missing key or a value
+    that is not of its type -> null)."""
     m = F.col(column)
-    return df.select(*[m[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.try_element_at(m, F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 RESULT_SCHEMA = T.StructType(

@@ -10,7 +10,8 @@ jobs expect; no job reads anything from how they are made.
   directed multiset: duplicates, null endpoints, and endpoints outside the
   catalogue (prefix ``x``, i.e. videos never crawled) on both sides.
 * ``raw_lines_fx`` - dirty crawl lines (quotes, BOM, NBSP, blank and empty
-  lines, bad numbers); batch 2 re-crawls the parts with ``p_size > 45``.
+  lines, bad numbers); related IDs are parts bought next, so targets grow with
+  the tables; batch 2 re-crawls the parts with ``p_size > 45``.
 """
 
 from __future__ import annotations
@@ -45,6 +46,14 @@ from {lineitem} a join {lineitem} b
 """
 
 _RAW_LINES_FX = """
+with linked as (
+  select p.p_partkey, p.p_brand, p.p_type, p.p_size,
+         coalesce(n.lo, p.p_partkey) as lo, coalesce(n.hi, p.p_partkey) as hi
+  from {{part}} p left join (
+    select a.l_partkey as k, min(b.l_partkey) as lo, max(b.l_partkey) as hi
+    from {{lineitem}} a join {{lineitem}} b
+      on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1
+    group by a.l_partkey) n on p.p_partkey = n.k)
 select 1 as batch, p_partkey as line_no, case p_partkey % 10
   when 0 then 'v' || cast(p_partkey as string)
   when 1 then '"v' || cast(p_partkey as string) || '{TAB}' || p_brand || '{TAB}12{TAB}' || p_type
@@ -60,13 +69,13 @@ select 1 as batch, p_partkey as line_no, case p_partkey % 10
   when 7 then ''
   else 'v' || cast(p_partkey as string) || '{TAB}' || p_brand || '{TAB}' || cast(p_partkey % 900 as string)
        || '{TAB}' || p_type || '{TAB}60{TAB}' || cast(p_partkey * 13 as string) || '{TAB}4.5{TAB}7{TAB}3{TAB}v'
-       || cast((p_partkey + 1) % 200 as string) || '{TAB}v' || cast((p_partkey + 8) % 200 as string)
+       || cast(lo as string) || '{TAB}v' || cast(hi as string)
   end as value
-from {{part}}
+from linked
 union all
 select 2, p_partkey, 'v' || cast(p_partkey as string) || '{TAB}{TAB}13{TAB}{TAB}61{TAB}999{TAB}3.5{TAB}8{TAB}4{TAB}v'
-       || cast((p_partkey + 1) % 200 as string)
-from {{part}} where p_size > 45
+       || cast(hi as string)
+from linked where p_size > 45
 """
 RAW_LINES_FX = _RAW_LINES_FX.format(TAB=TAB, BOM=BOM, NBSP=NBSP)
 

@@ -3,10 +3,9 @@
 * ``crawl_to_csv``  - crawl files -> ``videos`` / ``related`` CSV (the converter).
 * ``import_crawl``  - crawl folders -> typed ``videos`` + ``related`` catalogue
   (optionally merged into an existing one, with a skip list).
-* ``CatalogStore``  - a catalogue kept as versioned Parquet folders
-  (``videos/version=N``, ``related/version=N``) plus a commit log
-  (``_versions``); a new import writes version N+1 and never overwrites what
-  it reads.
+* ``CatalogStore``  - a catalogue kept as versioned Parquet folders plus a commit
+  log; an import (crawl, CSV or micro-batch) writes the buckets of videos it
+  touches and the edges it adds, and never overwrites what it reads.
 * ``network_job``   - the three aggregation outputs as header CSV; the two
   small tables as one file each, ``node_degrees`` written by all tasks.
 * ``influence_job`` - PageRank over the catalogue, results stored, top list.
@@ -14,9 +13,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from pyspark.sql import types as T
 
 from vidgraph.operators import catalog, influence, ingest, network
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
+from vidgraph.session import scratch_path
 from vidgraph.sources import crawl, tables
 
 
@@ -61,84 +61,102 @@ def import_crawl(
 
 
 class CatalogStore:
-    """Versioned Parquet catalogue under ``path``.
+    """Versioned Parquet catalogue under ``path``; an import writes what it changes.
 
-    Readers see only committed versions.  One writer at a time: two imports
-    running at once would both build on the same version and race for the
-    next number (the streaming import is one writer by construction).
-    """
+    * ``videos/version=N/bucket=B``: the videos whose ID hashes to ``B``, for the
+      buckets that version N touched; a reader takes each bucket's newest.
+    * ``related/version=N``: the edges that version N added.
+    * ``_versions``: the commit log, one small row per version (with the buckets
+      written, and the streaming query and batch it came from, if any).
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    Readers see only committed versions; what a failed attempt left is
+    overwritten by the next one.  One writer at a time.
+    """
 
-    def _versions(self) -> DataFrame | None:
-        try:
-            log = self.spark.read.schema("version bigint").parquet(f"{self.path}/_versions")
-            log.limit(1).collect()  # the folder may not exist yet
-            return log
-        except AnalysisException:
-            return None
+    LOG = "version bigint, n_buckets int, buckets array<int>, source string, batch bigint"
 
-    def latest_version(self, before: int | None = None) -> int | None:
-        """Newest committed version (only those ``< before`` when given).
+    def __init__(self, spark: SparkSession, path: str, n_buckets: int = 64):
+        self.spark, self.path, self.n_buckets = spark, path.rstrip("/"), n_buckets
 
-        Reads the small commit log, not the data folders, so the cost grows
-        with the number of versions, not with the catalogue.
-        """
-        v = self._versions()
-        if v is None:
-            return None
-        if before is not None:
-            v = v.where(F.col("version") < before)
-        row = v.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+    def _log(self, version: int | None = None) -> list:
+        """Commit rows up to ``version``, oldest first (one per version)."""
+        try:
+            log = self.spark.read.schema(self.LOG).parquet(f"{self.path}/_versions")
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":  # anything else is not an empty store
+                raise
+            return []
+        if version is not None:
+            log = log.where(F.col("version") <= version)
+        return sorted(log.collect(), key=lambda r: r["version"])
+
+    def latest_version(self) -> int | None:
+        log = self._log()
+        return log[-1]["version"] if log else None
+
+    def has_batch(self, source: str, batch: int) -> bool:
+        return any(r["source"] == source and r["batch"] == batch for r in self._log())
+
+    def _video_paths(self, log: list) -> dict[int, str]:
+        """Bucket -> folder of its newest rows."""
+        return {b: f"{self.path}/videos/version={r['version']}/bucket={b}" for r in log for b in r["buckets"]}
+
+    def _read_paths(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _related(self, log: list) -> DataFrame:
+        return self._read_paths([f"{self.path}/related/version={r['version']}" for r in log], RELATED_TEXT)
 
     def read(self, version: int | None = None) -> Catalogue | None:
-        version = self.latest_version() if version is None else version
-        if version is None:
+        """The catalogue as of ``version`` (default: the newest); None if empty."""
+        log = self._log(version)
+        if not log or (version is not None and log[-1]["version"] != version):
             return None
-        v = tables.read_table(self.spark, f"{self.path}/videos/version={version}", schema=VIDEOS_TYPED)
-        r = tables.read_table(self.spark, f"{self.path}/related/version={version}", schema=RELATED_TEXT)
-        return Catalogue(v, r)
-
-    def write(self, cat: Catalogue, version: int, mode: str = "errorifexists") -> None:
-        """Write both tables of ``version``, then commit it to the log (a
-        version is visible only once both tables are complete)."""
-        tables.write_table(cat.videos.select(*VIDEOS_TYPED.fieldNames()), f"{self.path}/videos/version={version}",
-                           mode=mode)
-        tables.write_table(cat.related.select(*RELATED_TEXT.fieldNames()), f"{self.path}/related/version={version}",
-                           mode=mode)
-        self._commit(version)
-
-    def merge_lines(self, lines: DataFrame, order: list[str], version: int, *,
-                    existing: Catalogue | None = None, skip_ids: DataFrame | None = None,
-                    mode: str = "errorifexists") -> None:
-        """Merge parsed crawl lines (``ingest.parse_lines`` output with the
-        ``order`` columns) into ``existing`` and commit the result as ``version``.
+        return Catalogue(self._read_paths(list(self._video_paths(log).values()), VIDEOS_TYPED), self._related(log))
 
-        Staged: the merged videos are written first; the new edges are then
-        checked against the *written* videos (only ``videoId`` is read back),
-        so the video merge runs once.  The parsed lines are persisted for the
-        two writes, so the crawl text is scanned once.
+    def _bucket(self, log: list):
+        return F.pmod(F.xxhash64("videoId"), F.lit(log[0]["n_buckets"] if log else self.n_buckets)).cast("int")
+
+    def merge(self, latest: DataFrame, edges: Callable[[], DataFrame], source: str | None = None,
+              batch: int | None = None) -> int:
+        """Merge typed ``latest`` videos (one row per ID, it wins) and text
+        ``edges``, and commit the next version.
+
+        Only the video buckets that ``latest`` falls into are read and written;
+        new edges are checked against the videos after the merge, and of the
+        stored edges nothing is written: they are scanned for those that the
+        import brings again.
         """
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            videos = catalog.upsert_videos(ingest.videos_from_fields(lines), order=order,
-                                           existing=existing.videos if existing else None, skip_ids=skip_ids)
-            vpath = f"{self.path}/videos/version={version}"
-            tables.write_table(videos.select(*VIDEOS_TYPED.fieldNames()), vpath, mode=mode)
-            written = tables.read_table(self.spark, vpath, schema=VIDEOS_TYPED)
-            related = catalog.upsert_related(ingest.related_from_fields(lines), written,
-                                             existing=existing.related if existing else None)
-            tables.write_table(related.select(*RELATED_TEXT.fieldNames()),
-                               f"{self.path}/related/version={version}", mode=mode)
-        finally:
-            lines.unpersist()
-        self._commit(version)
-
-    def _commit(self, version: int) -> None:
-        marker = self.spark.createDataFrame([(version,)], "version bigint")
-        marker.coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
+        log = self._log()
+        version = log[-1]["version"] + 1 if log else 0
+        staged = scratch_path(self.spark, "new-videos")
+        tables.write_table(latest.withColumn("bucket", self._bucket(log)), staged)
+        latest = tables.read_table(self.spark, staged)
+        touched = sorted(r[0] for r in latest.select("bucket").distinct().collect())  # at most n_buckets numbers
+        current = self._video_paths(log)
+        old = self._read_paths([current[b] for b in touched if b in current], VIDEOS_TYPED)
+        merged = catalog.merge_videos(old, latest.drop("bucket")).withColumn("bucket", self._bucket(log))
+        merged = merged.repartition(max(1, len(touched)), "bucket")
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/videos/version={version}")
+        row = {"version": version, "n_buckets": log[0]["n_buckets"] if log else self.n_buckets, "buckets": touched,
+               "source": source, "batch": batch}
+        known = self._read_paths(list(self._video_paths([*log, row]).values()), VIDEOS_TYPED)
+        checked = scratch_path(self.spark, "new-related")
+        tables.write_table(catalog.upsert_related(edges(), known), checked)
+        fresh = tables.read_table(self.spark, checked, schema=RELATED_TEXT)
+        tables.write_table(catalog.unknown_related(fresh, self._related(log)), f"{self.path}/related/version={version}")
+        self.spark.createDataFrame([row], self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
+        return version
+
+    def merge_lines(self, lines: DataFrame, order: list[str], *, skip_ids: DataFrame | None = None,
+                    source: str | None = None, batch: int | None = None) -> int:
+        """Merge parsed crawl lines (``ingest.parse_lines`` output with the
+        ``order`` columns); the crawl text is scanned once for its videos and
+        once for its edges, nothing of it is kept on executors."""
+        latest = catalog.upsert_videos(ingest.videos_from_fields(lines), order=order, skip_ids=skip_ids)
+        return self.merge(latest, lambda: ingest.related_from_fields(lines), source, batch)
 
     def import_crawl(self, roots: str | list[str], *, layout: str = "folders",
                      skip_ids: DataFrame | None = None) -> int:
@@ -146,15 +164,15 @@ class CatalogStore:
 
         Lines are ordered by (folder, file, split, position): a later line wins.
         """
-        current = self.latest_version()
-        existing = self.read(current) if current is not None else None
         lines = ingest.parse_lines(crawl.read_crawl(self.spark, roots, layout=layout))
-        new_version = 0 if current is None else current + 1
-        # The new version is not committed yet, so leftovers of a failed
-        # attempt at it are invisible to readers and can be overwritten.
-        self.merge_lines(lines, crawl.ORDER_COLUMNS, new_version, existing=existing, skip_ids=skip_ids,
-                         mode="overwrite")
-        return new_version
+        return self.merge_lines(lines, crawl.ORDER_COLUMNS, skip_ids=skip_ids)
+
+    def import_csv(self, videos_path: str, related_path: str, *, skip_ids: DataFrame | None = None) -> int:
+        """Merge ``videos.csv`` and ``related.csv`` (header, columns by name);
+        a later row of a video wins, also with nulls."""
+        rows = tables.read_csv(self.spark, videos_path, VIDEOS_TEXT, with_order=True)
+        latest = catalog.upsert_videos(rows, order=tables.ROW_ORDER, skip_ids=skip_ids)
+        return self.merge(latest, lambda: tables.read_csv(self.spark, related_path, RELATED_TEXT))
 
 
 def network_job(videos: DataFrame, edges: DataFrame, out_dir: str, *, check_nonempty: bool = False) -> None:
@@ -190,9 +208,9 @@ def network_from_csv(spark: SparkSession, videos_path: str, related_path: str, o
     Uses the raw edge multiset (duplicates and edges to unknown videos count).
     Extra ``categoryId`` / ``metric1`` columns are carried along when present.
     """
-    header = spark.read.options(header="true", escape='"').csv(videos_path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    videos = tables.read_csv(spark, videos_path, schema)
+    extra = [c for c in tables.csv_columns(spark, videos_path) if c not in VIDEOS_TEXT.fieldNames()]
+    present = [c for c in tables.csv_columns(spark, videos_path) if c in VIDEOS_TEXT.fieldNames()]
+    videos = tables.read_csv(spark, videos_path, T.StructType([T.StructField(c, T.StringType()) for c in present + extra]))
     related = tables.read_csv(spark, related_path, RELATED_TEXT)
     network_job(videos, related, out_dir)
 
@@ -209,9 +227,6 @@ def crawl_to_csv(spark: SparkSession, roots: str | list[str], videos_out: str, r
                  layout: str = "files") -> None:
     """Converter: crawl files -> ``videos`` and ``related`` header CSV (text rows,
     duplicates kept, as the converter writes them; outputs overwritten)."""
-    lines = ingest.parse_lines(crawl.read_crawl(spark, roots, layout=layout)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables.write_csv(ingest.videos_from_fields(lines).select(*VIDEOS_TEXT.fieldNames()), videos_out)
-        tables.write_csv(ingest.related_from_fields(lines).select(*RELATED_TEXT.fieldNames()), related_out)
-    finally:
-        lines.unpersist()
+    lines = ingest.parse_lines(crawl.read_crawl(spark, roots, layout=layout))
+    tables.write_csv(ingest.videos_from_fields(lines).select(*VIDEOS_TEXT.fieldNames()), videos_out)
+    tables.write_csv(ingest.related_from_fields(lines).select(*RELATED_TEXT.fieldNames()), related_out)

@@ -156,6 +156,30 @@ def q_row_counts(spark, sf_dir):
     return network.row_counts(*_raw_inputs(spark, sf_dir))
 
 
+@register("nonempty_guard", _net_sql(
+    "select 'all' as input, (select count(*) from videos_fx) = 0 or (select count(*) from raw_edges) = 0 as refused "
+    "union all select 'no videos', true union all select 'no edges', true"))
+def q_nonempty_guard(spark, sf_dir):
+    """Which inputs the catalogue entry's guard refuses: the tables, and each one emptied."""
+    v, e = _raw_inputs(spark, sf_dir)
+    none = F.lit(False)
+    found = []
+    for name, videos, edges in (("all", v, e), ("no videos", v.where(none), e), ("no edges", v, e.where(none))):
+        try:
+            network.require_nonempty(videos, edges)
+            found.append((name, False))
+        except ValueError:
+            found.append((name, True))
+    return spark.createDataFrame(found, "input string, refused boolean")
+
+
+@register("category_summary_top3", _net_sql(
+    _CAT_SQL.format(nd="node_deg") + " order by sum(views) desc nulls last, category asc nulls first limit 3"))
+def q_category_summary_top3(spark, sf_dir):
+    """The summary's own order decides which three rows come first."""
+    return rounded(network.category_summary(network.node_degrees(*_raw_inputs(spark, sf_dir))).limit(3))
+
+
 # ---------------------------------------------------------------- search
 
 _V_COLS = ["videoId", "uploader", "age", "category", "length", "views", "rating", "ratingCount", "commentCount"]
@@ -290,6 +314,16 @@ def q_ingest_crawl_folders(spark, sf_dir):
             .select("folder", "numVideos", F.coalesce("numEdges", F.lit(0)).cast("bigint").alias("numEdges")))
 
 
+@register("ingest_crawl_files", duck.with_lines(
+    "select (select count(*) from vt) as numVideos, (select count(*) from rt) as numEdges"))
+def q_ingest_crawl_files(spark, sf_dir):
+    """Crawl lines written as text files into one folder, read back in the ``files`` layout."""
+    root = scratch_path(spark, "crawl_files")
+    fx.raw_lines_fx(spark, sf_dir).select("value").write.text(root)
+    lines = ingest.parse_lines(crawl.read_crawl(spark, root, layout="files"))
+    return network.row_counts(ingest.videos_from_fields(lines), ingest.related_from_fields(lines))
+
+
 def _nulled(cols):
     return ", ".join(f"nullif({c}, '') as {c}" for c in cols)
 
@@ -353,6 +387,59 @@ def q_upsert_related(spark, sf_dir):
     return catalog.upsert_related(fx.related_fx(spark, sf_dir), fx.videos_fx(spark, sf_dir))
 
 
+_KNOWN = """,
+ids1 as (select videoId from gt where batch = 1 and videoId is not null),
+ids2 as (select videoId from gt where videoId is not null)
+"""
+_IN = "srcVideoId in (select videoId from {0}) and dstVideoId in (select videoId from {0})"
+# An edge's endpoints must be known after the import that brings it.
+_RELATED_TWICE = duck.with_lines("").rstrip() + _KNOWN + (
+    f"select distinct srcVideoId, dstVideoId from rt where (batch = 1 and {_IN.format('ids1')}) "
+    f"or (batch = 2 and {_IN.format('ids2')})")
+_RELATED_ONCE = duck.with_lines("").rstrip() + _KNOWN + (
+    f"select distinct srcVideoId, dstVideoId from rt where {_IN.format('ids2')}")
+
+
+def _merged_twice(spark, sf_dir):
+    """Batch 1 stored, then batch 2 merged into it."""
+    store = jobs.CatalogStore(spark, scratch_path(spark, "merged_catalog"))
+    lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
+    for batch in (1, 2):
+        store.merge_lines(lines.where(F.col("batch") == batch), _ORDER)
+    return store.read()
+
+
+@register("upsert_videos_existing", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
+def q_upsert_videos_existing(spark, sf_dir):
+    return rounded(_merged_twice(spark, sf_dir).videos)
+
+
+@register("upsert_related_existing", _RELATED_TWICE)
+def q_upsert_related_existing(spark, sf_dir):
+    return _merged_twice(spark, sf_dir).related
+
+
+def _imported_csv(spark, sf_dir):
+    """The converter's two CSV tables (rows of later batches come later), imported."""
+    out = scratch_path(spark, "import_csv")
+    raw = fx.raw_lines_fx(spark, sf_dir)
+    tables.write_csv(ingest.parse_videos(raw).select(*VIDEOS_TEXT.fieldNames()), f"{out}/videos")
+    tables.write_csv(ingest.parse_related(raw).select(*RELATED_TEXT.fieldNames()), f"{out}/related")
+    store = jobs.CatalogStore(spark, f"{out}/catalog")
+    store.import_csv(f"{out}/videos", f"{out}/related")
+    return store.read()
+
+
+@register("import_from_csv", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
+def q_import_from_csv(spark, sf_dir):
+    return rounded(_imported_csv(spark, sf_dir).videos)
+
+
+@register("import_from_csv_related", _RELATED_ONCE)
+def q_import_from_csv_related(spark, sf_dir):
+    return _imported_csv(spark, sf_dir).related
+
+
 @register("unique_violations", duck.with_lines(
     "select videoId, count(*) as count from vt group by videoId having count(*) > 1"))
 def q_unique_violations(spark, sf_dir):
@@ -414,7 +501,8 @@ select * from res {tail}"""
 def _pagerank_results(spark, sf_dir):
     videos = fx.videos_fx(spark, sf_dir)
     edges = catalog.upsert_related(fx.related_fx(spark, sf_dir), videos)
-    return influence.pagerank(videos, edges, PR_RESET, PR_TOL)
+    # upsert_related leaves distinct pairs of known videos
+    return influence.pagerank(videos, edges, PR_RESET, PR_TOL, trusted_edges=True)
 
 
 @register("pagerank", _pagerank_sql())
@@ -449,6 +537,18 @@ def q_property_map_flatten(spark, sf_dir):
     return rounded(influence.flatten_properties(maps, VIDEOS_TYPED))
 
 
+@register("property_map_dirty", fx.with_fixtures(
+    "select videoId, case when rating >= 1 then age end as age, views from videos_fx", "videos_fx"))
+def q_property_map_dirty(spark, sf_dir):
+    """Values that are not of their field's type, and missing keys, come back as null."""
+    maps = influence.to_property_map(fx.videos_fx(spark, sf_dir), "video")
+    dirty = F.transform_values("video", lambda k, v: F.when(
+        (k == "age") & (F.try_element_at(F.col("video"), F.lit("rating")).cast("double") < 1), F.lit("n/a")).otherwise(v))
+    schema = T.StructType([T.StructField("videoId", T.StringType()), T.StructField("age", T.LongType()),
+                           T.StructField("views", T.LongType())])
+    return influence.flatten_properties(maps.select(dirty.alias("video")), schema)
+
+
 # ---------------------------------------------------------------- outputs
 
 
@@ -460,12 +560,47 @@ CATEGORY_SUMMARY_SCHEMA = T.StructType([
 ])
 
 
-@register("network_outputs_roundtrip", _net_sql(_CAT_SQL.format(nd="node_deg")))
-def q_network_outputs_roundtrip(spark, sf_dir):
-    """The network job's three CSV outputs written, ``category_summary`` read back."""
+NODE_DEGREES_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("videoId", "uploader", "category")]
+    + [T.StructField(c, T.DoubleType()) for c in ("views", "rating", "ratingCount", "commentCount")]
+    + [T.StructField(c, T.LongType()) for c in ("outDegree", "inDegree")])
+GLOBAL_METRICS_SCHEMA = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("numVideos", "numEdges")]
+    + [T.StructField(c, T.DoubleType()) for c in ("avgOutDegree", "avgInDegree")])
+
+
+def _network_output(spark, sf_dir, name, schema):
+    """The network job's three CSV outputs written, one of them read back."""
     out = scratch_path(spark, "network_out")
     jobs.network_job(fx.videos_fx(spark, sf_dir), fx.related_fx(spark, sf_dir), out)
-    return rounded(tables.read_csv(spark, f"{out}/category_summary", CATEGORY_SUMMARY_SCHEMA))
+    return rounded(tables.read_csv(spark, f"{out}/{name}", schema))
+
+
+@register("network_outputs_roundtrip", _net_sql(_CAT_SQL.format(nd="node_deg")))
+def q_network_outputs_roundtrip(spark, sf_dir):
+    return _network_output(spark, sf_dir, "category_summary", CATEGORY_SUMMARY_SCHEMA)
+
+
+@register("network_outputs_global", _net_sql(_global_sql("node_deg", "raw_edges")))
+def q_network_outputs_global(spark, sf_dir):
+    return _network_output(spark, sf_dir, "global_metrics", GLOBAL_METRICS_SCHEMA)
+
+
+@register("network_outputs_degrees", _net_sql(
+    "select videoId, uploader, category, views, round(rating, 6) as rating, ratingCount, commentCount, "
+    "outDegree, inDegree from node_deg"))
+def q_network_outputs_degrees(spark, sf_dir):
+    return _network_output(spark, sf_dir, "node_degrees", NODE_DEGREES_SCHEMA)
+
+
+@register("network_from_csv_reordered", _net_sql(_CAT_SQL.format(nd="node_deg")))
+def q_network_from_csv_reordered(spark, sf_dir):
+    """The CSV entry on files whose columns stand in reverse order."""
+    out = scratch_path(spark, "network_csv")
+    tables.write_csv(fx.videos_fx(spark, sf_dir).select(*reversed(VIDEOS_TEXT.fieldNames())), f"{out}/videos")
+    tables.write_csv(fx.related_fx(spark, sf_dir).select(*reversed(RELATED_TEXT.fieldNames())), f"{out}/related")
+    jobs.network_from_csv(spark, f"{out}/videos", f"{out}/related", f"{out}/network")
+    return rounded(tables.read_csv(spark, f"{out}/network/category_summary", CATEGORY_SUMMARY_SCHEMA))
 
 
 @register("ingest_report", duck.with_lines(
@@ -479,21 +614,27 @@ def q_ingest_report(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
+def _streamed(spark, sf_dir):
+    """Crawl lines written by Spark as text, imported by the Structured Streaming
+    job: batch 1 arrives, then batch 2, each as one micro-batch of the same query."""
+    from vidgraph.streaming import start_incremental_import
+
+    watch, store_path, state = (scratch_path(spark, x) for x in ("watch", "stream_catalog", "stream_state"))
+    raw = fx.raw_lines_fx(spark, sf_dir)
+    for batch in (1, 2):
+        raw.where(F.col("batch") == batch).select("value").write.text(f"{watch}/{batch}")
+        q = start_incremental_import(spark, watch, store_path, state, layout="folders", available_now=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"streaming import failed: {q.exception()}")
+    return jobs.CatalogStore(spark, store_path).read()
+
+
 @register("streaming_import", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
 def q_streaming_import(spark, sf_dir):
-    """Crawl lines written by Spark as text (one folder per batch), imported by
-    the Structured Streaming job (one ``availableNow`` run), catalogue read back."""
-    from vidgraph.streaming import start_incremental_import
+    return rounded(_streamed(spark, sf_dir).videos)
+
 
-    watch = scratch_path(spark, "watch")
-    fx.raw_lines_fx(spark, sf_dir).select("batch", "value").write.partitionBy("batch").text(watch)
-    store_path = scratch_path(spark, "stream_catalog")
-    q = start_incremental_import(spark, watch, store_path, scratch_path(spark, "stream_state"),
-                                 layout="folders", available_now=True)
-    if not q.awaitTermination(900):
-        q.stop()
-        raise TimeoutError("streaming import did not finish within 900 s")
-    if q.exception() is not None:
-        raise RuntimeError(f"streaming import failed: {q.exception()}")
-    cat = jobs.CatalogStore(spark, store_path).read()
-    return rounded(cat.videos)
+@register("streaming_import_related", _RELATED_TWICE)
+def q_streaming_import_related(spark, sf_dir):
+    return _streamed(spark, sf_dir).related

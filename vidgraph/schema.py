@@ -35,10 +35,16 @@ AGG_NUMERIC = ["views", "rating", "ratingCount", "commentCount"]
 SEARCH_FIELDS = ["views", "ratingCount", "commentCount", "category", "age", "length"]
 NUMERIC_SEARCH_FIELDS = ["views", "ratingCount", "commentCount", "age", "length"]
 
-# Menu wording of the search front end -> field searched.
+# Menu wording and field labels of the search front ends -> field searched.
 MENU_FIELDS = {
     "Rated": "ratingCount",
     "Viewed": "views",
     "Commented": "commentCount",
     "Most Uploaded Categories": "category",
+    "Views": "views",
+    "Rating Count": "ratingCount",
+    "Comment Count": "commentCount",
+    "Categories": "category",
+    "Oldest": "age",
+    "Length": "length",
 }

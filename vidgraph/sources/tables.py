@@ -11,7 +11,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _CSV_READ = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
 _CSV_WRITE = {
@@ -23,9 +24,31 @@ _CSV_WRITE = {
 }
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Header CSV with an explicit schema (never inferred)."""
-    return spark.read.schema(schema).options(**_CSV_READ).csv(path)
+ROW_ORDER = ["_file", "_block", "_pos"]
+
+
+def csv_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The header's column names."""
+    return spark.read.options(**_CSV_READ).csv(path).columns
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, with_order: bool = False) -> DataFrame:
+    """The columns of ``schema`` (never inferred) of a header CSV, found by name.
+
+    The header's order doesn't matter, further columns are skipped, a missing
+    column is an error, and so is a file of a folder whose header differs from
+    the first one's.  ``with_order`` adds ``ROW_ORDER``: the rows' place.
+    """
+    header = csv_columns(spark, path)
+    missing = [c for c in schema.fieldNames() if c not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the CSV header of {path}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    full = StructType([StructField(c, kinds.get(c, StringType())) for c in header])
+    df = spark.read.schema(full).options(**_CSV_READ, enforceSchema="false").csv(path)
+    order = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+             F.monotonically_increasing_id().alias("_pos")] if with_order else []
+    return df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], *order)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:

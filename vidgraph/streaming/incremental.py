@@ -2,19 +2,19 @@
 
 New crawl files arriving under a watched folder are parsed by the same column
 expressions as the batch import and merged into a ``CatalogStore`` once per
-micro-batch (``foreachBatch``).  Micro-batch ``b`` reads the newest catalogue
-version older than ``b`` and writes version ``b``; a batch replayed after a
-failure therefore rewrites the same version from the same input (idempotent).
-Line order inside a batch is (file, split, position), and later batches win.
-
-Each micro-batch rewrites the catalogue (plain Parquet has no in-place
-merge), so the trigger interval should batch many files together.
+micro-batch (``foreachBatch``).  Every micro-batch is merged into the newest
+committed version and becomes the next one; the commit log keeps the streaming
+query's id and the batch id, so a batch replayed after a failure is recognised
+and not merged twice, and batch imports and several queries (one at a time) can
+share a store.  Line order inside a batch is (file, split, position), and later
+batches win.
 """
 
 from __future__ import annotations
 
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vidgraph.operators import ingest
@@ -25,33 +25,44 @@ from vidgraph.sources import crawl
 def crawl_stream(spark: SparkSession, watch_dir: str, *, layout: str = "files",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``folder, file, block, value`` rows of new crawl files."""
-    watch_dir = crawl.resolve_root(watch_dir)
+    root = crawl.resolve_root(spark, watch_dir)
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return crawl.crawl_lines(reader.load(watch_dir), [watch_dir], layout)
+    return crawl.crawl_lines(reader.load(root.uri), root, layout)
 
 
-def merge_batch(store: CatalogStore, batch: DataFrame, batch_id: int) -> None:
-    """Merge one micro-batch of crawl lines into ``store`` as version ``batch_id``."""
-    lines = ingest.parse_lines(crawl.with_position(batch).withColumn("batch", F.lit(batch_id)))
-    previous = store.latest_version(before=batch_id)
-    existing = store.read(previous) if previous is not None else None
-    store.merge_lines(lines, ["batch", "file", "block", "pos"], batch_id, existing=existing, mode="overwrite")
+def merge_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: str) -> int | None:
+    """Merge one micro-batch of crawl lines into ``store``; returns the new
+    version, or None if this batch of this query is committed already."""
+    if store.has_batch(query_id, batch_id):
+        return None
+    lines = ingest.parse_lines(crawl.with_position(batch))
+    return store.merge_lines(lines, ["file", "block", "pos"], source=query_id, batch=batch_id)
 
 
 def start_incremental_import(spark: SparkSession, watch_dir: str, catalog_path: str, checkpoint_location: str,
                              *, layout: str = "files", available_now: bool = False,
-                             processing_time: str | None = None) -> StreamingQuery:
+                             processing_time: str | None = None,
+                             max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming import; ``available_now`` processes what is there and stops."""
     store = CatalogStore(spark, catalog_path)
+    started, query_id = Event(), []
+
+    def merge(df: DataFrame, batch_id: int) -> None:
+        started.wait()
+        merge_batch(store, df, batch_id, query_id[0])
+
     writer = (
-        crawl_stream(spark, watch_dir, layout=layout)
-        .writeStream.foreachBatch(lambda df, bid: merge_batch(store, df, bid))
+        crawl_stream(spark, watch_dir, layout=layout, max_files_per_trigger=max_files_per_trigger)
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    query_id.append(query.id)  # kept in the checkpoint: the same after a restart
+    started.set()
+    return query
