@@ -56,10 +56,10 @@ def test_streaming_import(spark, tmp_dir):
     watch = f"{tmp_dir}/watch"
     _write(f"{watch}/0.tsv", "\n".join([_line("v1", 1, 10, ["v2"]), _line("v2", 1, 20)]) + "\n")
     q = start_incremental_import(spark, watch, f"{tmp_dir}/cat", f"{tmp_dir}/ck", available_now=True)
-    q.awaitTermination(120)
+    q.awaitTermination()
     _write(f"{watch}/1.tsv", _line("v1", 9, 99, ["v2", "v3"]) + "\n")
     q = start_incremental_import(spark, watch, f"{tmp_dir}/cat", f"{tmp_dir}/ck", available_now=True)
-    q.awaitTermination(120)
+    q.awaitTermination()
     cat = jobs.CatalogStore(spark, f"{tmp_dir}/cat").read()
     vids = {r.videoId: r for r in cat.videos.collect()}
     assert vids["v1"].views == 99 and vids["v2"].views == 20
@@ -105,27 +105,165 @@ def test_format_options_passthrough(spark, tmp_dir):
     assert back.count() == 2
 
 
-def test_micro_batch_replay_is_idempotent(spark, tmp_dir):
+def _batch(spark, folder):
     from vidgraph.sources import crawl
+
+    return crawl.crawl_lines(spark.read.option("recursiveFileLookup", "true").text(folder), folder, "files")
+
+
+def test_micro_batch_replay_is_recognised(spark, tmp_dir):
     from vidgraph.streaming.incremental import merge_batch
 
     _write(f"{tmp_dir}/w/0.tsv", "\n".join([_line("v1", 1, 10, ["v2"]), _line("v2", 1, 20)]) + "\n")
     _write(f"{tmp_dir}/w2/1.tsv", _line("v1", 2, 30, ["v2", "v2"]) + "\n")
-
-    def batch(folder):
-        df = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_dir}/{folder}")
-        return crawl.crawl_lines(df, [f"{tmp_dir}/{folder}"], "files")
-
     store = jobs.CatalogStore(spark, f"{tmp_dir}/cat")
-    merge_batch(store, batch("w"), 0)
-    first = sorted(map(tuple, store.read(0).videos.collect()))
-    merge_batch(store, batch("w"), 0)   # replay after a failure
-    assert sorted(map(tuple, store.read(0).videos.collect())) == first
-    merge_batch(store, batch("w2"), 1)
+    assert merge_batch(store, _batch(spark, f"{tmp_dir}/w"), 0, "q") == 0
+    assert merge_batch(store, _batch(spark, f"{tmp_dir}/w"), 0, "q") is None   # replay after a failure
+    assert merge_batch(store, _batch(spark, f"{tmp_dir}/w2"), 1, "q") == 1
+    assert merge_batch(store, _batch(spark, f"{tmp_dir}/w2"), 0, "other") == 2   # another query's batch 0
     cat = store.read()
     vids = {r.videoId: r for r in cat.videos.collect()}
-    assert store.latest_version() == 1 and vids["v1"].views == 30 and vids["v2"].views == 20
+    assert vids["v1"].views == 30 and vids["v2"].views == 20
     assert sorted(map(tuple, cat.related.collect())) == [("v1", "v2")]
+    assert {r.videoId: r.views for r in store.read(0).videos.collect()} == {"v1": 10, "v2": 20}
+
+
+def test_batch_and_streaming_imports_share_a_store(spark, tmp_dir):
+    """No committed row is lost: batch imports, a stream, and the stream with a new checkpoint."""
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/cat")
+    for n, ids in enumerate((["v1", "v2"], ["v3"])):
+        _write(f"{tmp_dir}/prep{n}/a/0.tsv", "".join(_line(i, 1, 10) + "\n" for i in ids))
+        assert store.import_crawl(f"{tmp_dir}/prep{n}") == n
+    for n, state in enumerate(("ck", "ck", "new_ck")):
+        _write(f"{tmp_dir}/watch/{n}.tsv", _line(f"s{n}", n, 50 + n, ["v1"]) + "\n")
+        q = start_incremental_import(spark, f"{tmp_dir}/watch", f"{tmp_dir}/cat", f"{tmp_dir}/{state}",
+                                     available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    assert {r.videoId for r in store.read().videos.collect()} == {"v1", "v2", "v3", "s0", "s1", "s2"}
+    assert sorted(map(tuple, store.read().related.collect())) == [("s0", "v1"), ("s1", "v1"), ("s2", "v1")]
+    assert {r.videoId for r in store.read(0).videos.collect()} == {"v1", "v2"}
+    assert {r.videoId for r in store.read(1).videos.collect()} == {"v1", "v2", "v3"}
+
+
+def test_unreadable_log_is_not_an_empty_store(spark, tmp_dir):
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/cat")
+    assert store.read() is None
+    _write(f"{tmp_dir}/prep/a/0.tsv", _line("v1", 1, 10) + "\n")
+    store.import_crawl(f"{tmp_dir}/prep")
+    for f in os.listdir(f"{tmp_dir}/cat/_versions"):
+        if f.endswith((".parquet", ".crc")):
+            with open(f"{tmp_dir}/cat/_versions/{f}", "wb") as out:
+                out.write(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.import_crawl(f"{tmp_dir}/prep")
+    assert os.listdir(f"{tmp_dir}/cat/videos") == ["version=0"]
+
+
+def test_import_writes_only_changes(spark, tmp_dir):
+    """Of the stored edges nothing is shuffled or written again; untouched video buckets stay."""
+    import contextlib
+    import io
+
+    from vidgraph.operators import catalog
+
+    store = jobs.CatalogStore(spark, f"{tmp_dir}/cat", n_buckets=16)
+    _write(f"{tmp_dir}/p0/a/0.tsv", "".join(_line(f"v{i}", 1, i, [f"v{i + 1}"]) + "\n" for i in range(200)))
+    _write(f"{tmp_dir}/p1/a/0.tsv", _line("v5", 2, 7, ["v6", "v9"]) + "\n")
+    store.import_crawl(f"{tmp_dir}/p0")
+    store.import_crawl(f"{tmp_dir}/p1")
+    assert [d for d in os.listdir(f"{tmp_dir}/cat/videos/version=1") if d.startswith("bucket")].__len__() == 1
+    added = spark.read.parquet(f"{tmp_dir}/cat/related/version=1")
+    assert [tuple(r) for r in added.collect()] == [("v5", "v9")]
+    assert store.read().videos.count() == 200 and store.read().related.count() == 200
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        catalog.unknown_related(added, store.read(0).related).explain()
+    scan = buf.getvalue().split("BroadcastHashJoin [srcVideoId")[-1]
+    assert "Exchange hashpartitioning" not in buf.getvalue() and "LeftSemi" in buf.getvalue() and scan
+
+
+ROOTS = ["{d}/prep", "{d}/prep/", "{d}//prep", "{d}/./prep", "{d}/prep/../prep", "file:{d}/prep", "file://{d}/prep"]
+
+
+@pytest.mark.parametrize("root", ROOTS)
+def test_root_spellings(spark, tmp_dir, root):
+    from vidgraph.sources import crawl
+
+    _write(f"{tmp_dir}/prep/a/0.tsv", "v1\tx\n")
+    _write(f"{tmp_dir}/prep/a/log.txt", "log\n")
+    _write(f"{tmp_dir}/prep/top.tsv", "top\n")
+    _write(f"{tmp_dir}/prep/log.txt", "a line of log.txt\n")
+    _write(f"{tmp_dir}/prep/a/deep/1.tsv", "deep\n")
+    root = root.format(d=tmp_dir)
+    assert [r.value for r in crawl.read_crawl(spark, root).collect()] == ["v1\tx"]
+    files = sorted(r.value for r in crawl.read_crawl(spark, root, layout="files").collect())
+    assert files == ["a line of log.txt", "top"]
+
+
+def test_roots_without_data_are_errors(spark, tmp_dir):
+    from vidgraph.sources import crawl
+
+    _write(f"{tmp_dir}/one/0.tsv", "v1\n")
+    assert crawl.read_crawl(spark, f"{tmp_dir}/one/0.tsv", layout="files").count() == 1   # a file as root
+    os.makedirs(f"{tmp_dir}/empty")
+    _write(f"{tmp_dir}/hidden/a/_SUCCESS", "")
+    for root, layout, error in ((f"{tmp_dir}/none", "files", FileNotFoundError), (f"{tmp_dir}/empty", "files", ValueError),
+                                (f"{tmp_dir}/o*", "files", FileNotFoundError), (f"{tmp_dir}/one", "folders", ValueError),
+                                (f"{tmp_dir}/hidden", "folders", ValueError), (f"{tmp_dir}/one/0.tsv", "folders", ValueError)):
+        with pytest.raises(error):
+            crawl.read_crawl(spark, root, layout=layout)
+    with pytest.raises(ValueError):
+        crawl.read_crawl(spark, [])
+
+
+@pytest.mark.parametrize("root,file", [
+    ("s3a://bkt", "s3a://bkt/a/0.tsv"), ("s3a://videos/videos", "s3a://videos/videos/a/0.tsv"),
+    ("hdfs://crawl/crawl", "hdfs://crawl/crawl/a/0.tsv"), ("file:/data", "file:///data/a/0.tsv"),
+    ("file:/data", "file:/data/a/0.tsv"), ("viewfs://s/in", "viewfs://s/in/a/0.tsv")])
+def test_depth_of_cloud_paths(spark, root, file):
+    """The depth rule on hand-made metadata of file systems that are not here."""
+    from pyspark.sql import functions as F
+
+    from vidgraph.sources import crawl
+
+    depth = crawl.segments(spark._jvm.org.apache.hadoop.fs.Path(root))
+    meta = F.struct(F.col("f").alias("file_path"), F.element_at(F.split("f", "/"), -1).alias("file_name"),
+                    F.lit(0).alias("file_block_start"))
+    df = spark.createDataFrame([(f, "x") for f in (file, file + "/deep", file.replace("/a/", "/"))], "f string, value string")
+    got = crawl.lines_at(df.select(meta.alias("_metadata"), "value"), depth + 2, True).collect()
+    assert [(r.folder, r.file) for r in got] == [("a", file)]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    from vidgraph.schema import RELATED_TEXT
+    from vidgraph.sources import tables
+
+    _write(f"{tmp_dir}/r.csv", "dstVideoId,more,srcVideoId\nb,1,a\n")
+    assert [tuple(r) for r in tables.read_csv(spark, f"{tmp_dir}/r.csv", RELATED_TEXT).collect()] == [("a", "b")]
+    _write(f"{tmp_dir}/bad.csv", "src,dst\na,b\n")
+    with pytest.raises(ValueError, match="srcVideoId"):
+        tables.read_csv(spark, f"{tmp_dir}/bad.csv", RELATED_TEXT)
+    _write(f"{tmp_dir}/mixed/0.csv", "srcVideoId,dstVideoId\na,b\n")
+    _write(f"{tmp_dir}/mixed/1.csv", "dstVideoId,srcVideoId\nb,a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv(spark, f"{tmp_dir}/mixed", RELATED_TEXT).collect()
+
+
+def test_import_csv_last_row_wins_and_skip_list(spark, tmp_dir, capsys):
+    from vidgraph.__main__ import main
+
+    _write(f"{tmp_dir}/videos.csv", "views,videoId,uploader,age,category,length,rating,ratingCount,commentCount\n"
+           " 10 ,v1,u,1,Music,60,4.5,7,3\n20,v2,,n/a,Film,61.9,x,8,4\n,v1,,,,,,,\n5,,u,1,c,1,1,1,1\n1,v3,u,1,c,1,1,1,1\n")
+    _write(f"{tmp_dir}/related.csv", "dstVideoId,srcVideoId\nv2,v1\nv2,v1\nv3,v1\nv9,v2\n,v2\n")
+    _write(f"{tmp_dir}/skip.txt", "v3\n")
+    main(["import-csv", "--videos", f"{tmp_dir}/videos.csv", "--related", f"{tmp_dir}/related.csv",
+          "--catalog", f"{tmp_dir}/cat", "--skip", f"{tmp_dir}/skip.txt"])
+    assert "catalogue version 0" in capsys.readouterr().out
+    cat = jobs.CatalogStore(spark, f"{tmp_dir}/cat").read()
+    got = {r.videoId: (r.views, r.uploader, r.age, r.length, r.rating) for r in cat.videos.collect()}
+    assert got == {"v1": (None,) * 5, "v2": (20, None, None, 61, None)}
+    assert [tuple(r) for r in cat.related.collect()] == [("v1", "v2")]
 
 
 def test_import_retry_after_crash_before_commit(spark, tmp_dir):

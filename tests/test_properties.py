@@ -6,9 +6,6 @@ import random
 
 import pytest
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from vidgraph.operators import catalog, influence, ingest, network, search
 from test_influence import _reference_pagerank
 
@@ -46,21 +43,20 @@ def test_hot_source_degrees(spark):
     assert got["hub"] == (2000, 1000) and got["v0"] == (1, 1) and got["v1"] == (0, 1)
 
 
-@settings(max_examples=4, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000))
-def test_random_graph_pagerank(spark, seed):
-    rnd = random.Random(seed)
-    n = rnd.randint(2, 12)
-    ids = [f"n{i}" for i in range(n)]
-    edges = [(rnd.choice(ids + ["ghost"]), rnd.choice(ids)) for _ in range(rnd.randint(0, 40))]
+def test_random_graphs_pagerank(spark):
+    """100 random graphs side by side (no edge between them), as one graph."""
+    rnd = random.Random(9)
+    ids, edges = [], []
+    for g in range(100):
+        own = [f"g{g}n{i}" for i in range(rnd.randint(2, 12))]
+        ids += own
+        edges += [(rnd.choice([*own, "ghost"]), rnd.choice(own)) for _ in range(rnd.randint(0, 40))]
     v = spark.createDataFrame([(i,) for i in ids], "videoId string")
     e = spark.createDataFrame(edges, "srcVideoId string, dstVideoId string")
-    got = {r.id: r.pagerank for r in influence.pagerank(v, e, salt_size=rnd.choice([1, 2, 100])).collect()}
+    got = {r.id: r.pagerank for r in influence.pagerank(v, e, salt_size=2).collect()}
     want = _reference_pagerank(ids, edges)
-    assert set(got) == set(ids)
-    assert abs(sum(got.values()) - n) < 1e-9
-    for k in ids:
-        assert abs(got[k] - want[k]) < 1e-9
+    assert got == pytest.approx(want, abs=1e-9)
+    assert abs(sum(got.values()) - len(ids)) < 1e-6
 
 
 def test_topk_subset_of_complete_and_range_exclusive(spark):

@@ -54,7 +54,7 @@ def main() -> None:
     print("partition sizes without salt", sizes(w.repartition(parts, "src")))
     t = time.perf_counter()
     res = influence.pagerank(v.withColumnRenamed("id", "videoId"), e.toDF("srcVideoId", "dstVideoId"),
-                             salt_size=salt_size, edges_per_partition=80_000)
+                             salt_size=salt_size, edges_per_bucket=80_000)
     total = res.agg(F.sum("pagerank")).first()[0]
     print(f"pagerank: {res.count()} rows, rank sum {total:.6f} (N = {n_orders}), {time.perf_counter() - t:.1f}s")
     spark.stop()

@@ -14,44 +14,40 @@ which the reference reaches through its graph library):
 
 Plan at scale
 * The weighted edge table is built once, de-duplicated (parallel edges become
-  a multiplicity), written to the shared checkpoint folder hash-partitioned by
-  ``(src, salt)``; later supersteps re-use that partitioning.
+  a multiplicity), and stored as a table bucketed and sorted by ``(src, salt)``:
+  no superstep shuffles or sorts it again.
 * Skew: a source with many out-edges is split into ``ceil(targets / salt_size)``
   salt buckets (edges spread by a hash of their target); its delta is exploded
   to one row per bucket on the (small) frontier side, so no task holds more
   than about ``salt_size`` edges of one source.  Targets with many in-edges
   are summed by a partial aggregate.
-* Join strategy per superstep: the number of rows the frontier will send
-  (active vertices times their salt buckets) is computed with the frontier's
-  row count in one aggregate, so at most ``broadcast_rows`` sent rows are
-  broadcast and the edge table is only scanned; a larger one is shuffled to
-  the edge table's partitioning (merge join, edges neither shuffled nor
-  sorted).  The edge table itself is never broadcast.
-* Each frontier is cut from the lineage with a reliable ``checkpoint()`` (it
-  survives executor loss); ranks are one final union + aggregate.  Only
-  scalars reach the driver: the edge and vertex counts, one frontier row count
-  per superstep, and N and the rank sum for the final scaling.
+* A superstep is one job: it joins the frontier (read back from storage, so
+  Spark knows its size and broadcasts it or not by the session's own threshold)
+  with the edge table, sums the mass by target and writes the next frontier;
+  the row counts come from the write itself (``observe``).
+* Frontiers and the edge table lie in the shared checkpoint folder (they
+  survive lost executors); every ``FOLD`` supersteps the ranks so far are
+  folded into one table, and what is no longer read is deleted.  Only scalars
+  reach the driver: counts, and N and the rank sum for the final scaling.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidgraph.schema import VIDEO_COLUMNS
-from vidgraph.session import checkpoint_dir
+from vidgraph.session import delete_path, scratch_path
 
 SALT_SIZE = 200_000
-# Frontiers sending up to this many rows (counted each superstep: a proven
-# bound, about 50 bytes each) are broadcast to the edge table; larger ones are
-# shuffled to the edge table's partitioning.
-BROADCAST_ROWS = 200_000
-# Edge rows per partition of the weighted edge table (about 40 bytes each).
-EDGES_PER_PARTITION = 4_000_000
+# Edge rows per bucket of the weighted edge table (about 40 bytes each).
+EDGES_PER_BUCKET = 4_000_000
+# Supersteps between two foldings of the ranks.
+FOLD = 10
 
 
 def _check(reset: float, tol: float, max_iter: int | None) -> None:
@@ -67,8 +63,9 @@ def distinct_edges(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
     """``src, dst, mult``: edges between known vertices, parallel ones counted.
 
     Counted first (partial aggregate: repeated pairs collapse map-side), then
-    the endpoint semi joins run on distinct pairs; nothing after them needs
-    their partitioning, so AQE may split a hot source or target.
+    the targets are checked on distinct pairs; nothing after that needs its
+    partitioning, so AQE may split a hot target.  Sources are checked by the
+    later join with their weights (``weighted_edges``), which only vertices have.
     """
     ids = vertex_ids.select("id").where(F.col("id").isNotNull())
     return (
@@ -76,7 +73,6 @@ def distinct_edges(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
         .where(F.col("src").isNotNull() & F.col("dst").isNotNull())
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("mult"))
-        .join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
         .join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
         .select("src", "dst", "mult")
     )
@@ -117,36 +113,23 @@ def weighted_edges(dedup: DataFrame, vx: DataFrame) -> DataFrame:
     )
 
 
-@contextmanager
-def _static_plan(spark):
-    """Plan one action without AQE, restoring the setting afterwards."""
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def _stored(df: DataFrame, name: str, tol: float | None = None) -> tuple[DataFrame, str, int, bool]:
+    """Write ``df`` (one job) and read it back: (rows, path, how many, whether any
+    of them sends mass)."""
+    path, seen = scratch_path(df.sparkSession, name), Observation()
+    sends = F.max(F.col("delta") > F.lit(tol)) if tol is not None else F.lit(True)
+    df.observe(seen, F.count(F.lit(1)).alias("n"), sends.alias("sends")).write.parquet(path)
+    found = seen.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), path, int(found["n"]), bool(found["sends"])
 
 
-def _partitioned_checkpoint(df: DataFrame, parts: int, keys: list[str]) -> DataFrame:
-    """Reliable checkpoint that keeps ``hashpartitioning(keys, parts)`` and the
-    sort on ``keys``, so joins on ``keys`` in later supersteps shuffle only the
-    other side.  (Under AQE the checkpointed plan reports no partitioning, and
-    every superstep would re-shuffle the whole edge table.)  ``df`` should be
-    materialized (persisted) already: only the repartition and sort run with
-    AQE off, and the salted keys keep that repartition balanced."""
-    with _static_plan(df.sparkSession):
-        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-
-
-def _frontier_size(frontier: DataFrame, tol: float) -> tuple[int, int]:
-    """(rows, rows it will send): one aggregate, two scalars to the driver."""
-    row = frontier.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("delta") > F.lit(tol), F.col("salts"))), F.lit(0)).alias("send"),
-    ).first()
-    return int(row["n"]), int(row["send"])
+def _bucketed(df: DataFrame, buckets: int, keys: list[str]) -> tuple[DataFrame, str, str]:
+    """Store ``df`` bucketed and sorted by ``keys``: (table, its name, its path)."""
+    spark, name = df.sparkSession, f"vidgraph_edges_{uuid.uuid4().hex}"
+    path = scratch_path(spark, "edges")
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name), name, path
 
 
 def pagerank(
@@ -160,57 +143,46 @@ def pagerank(
     src_col: str = "srcVideoId",
     dst_col: str = "dstVideoId",
     salt_size: int = SALT_SIZE,
-    broadcast_rows: int = BROADCAST_ROWS,
-    edges_per_partition: int = EDGES_PER_PARTITION,
+    edges_per_bucket: int = EDGES_PER_BUCKET,
+    fold: int = FOLD,
     trusted_edges: bool = False,
 ) -> DataFrame:
     """Vertices (``id_col`` renamed ``id``, other columns kept) + ``pagerank``.
 
-    Each distinct ID is one vertex (a repeated vertex row gets the same rank);
-    ``max_iter`` (default: none, run to convergence) bounds the supersteps.
+    Each distinct ID is one vertex (a repeated vertex row gets the same rank).
+    ``max_iter`` (default: none, run to convergence) bounds the supersteps; if
+    mass is still being sent then, that is an error, not a result.
     ``trusted_edges=True`` states that ``edges`` are distinct pairs of known
-    vertices (a catalogue's edge table is), which skips their clean-up: one
-    de-duplication and two semi joins over the edge table.
+    vertices (a catalogue's edge table is), which skips their clean-up; out-degrees
+    are wrong if the statement is.
     """
     _check(reset_probability, tol, max_iter)
     spark = vertices.sparkSession
-    checkpoint_dir(spark)
-
     verts = vertices.withColumnRenamed(id_col, "id")
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
     if trusted_edges:
         dedup = e.select("src", "dst", F.lit(1).cast("bigint").alias("mult"))
     else:
         dedup = distinct_edges(verts.select("id"), e)
-    dedup = dedup.persist(StorageLevel.MEMORY_AND_DISK)
-    vx = vertex_salts(verts.select("id"), dedup, salt_size).persist(StorageLevel.MEMORY_AND_DISK)
-    w_raw = weighted_edges(dedup, vx).persist(StorageLevel.MEMORY_AND_DISK)
-    # One job fills all three caches: edge clean-up and the weight joins run
-    # once, with AQE (runtime broadcast, skew splitting of hot sources/targets).
-    n_edges = w_raw.count()
-    parts = max(1, -(-n_edges // edges_per_partition))  # sized by the data, not a session default
-    w = _partitioned_checkpoint(w_raw, parts, ["src", "salt"])
-    frontier = vx.select(
-        "id", F.lit(reset_probability).cast("double").alias("delta"), "salts"
-    ).checkpoint(eager=True)
-    _, to_send = _frontier_size(frontier, tol)
-    w_raw.unpersist()
-    dedup.unpersist()
-    vx.unpersist()
-    deltas = [frontier.select("id", "delta")]
-    step = 0
-    while max_iter is None or step < max_iter:
+    dedup, dedup_path, n_edges, _ = _stored(dedup, "pagerank-edges")
+    vx, vx_path, _, _ = _stored(vertex_salts(verts.select("id"), dedup, salt_size), "pagerank-vertices")
+    buckets = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_bucket))
+    w, w_name, w_path = _bucketed(weighted_edges(dedup, vx), buckets, ["src", "salt"])
+
+    start = F.lit(reset_probability).cast("double")
+    frontier, path, received, active = _stored(vx.select("id", start.alias("delta"), "salts"), "frontier", tol)
+    paths, parts, step = [dedup_path, vx_path, w_path, path], [frontier.select("id", "delta")], 0
+    while received and active:
+        if max_iter is not None and step >= max_iter:
+            spark.sql(f"drop table {w_name}")
+            raise RuntimeError(f"PageRank has not converged after {max_iter} supersteps")
         sends = frontier.where(F.col("delta") > F.lit(tol)).select(
             F.col("id").alias("src"),
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
             "delta",
         )
-        if to_send <= broadcast_rows:
-            joined = sends.hint("broadcast").join(w, ["src", "salt"])
-        else:
-            joined = sends.join(w.hint("merge"), ["src", "salt"])
-        nxt = (
-            joined
+        received_mass = (
+            sends.join(w, ["src", "salt"])
             .groupBy("dst")
             .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts"))
             .select(
@@ -218,26 +190,32 @@ def pagerank(
                 (F.lit(1.0 - reset_probability) * F.col("mass")).alias("delta"),
                 "salts",
             )
-            .persist(StorageLevel.MEMORY_AND_DISK)
         )
+        frontier, path, received, active = _stored(received_mass, "frontier", tol)
+        paths.append(path)
+        parts.append(frontier.select("id", "delta"))
         step += 1
-        received, to_send = _frontier_size(nxt, tol)  # computes the superstep once; the checkpoint reads the cache
-        if received == 0:
-            nxt.unpersist()
-            break
-        cut = nxt.checkpoint(eager=True)
-        nxt.unpersist()
-        deltas.append(cut.select("id", "delta"))
-        frontier = cut
-
-    union = deltas[0]
-    for d in deltas[1:]:
-        union = union.unionByName(d)
-    ranks = union.groupBy("id").agg(F.sum("delta").alias("rank"))
-    stats = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum("rank").alias("total")).first()
+        if len(parts) > fold:
+            ranks, folded, _, _ = _stored(_summed(parts), "ranks")
+            for old in paths[3:-1]:  # all frontiers but the current one
+                delete_path(spark, old)
+            paths, parts = [*paths[:3], path, folded], [ranks]
+
+    ranks, _, _, _ = _stored(_summed(parts), "ranks")
+    spark.sql(f"drop table {w_name}")
+    for old in paths:
+        delete_path(spark, old)
+    stats = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum("delta").alias("total")).first()
     factor = (stats["n"] / stats["total"]) if stats["total"] else 1.0
-    ranks = ranks.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
-    return verts.join(ranks, "id")
+    return verts.join(ranks.select("id", (F.col("delta") * F.lit(factor)).alias("pagerank")), "id")
+
+
+def _summed(parts: list[DataFrame]) -> DataFrame:
+    """The ranks so far: the sum of each vertex's deltas."""
+    union = parts[0]
+    for more in parts[1:]:
+        union = union.unionByName(more)
+    return union.groupBy("id").agg(F.sum("delta").alias("delta"))
 
 
 def influence_top(results: DataFrame, k: int = 10, by: str = "pagerank", key: str = "id") -> DataFrame:

@@ -57,7 +57,12 @@ def resolve_root(spark: SparkSession, root: str) -> Root:
     if not fs.exists(path):
         raise FileNotFoundError(f"no such crawl root: {root} (glob patterns are not roots)")
     path = fs.makeQualified(path)
-    return Root(path.toString(), path.depth(), fs.getFileStatus(path).isFile())
+    return Root(path.toString(), segments(path), fs.getFileStatus(path).isFile())
+
+
+def segments(path) -> int:
+    """Number of segments of a Hadoop path (a bucket root has none)."""
+    return len([x for x in path.toUri().getPath().split("/") if x])
 
 
 def _hadoop(spark: SparkSession, root: str):
@@ -81,7 +86,7 @@ def check_has_files(spark: SparkSession, root: Root, layout: str, skip_log: bool
     while files.hasNext():
         file = files.next().getPath()
         name = file.getName()
-        if file.depth() == depth and name[0] not in "_." and not (skip_log and name == LOG_FILE):
+        if segments(file) == depth and name[0] not in "_." and not (skip_log and name == LOG_FILE):
             return
     raise ValueError(f"no data file for layout {layout!r} below {root.uri}")
 
