@@ -22,6 +22,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "ingest_videos",
     "ingest_related",
+    "ingest_lineitem_videos",
+    "ingest_lineitem_related",
     "upsert_videos",
     "upsert_related",
     "node_degrees",
@@ -62,11 +64,25 @@ def _production_path(spark, sf_dir: str) -> dict:
         return {"error": f"{type(exc).__name__}: {str(exc)[:200]}"}
 
 
+def _ingest_lineitem(parse):
+    """Crawl-line parsing over one line per line item (600k lines at sf0.1)."""
+    def query(spark, sf_dir):
+        from tools.ingest_speed import crawl_lines
+
+        # The test files are one row group each: spread the lines over all cores first.
+        return parse(crawl_lines(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism))
+    return query
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from vidgraph.session import local_session
-    from vidgraph.plans.registry import QUERIES
+    from vidgraph.operators import ingest
+    from vidgraph.plans import registry
+
+    QUERIES = {**registry.QUERIES, "ingest_lineitem_videos": _ingest_lineitem(ingest.parse_videos),
+               "ingest_lineitem_related": _ingest_lineitem(ingest.parse_related)}
 
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="vidgraph-bench")
     # warm-up: JVM, file listing and codegen paths, not timed

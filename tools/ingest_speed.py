@@ -12,17 +12,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def main() -> None:
+def crawl_lines(spark, sf_dir: str):
+    """One crawl line per line item."""
     from pyspark.sql import functions as F
 
-    from vidgraph.operators import ingest
-    from vidgraph.session import local_session
-
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session()
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     s = lambda c: F.col(c).cast("string")
-    raw = li.select(
+    return li.select(
         F.lit(1).alias("batch"),
         F.monotonically_increasing_id().alias("line_no"),
         F.concat_ws("\t", F.concat(F.lit("v"), s("l_partkey")), F.concat(F.lit(" Brand#"), s("l_suppkey"), F.lit(" ")),
@@ -30,6 +26,15 @@ def main() -> None:
                     s("l_extendedprice"), s("l_discount"), s("l_tax"), s("l_orderkey"),
                     F.concat(F.lit("v"), s("l_suppkey")), F.concat(F.lit('"v'), s("l_orderkey"), F.lit('"'))).alias("value"),
     )
+
+
+def main() -> None:
+    from vidgraph.operators import ingest
+    from vidgraph.session import local_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = local_session()
+    raw = crawl_lines(spark, sf_dir)
     cores = spark.sparkContext.defaultParallelism
     # the test files are one row group each: spread the lines over all cores first
     raw = raw.repartition(cores).persist()
