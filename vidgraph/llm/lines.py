@@ -11,7 +11,8 @@ documents lose all their lines but those of the largest ``doc_id`` holding them.
    whatever the input; only that much is sent to the driver and broadcast.
 2. Lines whose key is in *twice* are suspects; only they shuffle, by exact key:
    distinct documents are counted and the largest ``doc_id`` is chosen.
-3. Each document meets its own dropped keys and is written anew.
+3. Documents that lose lines meet their dropped keys and are written anew; a third
+   filter, of their ids, lets all others pass without a shuffle.
 
 A filter that gets full only lets more lines through to the exact count; the
 result is the same.  ``filter_bits`` should be about 16 per distinct key.
@@ -24,13 +25,15 @@ replaced; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from vidgraph.llm.common import lower_ascii, quoted, scratch, without
 
@@ -62,12 +65,13 @@ def _spots(keys: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     return word.astype(np.int64), bits
 
 
-def _fill(batches: Iterator[pa.RecordBatch], min_chars: int, words: int) -> Iterator[pa.RecordBatch]:
+def _fill(batches: Iterator[pa.RecordBatch], keys_of: Callable[[bytes | None], set[bytes]],
+          words: int) -> Iterator[pa.RecordBatch]:
     """One pair of filters for the partition, as its non-empty words by segment."""
     once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
     for batch in batches:
-        for text in batch.column(0):
-            keys = list(line_keys(text.as_py(), min_chars))
+        for value in batch.column(0):
+            keys = list(keys_of(value.as_py()))
             if not keys:
                 continue
             at, bits = _spots(keys, words)
@@ -84,7 +88,7 @@ def _fill(batches: Iterator[pa.RecordBatch], min_chars: int, words: int) -> Iter
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold the pairs of a partition's segments; yields each segment's *twice*."""
+    """Fold the pairs of a partition's segments; yields each segment's pair."""
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
         for row in batch.to_pylist():
@@ -93,22 +97,28 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             more = np.frombuffer(row["once"], np.uint64)
             twice[at] |= np.frombuffer(row["twice"], np.uint64) | (once[at] & more)
             once[at] |= more
-    for segment, (_, twice) in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([twice.tobytes()], pa.binary())],
-                                         names=["segment", "twice"])
+    for segment, pair in held.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([segment], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in pair]],
+            names=["segment", "once", "twice"])
 
 
-def twice_filter(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bits: int = FILTER_BITS) -> np.ndarray:
-    """The *twice* filter of all documents (``filter_bits`` in all, on the driver)."""
+def bloom(values: DataFrame, keys_of: Callable[[bytes | None], set[bytes]], which: str,
+          filter_bits: int = FILTER_BITS) -> np.ndarray:
+    """The filter *once* or *twice* of a binary column's keys (``filter_bits`` in
+    all on the driver, whatever the input)."""
     words = max(SEGMENT, filter_bits // 64 // SEGMENT * SEGMENT)
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("binary").alias("text"))
-    parts = texts.mapInArrow(lambda it: _fill(it, min_chars, words),
-                             "segment int, at binary, once binary, twice binary")
-    folded = parts.repartition("segment").mapInArrow(_fold, "segment int, twice binary")
-    twice = np.zeros(words, np.uint64)
-    for row in folded.toLocalIterator():
-        twice[row["segment"] * SEGMENT:(row["segment"] + 1) * SEGMENT] = np.frombuffer(row["twice"], np.uint64)
-    return twice
+    parts = values.mapInArrow(lambda it: _fill(it, keys_of, words), "segment int, at binary, once binary, twice binary")
+    folded = parts.repartition("segment").mapInArrow(_fold, "segment int, once binary, twice binary")
+    found = np.zeros(words, np.uint64)
+    for segment, filled in folded.select("segment", which).collect():  # one row per segment
+        found[segment * SEGMENT:(segment + 1) * SEGMENT] = np.frombuffer(filled, np.uint64)
+    return found
+
+
+def _held(keys: list[bytes], filled: np.ndarray) -> np.ndarray:
+    at, bits = _spots(keys, len(filled))
+    return (filled[at] & bits) == bits
 
 
 def _suspects(batches: Iterator[pa.RecordBatch], twice, min_chars: int) -> Iterator[pa.RecordBatch]:
@@ -118,8 +128,7 @@ def _suspects(batches: Iterator[pa.RecordBatch], twice, min_chars: int) -> Itera
         for i, text in enumerate(batch.column(1)):
             held = list(line_keys(text.as_py(), min_chars))
             if held:
-                at, bits = _spots(held, len(filled))
-                for k in np.flatnonzero((filled[at] & bits) == bits):
+                for k in np.flatnonzero(_held(held, filled)):
                     rows.append(i)
                     keys.append(held[k])
         yield pa.RecordBatch.from_arrays(
@@ -136,7 +145,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     ``text``, and ``n_lines`` (before) and ``n_dropped``."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    twice = spark.sparkContext.broadcast(twice_filter(docs, min_chars, filter_bits))
+    named = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("binary").alias("text"))
+    twice = spark.sparkContext.broadcast(bloom(named, lambda t: line_keys(t, min_chars), "twice", filter_bits))
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("binary").alias("text"))
     found = rows.mapInArrow(lambda it: _suspects(it, twice, min_chars), f"doc_id {kind}, key binary")
     found = scratch(found, "suspected-lines")
@@ -145,12 +155,27 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     repeated = scratch(counts.where(F.col("n") >= min_docs).select("key", "last"), "repeated-lines")
     drops = found.join(repeated, "key").where(F.col("doc_id") < F.col("last"))
     drops = scratch(drops.groupBy("doc_id").agg(F.collect_set("key").alias("__drops")), "dropped-lines")
+    # Documents that lose nothing are told by a filter of the others' ids and stay where they are.
+    ids = drops.select(F.col("doc_id").cast("string").cast("binary").alias("id"))
+    losing = spark.sparkContext.broadcast(bloom(ids, lambda i: {i}, "once", filter_bits))
+
+    @F.pandas_udf(BooleanType())
+    def loses(values: pd.Series) -> pd.Series:
+        keys = [b"" if v is None else bytes(v) for v in values]
+        return pd.Series(_held(keys, losing.value) if keys else [], dtype=bool)
+
     base = without(docs, *ADDED)
-    out = base.join(drops.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
+    base = base.withColumn("__loses", loses(F.col("doc_id").cast("string").cast("binary")))
+    none = F.lit(None).cast(drops.schema["__drops"].dataType)
+    whole = base.where(F.col("doc_id").isNull() | ~F.col("__loses")).withColumn("__drops", none)
+    part = base.where(F.col("doc_id").isNotNull() & F.col("__loses"))
+    part = part.join(drops.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    out = whole.unionByName(part)
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.filter(lines, lambda line: ~F.array_contains("__drops", line_key(line)))
     out = out.withColumn("__kept", F.when(F.col("__drops").isNull(), lines).otherwise(kept))
+    names = [c for c in base.columns if c != "__loses"]
     return out.select(
-        *[F.array_join("__kept", "\n").alias(c) if c.lower() == "text" else quoted(c) for c in base.columns],
+        *[F.array_join("__kept", "\n").alias(c) if c.lower() == "text" else quoted(c) for c in names],
         F.size(lines).cast("bigint").alias("n_lines"),
         (F.size(lines) - F.size("__kept")).cast("bigint").alias("n_dropped"))
