@@ -110,8 +110,8 @@ def canonical_turns(records: DataFrame) -> DataFrame:
         turns = F.when(same, build(F.col("record"))).otherwise(turns)
     rows = rows.select("conv_id", "seq", layout.alias("layout"), F.posexplode_outer(turns).alias("pos", "turn"))
     role = F.coalesce("turn.role", F.lit(""))
-    for old, new in ROLE_NAMES.items():
-        role = F.when(role == old, new).otherwise(role)
+    for old, new in ROLE_NAMES.items():  # names of one layout only; elsewhere a role is what it says
+        role = F.when((F.col("layout") == "conversations") & (role == old), new).otherwise(role)
     return rows.select("conv_id", "seq", "layout", "pos", role.alias("role"),
                        F.coalesce("turn.text", F.lit("")).alias("text"))
 

@@ -9,8 +9,9 @@ uncompressed and all sizes would tie.  The score is a softmax over the saved bit
 score near 1 / languages; below ``min_score`` the prediction is ``rejected``
 (the best guess stays in ``lang_pred``).
 
-Learning takes at most ``SAMPLE_ROWS`` rows a language, picked by a hash of the
-text, and ``DICTIONARY_BYTES`` of them: documented bounds of the fit.  Prediction
+Learning takes the ``MAX_LANGUAGES`` most frequent labels, of each at most
+``SAMPLE_ROWS`` rows, picked by a hash of the text, and ``DICTIONARY_BYTES`` of
+those: documented bounds of the fit.  Prediction
 reads every text as a whole.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 
 from vidgraph.llm.common import held_out, text_hash, without
 
-SAMPLE_ROWS, DICTIONARY_BYTES = 96, 1 << 17
+SAMPLE_ROWS, DICTIONARY_BYTES, MAX_LANGUAGES = 96, 1 << 17, 500
 PIECE, LEVEL = 1 << 14, 5
 SHORT, TAIL = 400, b" " + b"#" * 64
 MIN_SCORE = 0.6
@@ -49,10 +50,12 @@ def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``lang, text``: at most ``rows`` texts a language, the smallest hashes of
     those outside the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    known = known.join(F.broadcast(common), "lang", "left_semi")
     # The limit is taken in every task first, so a frequent language is not moved.
     order = Window.partitionBy("lang").orderBy("h")
     picked = known.select("lang", text_hash(F.col("text")).alias("h")).withColumn("n", F.row_number().over(order))
-    picked = picked.where(F.col("n") <= rows).select("lang", "h").distinct()
+    picked = picked.where(F.col("n") <= rows).select("lang", "h").distinct()  # rows * MAX_LANGUAGES at most
     known = known.select("lang", "text", text_hash(F.col("text")).alias("h"))
     return known.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
