@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from vidgraph.operators import catalog, ingest, network, search
     from vidgraph.plans import fixtures as fx
-    from vidgraph.plans.jobs import Catalogue, CatalogStore
+    from vidgraph.plans.jobs import CatalogStore
     from vidgraph.session import local_session, scratch_path
 
     spark = local_session()
@@ -57,24 +57,23 @@ def main() -> None:
     res.unpersist()
 
     # One PageRank superstep on the merge-join path (the shape at scale): the
-    # frontier is read from a checkpoint, the edge table from its partitioned one.
+    # frontier is read from storage, the edge table from its buckets.
     from pyspark.sql import functions as F
 
     from vidgraph.operators import influence
 
     verts = cat.videos.select(F.col("videoId").alias("id"))
     edges = cat.related.select(F.col("srcVideoId").alias("src"), F.col("dstVideoId").alias("dst"))
-    dedup = influence.distinct_edges(verts, edges).persist()
-    vx = influence.vertex_salts(verts, dedup).persist()
-    w_raw = influence.weighted_edges(dedup, vx).persist()
-    w_raw.count()
-    w = influence._partitioned_checkpoint(w_raw, 8, ["src", "salt"])
-    frontier = vx.select("id", F.lit(0.15).alias("delta"), "salts").checkpoint()
+    dedup = influence.distinct_edges(verts, edges)
+    vx = influence.vertex_salts(verts, dedup)
+    w, table, _ = influence._bucketed(influence.weighted_edges(dedup, vx), 8, ["src", "salt"])
+    frontier = influence._stored(vx.select("id", F.lit(0.15).alias("delta"), "salts"), "frontier", 0.01)[0]
     sends = frontier.where(F.col("delta") > 0.01).select(
         F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "delta")
     step = (sends.join(w.hint("merge"), ["src", "salt"]).groupBy("dst")
             .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts")))
     print(f"### PageRank superstep (merge-join path)\n\n```\n{formatted(step)}\n```\n")
+    spark.sql(f"drop table {table}")
     spark.stop()
 
 
