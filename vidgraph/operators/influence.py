@@ -14,8 +14,8 @@ which the reference reaches through its graph library):
 
 Plan at scale
 * The weighted edge table is built once, de-duplicated (parallel edges become
-  a multiplicity), and stored as a table bucketed and sorted by ``(src, salt)``:
-  no superstep shuffles or sorts it again.
+  a multiplicity), and stored as a table bucketed by ``(src, salt)``: no
+  superstep shuffles it again (a merge join sorts each bucket where it lies).
 * Skew: a source with many out-edges is split into ``ceil(targets / salt_size)``
   salt buckets (edges spread by a hash of their target); its delta is exploded
   to one row per bucket on the (small) frontier side, so no task holds more
