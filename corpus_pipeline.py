@@ -16,10 +16,19 @@ def _columns(docs: DataFrame):
     return [quoted(c) for c in docs.columns]
 
 
+def _kept_by(docs: DataFrame, added: list[str], operator: Callable[[DataFrame], DataFrame], condition: str) -> DataFrame:
+    """The rows of ``docs`` that ``operator`` returns and ``condition`` holds for,
+    with the documents' own columns, also where an added one has the same name."""
+    low = {c.lower() for c in added}
+    own = {c: f"__own_{i}" if c.lower() in low else c for i, c in enumerate(docs.columns)}
+    out = operator(docs.select(*[quoted(c).alias(name) for c, name in own.items()])).where(condition)
+    return out.select(*[quoted(name).alias(c) for c, name in own.items()])
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores below 0.5 go."""
-    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*_columns(docs))
+    labels = table(spark, sf_dir, "labels")
+    return _kept_by(docs, quality.ADDED, lambda d: quality.score_quality(d, labels), "predicted = 1")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +46,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages (one word in twenty or more) go."""
-    out = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return out.where("not contaminated").select(*_columns(docs))
+    benchmark = table(spark, sf_dir, "benchmark")
+    return _kept_by(docs, decontamination.ADDED, lambda d: decontamination.decontaminate(d, benchmark),
+                    "not contaminated")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at shares proportional to the square root of their size, one epoch."""
-    return mixing.mix_sources(docs, alpha=0.5, epochs=1.0, seed=42).select(*_columns(docs))
+    return _kept_by(docs, mixing.ADDED, lambda d: mixing.mix_sources(d, alpha=0.5, epochs=1.0, seed=42), "n_copies > 0")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -272,6 +272,16 @@ def test_pipeline_odd_and_empty(spark, odd_dir, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
 
+def test_pipeline_keeps_the_documents_own_columns(spark, odd_dir):
+    """Columns named like an operator's own come through unchanged."""
+    docs = common.table(spark, odd_dir, "documents").withColumn("copy", F.lit("mine")).withColumn("size", F.lit(-1))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, odd_dir)
+        assert out.columns == docs.columns, name
+        rows = out.select("score", "n_hit", "copy", "size").distinct().collect()
+        assert [tuple(r) for r in rows] == [("clash", 0, "mine", -1)], name
+
+
 def test_pipeline_dedup_keeps_one_row(spark, repeated):
     out = corpus_pipeline.simhash_near_dedup(spark, repeated, SF).collect()
     assert len(out) == len({(r["doc_id"], r["text"]) for r in out})
