@@ -41,7 +41,7 @@ from vidgraph.llm.common import scratch, text_hash
 from vidgraph.session import scratch_path
 
 LENGTH, BATCH_ROWS = 2048, 64
-CACHE, CHUNK = 700_000, 1 << 20  # pieces remembered; characters encoded at a time
+CACHE, CHUNK = 1_200_000, 1 << 20  # pieces remembered; characters encoded at a time
 # Stand-ins for marks after a letter or digit, which are pieces of their own.
 MARKS = {"\x00": ",", "\x01": ".", "\x02": ".\n"}
 ASCII_BLANKS = "".join(chr(i) for i in range(128) if chr(i).isspace() and chr(i) != " ")
