@@ -36,14 +36,16 @@ from vidgraph.llm.common import quoted, scratch, without
 from vidgraph.llm.components import components
 
 THRESHOLD = 0.93
-CELL, MAX_CELLS, SAMPLE, ROUNDS = 256, 1024, 8192, 5
+CELL, MAX_CELLS, SAMPLE, ROUNDS = 512, 1024, 8192, 5
 CHUNK, BLOCK = 4096, 1024
 ADDED = ["n_links", "component_id", "kept"]
-_ASSIGNED = ("cls bigint, cell int, home int, visits array<int>, gid bigint, mult bigint, e array<double>")
+_ASSIGNED = "cls bigint, cell int, home int, visits array<int>, gid bigint, mult bigint, e {kind}"
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one (by the largest component first: no overflow)."""
+    """Rows in double precision, scaled to length one (by the largest component
+    first: no overflow)."""
+    vectors = vectors.astype(np.float64)
     v = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
@@ -86,7 +88,7 @@ def _assign(rows: pd.DataFrame, cells: pd.DataFrame, threshold: float) -> pd.Dat
     home, near = visits(x, np.stack(cells["centre"].to_numpy()), threshold)
     lists = [np.flatnonzero(n).astype(np.int32) for n in near]
     own = pd.DataFrame({"cls": rows["cls"].to_numpy(), "cell": home.astype(np.int32), "home": home.astype(np.int32),
-                        "visits": lists, "gid": rows["gid"].to_numpy(), "mult": rows["mult"].to_numpy(), "e": list(x)})
+                        "visits": lists, "gid": rows["gid"].to_numpy(), "mult": rows["mult"].to_numpy(), "e": rows["e"].to_numpy()})
     guest, at = np.nonzero(near)
     more = own.iloc[guest].copy()
     more["cell"] = at.astype(np.int32)
@@ -99,7 +101,7 @@ def _linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
 
 def _compare(unit_rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links of one unit: blocks ``u1`` and ``u2`` of one cell (or one block)."""
-    x = np.stack(unit_rows["e"].to_numpy())
+    x = unit(np.stack(unit_rows["e"].to_numpy()))
     cell, home = int(unit_rows["cell"].iloc[0]), unit_rows["home"].to_numpy()
     own, block = home == cell, unit_rows["block"].to_numpy()
     u1, u2 = int(unit_rows["u1"].iloc[0]), int(unit_rows["u2"].iloc[0])
@@ -143,7 +145,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """``vectors`` (``vec_id, embedding, label``, any further columns) plus
     ``n_links``, ``component_id`` and ``kept`` (the component's representative)."""
     base = without(vectors, *ADDED)
-    e = F.col("embedding").cast("array<double>")
+    # Vectors travel as they are; the arithmetic is in double precision.
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    e = F.col("embedding").cast(kind)
     rows = base.select("vec_id", "label", e.alias("e")).where(usable(F.col("e"), F.col("label")))
     groups = rows.groupBy("label", "e").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("mult"))
     groups = scratch(groups.withColumn("gid", F.monotonically_increasing_id()).withColumn("dim", F.size("e")), "vectors")
@@ -166,7 +171,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     copies = centres.join(classes.select("cls", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk")),
                           "cls")
     assigned = dealt.groupBy("cls", "chunk").cogroup(copies.groupBy("cls", "chunk")).applyInPandas(
-        lambda a, b: _assign(a, b, threshold), _ASSIGNED)
+        lambda a, b: _assign(a, b, threshold), _ASSIGNED.format(kind=kind))
     assigned = scratch(assigned, "cells")
 
     resident = F.col("home") == F.col("cell")
