@@ -14,10 +14,19 @@ def odd_texts() -> list[str | None]:
     texts += [filler[20] + " " + filler[21]] * 3
     texts += [f"{filler[30]}\n{PASSAGE}\n{filler[31]}", f"{filler[5]} " * 60 + PASSAGE, PASSAGE.upper(), PASSAGE[:40]]
     texts += [f"{filler[8]}\n{NOTE}", "gnu, general! PUBLIC license and (CC-BY) cc by cc by", NOTE + "\n" + NOTE]
-    texts += [("x" * 50 + "\n") * 2000, "long " * 30000 + "mit license", "a\x00b . , c", "  two  spaces , here . \n"]
+    texts += [("x" * 50 + "\n") * 2000, "long " * 2000 + "mit license", "a\x00b . , c", "  two  spaces , here . \n"]
     return texts
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """The fixtures are tiny: a few shuffle partitions save most of the time."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def odd_dir(spark, tmp_path_factory):
     """The odd corpus as tables of a scale directory; unique ids, extra columns."""

@@ -144,3 +144,14 @@ def test_license_repeated_rows_and_no_templates(spark, repeated):
     assert out[(9, 5)]["labels"] == ["mit", "mit-notice"] and out[(9, 5)]["score"] == 1.0
     plain = licenses.scan_licenses(docs, templates={})
     assert plain.count() == 13 and plain.where("doc_id = 9").first()["labels"] == ["mit"]
+
+
+def test_very_long_text(spark):
+    """400,000 words in one row: linear work, whole result."""
+    text = " ".join(f"w{i % 5000}x" for i in range(400_000))
+    docs = spark.createDataFrame([(1, f"{text} {PASSAGE}\nmit license"), (2, "short")], "doc_id long, text string")
+    bench = spark.createDataFrame([("i", PASSAGE)], "item_id string, text string")
+    out = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert out == {1: (400_022, 20), 2: (1, 0)}
+    out = {r["doc_id"]: (r["n_base"], r["last_word"]) for r in licenses.scan_licenses(docs).collect()}
+    assert out == {1: (1, 400_020), 2: (0, None)}
