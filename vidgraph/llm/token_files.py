@@ -15,7 +15,9 @@ leaves only files that nothing names.
 Encoding: a byte-level BPE with spaces kept in front of words never joins text
 across a single space between two non-blanks, nor a word and the mark after it,
 so a text is cut there and every distinct piece is encoded once per task.  The pieces' ids are the library's own.
-Strings that name special tokens are ordinary text.
+A text that holds an added token (such as ``<|endoftext|>``) goes through the
+library as a whole and gets that token's id, as its plain call gives it; with
+``escape_special`` strings that name special tokens are ordinary text.
 
 Defined cases: null and empty texts give the end id only; null ids come first;
 rows of one ``doc_id`` are ordered by a hash of the text; an empty table gives an
@@ -46,18 +48,22 @@ CACHE, CHUNK = 1_200_000, 1 << 20  # pieces remembered; characters encoded at a
 MARKS = {"\x00": ",", "\x01": ".", "\x02": ".\n"}
 ASCII_BLANKS = "".join(chr(i) for i in range(128) if chr(i).isspace() and chr(i) != " ")
 OTHER_BLANKS = "".join(chr(i) for i in range(128, 0x3001) if chr(i).isspace())
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
-    """Texts to little-endian id bytes; remembers the ids of pieces."""
+    """Texts to little-endian id bytes; remembers the ids of pieces.  With
+    ``escape`` strings that name special tokens are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread in a task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = escape
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.named = [t.content for t in added if not (escape and t.special)]
+        self.joined = not any(" " in n for n in self.named)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces: dict[str, bytes] = {}
         self.spaced = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
@@ -65,10 +71,10 @@ class Encoder:
             self.spaced[i] = token.startswith("\u0120")  # the byte alphabet's space
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+    def of(cls, path: str, escape: bool = True) -> Encoder:
+        if (path, escape) not in _ENCODERS:
+            _ENCODERS[path, escape] = cls(path, escape)
+        return _ENCODERS[path, escape]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -77,8 +83,8 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces.  Those without an inner space go through the library
         as one text: only a piece's first id then starts with a space."""
-        plain = [p for p in pieces if p[:1] not in MARKS and " " not in p]
-        other = [p for p in pieces if p[:1] in MARKS or " " in p]
+        plain = [p for p in pieces if self.joined and p[:1] not in MARKS and " " not in p]
+        other = [p for p in pieces if not self.joined or p[:1] in MARKS or " " in p]
         texts = [MARKS[p[0]] + p[1:] if p[:1] in MARKS else " " + p for p in other]
         self.pieces.update(zip(other, self._whole(texts)))
         if plain:
@@ -89,7 +95,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of a few texts."""
-        cut = [_pieces(t) for t in texts]
+        cut = [[t] if any(n in t for n in self.named) else _pieces(t) for t in texts]
         heads = self._whole([c[0] for c in cut])
         for c in cut:
             del c[0]
@@ -201,9 +207,9 @@ MANIFEST = "part int, tokens string, index string, n_docs bigint, n_tokens bigin
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, length: int,
-           batch_rows: int) -> Iterator[pa.RecordBatch]:
+           batch_rows: int, escape: bool) -> Iterator[pa.RecordBatch]:
     part, out, docs = TaskContext.get().partitionId(), None, 0
-    encoder = Encoder.of(path)
+    encoder = Encoder.of(path, escape)
     end = np.array([end_id], encoder.dtype).tobytes()
     for batch in batches:
         out = out or _Writer(folder, part, encoder.dtype, batch.column(0).type, length, batch_rows)
@@ -223,7 +229,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, length: int = LENGTH,
-                 batch_rows: int = BATCH_ROWS) -> DataFrame:
+                 batch_rows: int = BATCH_ROWS, escape_special: bool = False) -> DataFrame:
     """Write all texts of ``docs`` (``doc_id, text``) below ``folder`` (a shared
     folder, as a URI or an absolute path) and return the manifest: one row per
     file with ``first`` (ids in all files before it)."""
@@ -233,7 +239,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     rows = docs.select("doc_id", "text", text_hash(docs["text"]).alias("xh"))
     rows = rows.repartitionByRange("doc_id", "xh").sortWithinPartitions("doc_id", "xh").select("doc_id", "text")
     manifest = scratch(rows.mapInArrow(
-        lambda it: _write(it, folder, tokenizer, end_id, length, batch_rows), MANIFEST), "token-manifest")
+        lambda it: _write(it, folder, tokenizer, end_id, length, batch_rows, escape_special), MANIFEST), "token-manifest")
     # One row per file.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint"))
