@@ -1,8 +1,11 @@
 """Chat formatting by schema fingerprints.
 
-A record is a VARIANT of any layout.  The nested field paths of the known
-layouts that it holds are hashed; the hash selects a declarative mapping that
-turns the record into canonical (role, text) turns.  The records of one
+A record is a VARIANT of any layout.  Of the nested field paths of the known
+layouts that it holds, those of one layout are hashed; the first layout whose
+own hash this equals selects a declarative mapping that turns the record into
+canonical (role, text) turns.  Other fields don't matter, also those of other
+layouts: lists come before single fields, fields before turn rows, within these
+the order of the tables below, and of one layout the form with more fields.  The records of one
 conversation are joined in the order of ``seq``; the template then marks turns
 and escapes control strings inside roles and texts.
 
@@ -12,7 +15,8 @@ every control string, also of one that already has backslashes there, so it is
 undone by taking one away.  ``loss_spans`` are the places (code points) of all
 assistant texts in the formatted string.
 
-Defined cases: null roles and texts are empty; a record that matches no layout
+Defined cases: null roles and texts are empty; a list holds what one of its
+elements holds; a record that matches no layout
 gives no turn and is counted in ``n_unknown``; conversations without turns stay;
 equal ``seq`` are ordered by position, role and text; null ``conv_id`` is one
 conversation.  A conversation is one output string, so its turns meet in one row.
@@ -38,8 +42,8 @@ FIELD_LAYOUTS = {
     "prompt and response": [("system", "system?"), ("user", "prompt"), ("assistant", "response")],
     "prompt and completion": [("system", "system?"), ("user", "prompt"), ("assistant", "completion")],
     "question and answer": [("system", "system?"), ("user", "question"), ("assistant", "answer")],
-    "instruction": [("system", "system?"), ("user", "instruction"), ("assistant", "output")],
     "instruction with input": [("system", "system?"), ("user", "instruction+input"), ("assistant", "output")],
+    "instruction": [("system", "system?"), ("user", "instruction"), ("assistant", "output")],
 }
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 TURN, SEP, END, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>", "<|endoftext|>"
@@ -55,13 +59,14 @@ def unescape(text: Column) -> Column:
 
 
 def _mappings() -> list[tuple[str, list[str], object]]:
-    """(layout, its field paths, how to get an array of turns from a record)."""
+    """(layout, its field paths, how to get an array of turns from a record), in
+    the order of precedence."""
     turn = "array<struct<role:string,text:string>>"
     found: list[tuple[str, list[str], object]] = []
 
     def listed(name, role, text):
-        kind = f"array<struct<`{role}`:string,`{text}`:string>>"
-        return lambda v: F.try_variant_get(v, f"$.{name}", kind).cast(turn)
+        return lambda v: F.transform(_elements(v, name), lambda e: F.struct(
+            _text(e, role).alias("role"), _text(e, text).alias("text"))).cast(turn)
 
     def fields(parts):
         def build(v):
@@ -70,19 +75,25 @@ def _mappings() -> list[tuple[str, list[str], object]]:
         return build
 
     for layout, (name, role, text) in LIST_LAYOUTS.items():
-        found.append((layout, [f"{name}[].{role}", f"{name}[].{text}"], listed(name, role, text)))
-    for layout, (role, text) in ROW_LAYOUTS.items():
-        found.append((layout, [role, text], lambda v, r=role, t=text: F.array(
-            F.struct(_text(v, r).alias("role"), _text(v, t).alias("text"))).cast(turn)))
+        paths, build, system = [f"{name}[].{role}", f"{name}[].{text}"], listed(name, role, text), fields([("system", "system")])
+        found.append((layout, ["system", *paths], lambda v, b=build, s=system: F.concat(s(v), b(v))))
+        found.append((layout, paths, build))
     for layout, parts in FIELD_LAYOUTS.items():
         optional = [p for p in parts if p[1].endswith("?")]
         for n in range(len(optional) + 1):
             for absent in combinations(optional, n):
                 kept = [(r, p.rstrip("?")) for r, p in parts if (r, p) not in absent]
                 found.append((layout, [x for _, p in kept for x in p.split("+")], fields(kept)))
+    for layout, (role, text) in ROW_LAYOUTS.items():
+        found.append((layout, [role, text], lambda v, r=role, t=text: F.array(
+            F.struct(_text(v, r).alias("role"), _text(v, t).alias("text"))).cast(turn)))
     return found
 
 
+def _elements(v: Column, name: str) -> Column:
+    return F.try_variant_get(v, f"$.{name}", "array<variant>")
+
+
 def _text(v: Column, path: str) -> Column:
     return F.try_variant_get(v, f"$.{path}", "string")
 
@@ -91,21 +102,31 @@ MAPPINGS = _mappings()
 PATHS = sorted({p for _, paths, _ in MAPPINGS for p in paths})
 
 
-def fingerprint(record: Column) -> Column:
-    """Hash of the known nested field paths that a record holds (null values
-    count as held; other fields don't matter)."""
-    held = [F.when(F.try_variant_get(record, "$." + p.replace("[]", "[0]"), "variant").isNotNull(), F.lit(p))
-            for p in PATHS]
-    return F.xxhash64(F.concat_ws("\n", *held))
+def _holds(record: Column, path: str) -> Column:
+    """Null values count as held; a list holds what one of its elements holds."""
+    name, _, field = path.rpartition("[].")
+    if name:
+        return F.exists(_elements(record, name), lambda e: F.try_variant_get(e, f"$.{field}", "variant").isNotNull())
+    return F.try_variant_get(record, f"$.{field}", "variant").isNotNull()
+
+
+def held_paths(record: Column) -> Column:
+    """The known nested field paths that a record holds."""
+    return F.array_compact(F.array(*[F.when(_holds(record, p), F.lit(p)) for p in PATHS]))
+
+
+def fingerprint(held: Column, paths: list[str]) -> Column:
+    """Hash of those of one layout's field paths that are held."""
+    return F.xxhash64(F.array_join(F.array_intersect(F.array(*[F.lit(p) for p in sorted(paths)]), held), "\n"))
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
     """``conv_id, seq, layout, pos, role, text`` from ``conv_id, seq, record``; a
     record without turns gives one row whose ``pos`` is null."""
-    rows = records.select("conv_id", "seq", "record", fingerprint(F.col("record")).alias("fp"))
+    rows = records.select("conv_id", "seq", "record", held_paths(F.col("record")).alias("held"))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
-    for name, paths, build in MAPPINGS:
-        same = F.col("fp") == F.xxhash64(F.lit("\n".join(sorted(paths))))
+    for name, paths, build in reversed(MAPPINGS):
+        same = fingerprint(F.col("held"), paths) == F.xxhash64(F.lit("\n".join(sorted(paths))))
         layout = F.when(same, F.lit(name)).otherwise(layout)
         turns = F.when(same, build(F.col("record"))).otherwise(turns)
     rows = rows.select("conv_id", "seq", layout.alias("layout"), F.posexplode_outer(turns).alias("pos", "turn"))
