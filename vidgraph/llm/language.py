@@ -10,7 +10,7 @@ score near 1 / languages; below ``min_score`` the prediction is ``rejected``
 (the best guess stays in ``lang_pred``).
 
 Learning takes the ``MAX_LANGUAGES`` most frequent labels, of each at most
-``SAMPLE_ROWS`` rows, picked by a hash of the text, and ``DICTIONARY_BYTES`` of
+``SAMPLE_ROWS`` distinct texts, picked by a hash of the text, and ``DICTIONARY_BYTES`` of
 those: documented bounds of the fit.  Prediction
 reads every text as a whole.
 
@@ -47,15 +47,16 @@ def normalise(text: str) -> bytes:
 
 
 def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``lang, text``: at most ``rows`` texts a language, the smallest hashes of
-    those outside the held-out fold."""
+    """``lang, text``: at most ``rows`` distinct texts a language, the smallest
+    hashes of those outside the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
     known = known.join(F.broadcast(common), "lang", "left_semi")
-    # The limit is taken in every task first, so a frequent language is not moved.
+    # Copies are one text.  Only hashes move, and of those the limit is taken in every task first.
     order = Window.partitionBy("lang").orderBy("h")
-    picked = known.select("lang", text_hash(F.col("text")).alias("h")).withColumn("n", F.row_number().over(order))
-    picked = picked.where(F.col("n") <= rows).select("lang", "h").distinct()  # rows * MAX_LANGUAGES at most
+    picked = known.select("lang", text_hash(F.col("text")).alias("h")).distinct()
+    picked = picked.withColumn("n", F.row_number().over(order))
+    picked = picked.where(F.col("n") <= rows).select("lang", "h")  # rows * MAX_LANGUAGES at most
     known = known.select("lang", "text", text_hash(F.col("text")).alias("h"))
     return known.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
