@@ -1,20 +1,24 @@
-"""License scan: exact set-similarity join of text blocks (lines) and templates.
-
-A block matches a template when it holds at least ``THRESHOLD`` of the
-template's distinct words.  Template words are ordered by the number of
-documents in the whole corpus that hold them.  A matching block must hold one of
-a template's ``size - needed + 1`` rarest words (prefix filter), enough template
-words at all (length filter), and enough words from the matched one on
-(positional filter); what is left is verified exactly.  The phrase labels are
+"""License scan: exact set-similarity join of text blocks and templates.
+
+A block is a run of consecutive words of the whole text, wherever its lines end,
+and at most the template's number of words / ``THRESHOLD`` long.  It matches
+when it holds at least ``THRESHOLD`` of the template's distinct words.  Template
+words are ordered by the number of documents in the whole corpus that hold them.
+A text with a matching block must hold one of a template's ``size - needed + 1``
+rarest words (prefix filter) and enough of its words at all (length filter); a
+block must have enough template words from its first one on (positional filter);
+what is left is verified exactly.  The phrase labels are
 found beside this at every place where a phrase's words stand consecutively.
 
-Defined cases: null texts are empty; lines are blocks; repeated document rows
+Defined cases: null texts are empty; repeated document rows
 get equal reports; a null ``doc_id`` is kept; no templates: phrases only.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +60,12 @@ def template_words(spark, templates: dict[str, str]) -> dict[str, list[str]]:
     return {name: ws for name, ws in found.items() if ws}
 
 
+def template_sizes(spark, templates: dict[str, str]) -> dict[str, int]:
+    """The number of words of each template, repeats counted."""
+    rows = spark.range(1).select(*[F.size(words(F.lit(t))).alias(f"t{i}") for i, t in enumerate(templates.values())]).first()
+    return {name: rows[i] for i, name in enumerate(templates)} if templates else {}
+
+
 def _places(w: Column, phrase: str) -> Column:
     parts = phrase.split(" ")
     every = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - len(parts)))
@@ -90,43 +100,55 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     and ``score`` (1 with a phrase, else the best containment)."""
     spark = docs.sparkSession
     phrases = PHRASES if phrases is None else phrases
-    sets = template_words(spark, TEMPLATES if templates is None else templates)
+    chosen = TEMPLATES if templates is None else templates
+    sets = template_words(spark, chosen)
     needed = {name: math.ceil(threshold * len(ws) - 1e-9) for name, ws in sets.items()}
+    longest = {name: math.ceil(n / threshold - 1e-9) for name, n in template_sizes(spark, chosen).items() if name in sets}
     ranks = word_ranks(docs, sorted({w for ws in sets.values() for w in ws})) if sets else {}
     ordered = {name: sorted(ws, key=ranks.__getitem__) for name, ws in sets.items()}
     prefix = {name: ws[: len(ws) - needed[name] + 1] for name, ws in ordered.items()}
     vocabulary, rare = _strings(sorted(ranks, key=ranks.__getitem__)), _strings(
         sorted({w for ws in prefix.values() for w in ws}))
-    least = min(needed.values(), default=0)
+
+    def candidates(held: Column) -> Column:
+        """The templates that a text with these template words may hold."""
+        near = [F.when(F.arrays_overlap(held, _strings(prefix[name]))
+                       & (F.size(F.array_intersect(held, _strings(ordered[name]))) >= needed[name]), F.lit(name))
+                for name in ordered]
+        return F.array_compact(F.array(*near)) if near else F.array().cast("array<string>")
 
     def report(w: Column) -> Column:
         places = [_labelled(_places(w, phrase), label) for phrase, label in phrases.items()]
-        # The block's template words, rarest first.
-        lines = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(vocabulary, words(line)))
-        blocks = F.filter(lines, lambda b: (F.size(b) >= least) & F.arrays_overlap(b, rare))
-        return F.struct(F.size(w).cast("bigint").alias("n_words"), F.concat(*places).alias("places"),
-                        F.when(F.arrays_overlap(w, rare), blocks).alias("blocks"))
+        every = F.transform(w, lambda x, i: F.struct(i.alias("at"), x.alias("word")))
+        hits = F.filter(every, lambda h: F.array_contains(vocabulary, h["word"]))
+        near = bind(F.array_intersect(vocabulary, w), candidates)
+        near = bind(F.when(F.arrays_overlap(w, rare), near), lambda names: F.when(F.size(names) > 0, F.struct(
+            names.alias("names"), hits.alias("hits"))))
+        return F.struct(F.size(w).cast("bigint").alias("n_words"), F.concat(*places).alias("places"), near.alias("near"))
 
     scan = docs.select("doc_id", text_hash(F.col("text")).alias("xh"),
                        bind(words(F.coalesce("text", F.lit(""))), report).alias("r"))
     scan = scratch(scan.select("doc_id", "xh", "r.*"), "license-scan")
 
-    blocks = scan.select("doc_id", "xh", F.explode_outer("blocks").alias("block")).where(F.col("block").isNotNull())
-    blocks = scratch(blocks.distinct().withColumn("block_id", F.monotonically_increasing_id()), "license-blocks")
-    tokens = blocks.select("block_id", "block", F.posexplode_outer("block").alias("b_pos", "word"))
-    rows = [(name, w, i, len(ordered[name]), needed[name], ordered[name])
-            for name, ws in prefix.items() for i, w in enumerate(ws)]
     index = spark.createDataFrame(
-        rows, "template string, word string, t_pos int, t_size int, needed int, t_words array<string>")
-    cand = tokens.join(F.broadcast(index), "word")  # as many rows as the templates' fixed texts have prefix words
-    most = (F.least("t_pos", "b_pos") + 1
-            + F.least(F.col("t_size") - F.col("t_pos") - 1, F.size("block") - F.col("b_pos") - 1))
-    first = (F.size("block") >= F.col("needed")) & (most >= F.col("needed"))
-    shared = F.size(F.array_intersect("block", "t_words"))
-    match = cand.where(first).withColumn("shared", shared).where(F.col("shared") >= F.col("needed"))
-    match = match.groupBy("block_id", "template").agg(F.max(F.col("shared") / F.col("t_size")).alias("containment"))
-    match = (blocks.select("block_id", "doc_id", "xh").join(match, "block_id").groupBy("doc_id", "xh")
-             .agg(F.collect_set("template").alias("found"), F.max("containment").alias("best")))
+        [(name, ordered[name], needed[name], longest[name]) for name in ordered],
+        "template string, t_words array<string>, needed int, longest int")
+    cand = scan.where(F.col("near").isNotNull()).select("doc_id", "xh", "near.hits", F.explode("near.names").alias("template"))
+    cand = cand.join(F.broadcast(index), "template")  # as many rows as the few candidates of each text
+    own = F.filter("hits", lambda h: F.array_contains(F.col("t_words"), h["word"]))
+
+    def best(hits: Column) -> Column:
+        """The most distinct template words of a block, over all that start with one."""
+        def block(h: Column, i: Column) -> Column:
+            last = F.get(hits, i + F.col("needed") - 1)["at"]
+            run = F.filter(F.slice(hits, i + 1, F.col("longest")), lambda x: x["at"] < h["at"] + F.col("longest"))
+            return F.when(last < h["at"] + F.col("longest"), F.size(F.array_distinct(run["word"]))).otherwise(0)
+        return F.array_max(F.transform(hits, block))
+
+    match = cand.select("doc_id", "xh", "template", "needed", F.size("t_words").alias("t_size"), bind(own, best).alias("shared"))
+    match = match.where(F.col("shared") >= F.col("needed"))
+    match = (match.groupBy("doc_id", "xh").agg(F.collect_set("template").alias("found"),
+                                               F.max(F.col("shared") / F.col("t_size")).alias("best")))
     match = scratch(match.select(F.col("doc_id").alias("__id"), F.col("xh").alias("__xh"), "found", "best"), "license-hits")
 
     out = scan.join(broadcast_if_small(match), F.col("doc_id").eqNullSafe(F.col("__id"))
