@@ -2,7 +2,8 @@
 
 A block is a run of consecutive words of the whole text, wherever its lines end,
 and at most the template's number of words / ``THRESHOLD`` long.  It matches
-when it holds at least ``THRESHOLD`` of the template's distinct words.  Template
+when it holds at least ``THRESHOLD`` of the template's distinct words and the
+words that tell it from its neighbours (``REQUIRED``).  Template
 words are ordered by the number of documents in the whole corpus that hold them.
 A text with a matching block must hold one of a template's ``size - needed + 1``
 rarest words (prefix filter) and enough of its words at all (length filter); a
@@ -46,6 +47,58 @@ TEMPLATES = {
     "mit-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
     "and associated documentation files",
 }
+# Further notices, as their licenses give them.
+_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the {0} General Public "
+        "License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any "
+        "later version")
+_CC = "This work is licensed under a Creative Commons {0} 4.0 International License"
+_CC_KINDS = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivatives",
+             "by-nc": "Attribution-NonCommercial", "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+             "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+NOTICES = {
+    "agpl-3.0-header": _GPL.format("GNU Affero", "3"),
+    "bsd-2-clauses": "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "bsd-3rd-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission",
+    "gpl-2.0-header": _GPL.format("GNU", "2"),
+    "gpl-3.0-header": _GPL.format("GNU", "3"),
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "lgpl-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+    "your option) any later version",
+    "lgpl-3.0-header": _GPL.format("GNU Lesser", "3"),
+    "mit-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal in the Software without restriction, including without limitation the "
+    "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+    "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+    "and this permission notice shall be included in all copies or substantial portions of the Software",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+    "not distributed with this file, You can obtain one at",
+    **{f"cc-{kind}-4.0-notice": _CC.format(name) for kind, name in _CC_KINDS.items()},
+    **{f"cc-{kind}-4.0": f"Licensed under CC {kind.upper()} 4.0" for kind in _CC_KINDS if kind != "by-nc"},
+}
+# What tells a notice from its neighbours: a block must also hold these words, each phrase's consecutively.
+REQUIRED = {
+    "agpl-3.0-header": ["gnu affero general public license", "version 3 of the license"],
+    "apache-2.0": ["apache license version 2 0"],
+    "apache-2.0-header": ["apache license version 2 0"],
+    "gpl-2.0-header": ["gnu general public license", "version 2 of the license"],
+    "gpl-3.0": ["gnu general public license version 3"],
+    "gpl-3.0-header": ["gnu general public license", "version 3 of the license"],
+    "gpl-header": ["gnu general public license"],
+    "isc": ["this permission notice appear in all copies"],
+    "lgpl-2.1-header": ["gnu lesser general public license", "version 2 1 of the license"],
+    "lgpl-3.0-header": ["gnu lesser general public license", "version 3 of the license"],
+    "mit-full": ["associated documentation files"],
+    "mit-notice": ["mit license"],
+    "mit-permission": ["associated documentation files"],
+    "mpl-2.0": ["mozilla public license v 2 0"],
+    **{f"cc-{kind}-4.0-notice": [f"commons {name.lower().replace('-', ' ')} 4 0"] for kind, name in _CC_KINDS.items()},
+    **{f"cc-{kind}-4.0": [f"cc {kind.replace('-', ' ')} 4 0"] for kind in _CC_KINDS},
+}
 THRESHOLD = 0.8
 
 
@@ -94,13 +147,16 @@ def word_ranks(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
-                  phrases: dict[str, str] | None = None) -> DataFrame:
+                  phrases: dict[str, str] | None = None, required: dict[str, list[str]] | None = None) -> DataFrame:
     """One report per row of ``docs`` (``doc_id, text``): ``doc_id, n_words,
     n_base, first_word, last_word, base_labels, template_labels, labels`` (arrays)
-    and ``score`` (1 with a phrase, else the best containment)."""
+    and ``score`` (1 with a phrase, else the best containment).  ``required``:
+    by template, phrases of its own words that a block must hold (default:
+    ``REQUIRED`` with the default templates, none with others)."""
     spark = docs.sparkSession
     phrases = PHRASES if phrases is None else phrases
-    chosen = TEMPLATES if templates is None else templates
+    chosen = {**TEMPLATES, **NOTICES} if templates is None else templates
+    required = (REQUIRED if templates is None else {}) if required is None else required
     sets = template_words(spark, chosen)
     needed = {name: math.ceil(threshold * len(ws) - 1e-9) for name, ws in sets.items()}
     longest = {name: math.ceil(n / threshold - 1e-9) for name, n in template_sizes(spark, chosen).items() if name in sets}
@@ -131,18 +187,25 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     scan = scratch(scan.select("doc_id", "xh", "r.*"), "license-scan")
 
     index = spark.createDataFrame(
-        [(name, ordered[name], needed[name], longest[name]) for name in ordered],
-        "template string, t_words array<string>, needed int, longest int")
+        [(name, ordered[name], needed[name], longest[name], [p.split(" ") for p in required.get(name, [])]) for name in ordered],
+        "template string, t_words array<string>, needed int, longest int, required array<array<string>>")
     cand = scan.where(F.col("near").isNotNull()).select("doc_id", "xh", "near.hits", F.explode("near.names").alias("template"))
     cand = cand.join(F.broadcast(index), "template")  # as many rows as the few candidates of each text
     own = F.filter("hits", lambda h: F.array_contains(F.col("t_words"), h["word"]))
 
     def best(hits: Column) -> Column:
         """The most distinct template words of a block, over all that start with one."""
+        def holds(run: Column, p: Column) -> Column:
+            starts = F.filter(F.transform(run, lambda x, j: F.struct(x.alias("x"), j.alias("j"))),
+                              lambda s: s["x"]["word"] == F.get(p, F.lit(0)))
+            return F.exists(starts, lambda s: (F.slice(run, s["j"] + 1, F.size(p))["word"] == p)
+                            & (F.get(run, s["j"] + F.size(p) - 1)["at"] == s["x"]["at"] + F.size(p) - 1))
+
         def block(h: Column, i: Column) -> Column:
             last = F.get(hits, i + F.col("needed") - 1)["at"]
             run = F.filter(F.slice(hits, i + 1, F.col("longest")), lambda x: x["at"] < h["at"] + F.col("longest"))
-            return F.when(last < h["at"] + F.col("longest"), F.size(F.array_distinct(run["word"]))).otherwise(0)
+            shared = bind(run, lambda r: F.when(F.forall("required", lambda p: holds(r, p)), F.size(F.array_distinct(r["word"]))))
+            return F.when(last < h["at"] + F.col("longest"), shared).otherwise(0)
         return F.array_max(F.transform(hits, block))
 
     match = cand.select("doc_id", "xh", "template", "needed", F.size("t_words").alias("t_size"), bind(own, best).alias("shared"))
