@@ -2,10 +2,10 @@
 
 Each language has a zstandard raw-content dictionary: the texts of a bounded
 sample of its rows.  A text is normalised (lower case, runs of other characters
-than letters become one blank, each word stands once, so repetition carries no
-weight) and compressed with every dictionary; the smallest result wins.  A short
-text gets a constant tail that compresses well: else the format would store it
-uncompressed and all sizes would tie.  The score is a softmax over the saved bits, so a narrow margin gives a
+than letters become one blank) and compressed with every dictionary, in pieces
+short enough that a word's repeats count each time they come; the smallest sum
+wins.  A short piece gets a constant tail that compresses well: else the format
+would store it uncompressed and all sizes would tie.  The score is a softmax over the saved bits, so a narrow margin gives a
 score near 1 / languages; below ``min_score`` the prediction is ``rejected``
 (the best guess stays in ``lang_pred``).
 
@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 from vidgraph.llm.common import held_out, text_hash, without
 
 SAMPLE_ROWS, DICTIONARY_BYTES, MAX_LANGUAGES = 96, 1 << 17, 500
-PIECE, LEVEL = 1 << 14, 5
+PIECE, LEVEL = 512, 5
 SHORT, TAIL = 400, b" " + b"#" * 64
 MIN_SCORE = 0.6
 UNKNOWN = "und"
@@ -93,14 +93,14 @@ class Classifier:
             self.compressors.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
 
     def sizes(self, text: str) -> list[int] | None:
-        """Compressed bytes by language; whole texts, in pieces that the
-        dictionary still reaches.  None: no letter."""
-        raw = b" ".join(dict.fromkeys(normalise(text).split()))
+        """Compressed bytes by language; whole texts, in pieces that know the
+        dictionary but not each other.  None: no letter."""
+        raw = normalise(text)
         if not raw or not self.langs:
             return None
-        raw = raw if len(raw) > SHORT else raw + TAIL
-        view = memoryview(raw)
-        pieces = [view[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+        pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+        if len(pieces[-1]) <= SHORT:
+            pieces[-1] += TAIL
         return [sum(len(c.compress(p)) for p in pieces) for c in self.compressors]
 
     def predict(self, text: str | None) -> tuple[str, float]:
