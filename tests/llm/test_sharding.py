@@ -1,0 +1,86 @@
+"""Vector bin packing of documents into shards."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vidgraph.llm import queries, sharding
+
+SF = "/root/testdata/sf0.01"
+
+
+def rows_of(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def test_whole_table(spark):
+    """The law holds, slots are gapless, copies stay together, nothing is lost."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = rows_of(queries.op13_sharding(spark, SF))
+    assert sorted(r["doc_id"] for r in out) == sorted(docs)
+    slots, sizes, homes = defaultdict(list), defaultdict(int), defaultdict(set)
+    for r in out:
+        raw = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 16, zlib.crc32(raw))
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < 40
+        slots[r["shard"]].append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+        homes[raw].add(r["shard"])
+    assert len(slots) == 40 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(sizes.values()) / 40
+    assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
+    assert all(len(h) == 1 for h in homes.values())
+
+
+def test_a_third_of_all_rows_is_one_text(spark):
+    rows = [(i, "the very same text") for i in range(3000)] + [(i, f"text {i} " * (i % 50)) for i in range(3000, 9000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = sharding.assign(df, 10).groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()
+    assert len(out) == 10
+    assert max(r["n"] for r in out) < 1.25 * 900 and max(r["b"] for r in out) < 1.05 * sum(r["b"] for r in out) / 10
+
+
+def test_same_result_whatever_the_order(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    a = {r["doc_id"]: r["shard"] for r in sharding.assign(df, 7).collect()}
+    b = {r["doc_id"]: r["shard"] for r in sharding.assign(df.orderBy(F.desc("text")), 7).collect()}
+    assert a == b
+
+
+def test_odd_rows(spark):
+    """Null ids and texts, repeated rows, clashing columns, one very long text."""
+    rows = [(1, None, 5), (1, None, 5), (None, "", 6), (None, "x", 7), (2, "long " * 50_000, 8), (2, "y", 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, Slot int").withColumn("size", F.lit("clash"))
+    df = df.withColumn("law", F.lit(1)).withColumn("kept", F.lit(3))
+    out = rows_of(sharding.shard_documents(df, 3))
+    assert len(out) == 6 and all(r["kept"] == 3 and r["law"] == "bytes" for r in out)
+    assert sorted(r["size"] for r in out) == [16, 16, 16, 17, 17, 250_016]
+    assert len({r["shard"] for r in out if not r["text"]}) == 1
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_empty_table_and_bad_count(spark, empty_dir):
+    docs = spark.read.parquet(f"{empty_dir}/documents.parquet")
+    assert rows_of(sharding.shard_documents(docs, 4)) == []
+    with pytest.raises(ValueError):
+        sharding.shard_documents(docs, 0)
+
+
+def test_pack_is_the_stated_rule():
+    """Plain restatement of the packing rule, and its balance on random units."""
+    units = np.sort(np.random.default_rng(3).integers(1, 1000, (400, 3)), axis=0)[::-1]
+    got, room, part = sharding.pack(units, 8), [[1.0] * 3 for _ in range(8)], units / units.sum(axis=0) * 8
+    for unit, chosen in zip(part.tolist(), got):
+        scores = [sum(a * b for a, b in zip(unit, r)) if r[0] >= unit[0] - 1e-12 else None for r in room]
+        if any(s is not None for s in scores):
+            assert scores[chosen] == pytest.approx(max(s for s in scores if s is not None))
+        else:
+            assert room[chosen][0] == max(r[0] for r in room)
+        room[chosen] = [r - u for r, u in zip(room[chosen], unit)]
+    assert abs(np.array(room)[:, 0]).max() < 0.03

@@ -112,10 +112,64 @@ select doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first
 from d left join base using (doc_id) left join found using (doc_id)
 """
 
+# CRC-32 of a text: eight table steps give the 256 table entries, one step per byte the sum.
+_CRC_TABLE = f"""
+crc_steps as (select i, i::ubigint v, 0 s from (select unnest(generate_series(0, 255)) i)
+  union all select i, case when v % 2 = 1 then xor(v >> 1, 3988292384::ubigint) else v >> 1 end, s + 1
+  from crc_steps where s < 8),
+crc_table as (select i, v from crc_steps where s = 8)"""
+
+OP11 = f"""
+with recursive {_CRC_TABLE.strip()},
+ids as (select distinct conv_id c, conv_id::varchar x from conversations where conv_id is not null),
+crc as (select c, x, 1 i, 4294967295::ubigint v from ids
+  union all select c, x, crc.i + 1, xor(crc.v >> 8, t.v) from crc
+  join crc_table t on t.i = xor(crc.v & 255::ubigint, ascii(x[crc.i])::ubigint) where crc.i <= length(x)),
+convs as (select c, c - c % 100 seed, (xor(v, 4294967295::ubigint) % 6)::int h from crc where i = length(x) + 1),
+own as (select conv_id c, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+  order by turn nulls first, role, text) ts from conversations where conv_id is not null group by 1),
+built as (select convs.c, list_concat(coalesce(s.ts, [])[1:h], o.ts[h + 1:]) ts
+  from convs join own o using (c) left join own s on s.c = convs.seed),
+keyed as (select c, ts, list_transform(ts, lambda t: md5(length(t.r) || ':' || t.r || t.x)) ks from built),
+prefixes as (select c, ts, ks, unnest(generate_series(0, len(ts))) d from keyed),
+nodes as (select d, array_to_string(ks[1:d], '/') k, min(c) conv_id, count(*) n_convs,
+    any_value(array_to_string(ks[1:d - 1], '/')) pk,
+    case when d = 0 then 0 else (count(*) - 1) * length(any_value(ts[greatest(d, 1)].x)) end own,
+    string_agg(c::varchar, ',' order by c) filter (where d = len(ts)) ends, any_value(ks[1:d]) ks
+  from prefixes group by d, k),
+kids as (select d - 1 d, pk k, count(*) n from nodes where d > 0 group by all),
+full_nodes as (select nodes.*, coalesce(kids.n, 0) n_children from nodes left join kids using (d, k)),
+up as (select a, array_to_string(ks[1:a], '/') k, own, n_children
+  from (select *, unnest(generate_series(0, d)) a from full_nodes)),
+totals as (select a d, k, count(*) filter (where n_children = 0) n_leaves, sum(own) saved from up group by all)
+select f.conv_id, f.d depth, p.conv_id parent_conv_id, f.n_convs, f.n_children, t.n_leaves,
+  t.saved::bigint saved_tokens, sha256(coalesce(f.ends, '')) ends_sha256
+from full_nodes f join totals t using (d, k) left join nodes p on p.d = f.d - 1 and p.k = f.pk
+"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = f"""
+with d as (select doc_id, regexp_extract_all(text, '{TERM}') w, row_number() over () r from documents),
+dt as (select r, doc_id, len(w) n, unnest(w) t from d),
+tf as (select r, doc_id, n, {LOWERED.format('t')} t, count(*) tf from dt group by all),
+total as (select count(*) docs, sum(len(w)) len from d where len(w) > 0),
+weight as (select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint w from tf, total group by t, docs),
+q as (select i, item_id, {LOWERED.format('t')} t, count(*) q from (select row_number() over () i, item_id,
+  unnest(regexp_extract_all(text, '{TERM}')) t from benchmark) group by all),
+scored as (select i, item_id, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // len)))) score
+  from q join tf using (t) join weight using (t), total group by all),
+ranked as (select item_id, row_number() over (partition by i order by score desc, doc_id nulls last) r, doc_id, score
+  from scored where score > 0)
+select item_id, r::int as rank, doc_id, score::bigint score from ranked where r <= 10
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op2_mixing": OP2,
     "op4_chat_formatting": OP4,
     "op9_benchmark_decontamination": OP9,
     "op10_license_scan": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_ranked_search": OP12,
 }

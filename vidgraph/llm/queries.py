@@ -11,12 +11,15 @@ from vidgraph.llm import (
     decontaminate,
     embeddings,
     language,
+    lexical,
     licenses,
     lines,
     mixing,
     quality,
+    sharding,
     simhash,
     token_files,
+    trie,
 )
 from vidgraph.llm.common import scratch, table
 
@@ -90,6 +93,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.rebuilt_turns(table(spark, sf_dir, "conversations"), group=100, most=6)
+    return trie.prefix_trie(turns, convs)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return out.select("doc_id", *sharding.ADDED)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_mixing, op3_simhash_near_dedup, op4_chat_formatting, op5_embedding_near_dedup,
-    op6_language_id, op7_quality_classifier, op8_token_ids, op9_benchmark_decontamination, op10_license_scan)}
+    op6_language_id, op7_quality_classifier, op8_token_ids, op9_benchmark_decontamination, op10_license_scan,
+    op11_prefix_trie, op12_ranked_search, op13_sharding)}
