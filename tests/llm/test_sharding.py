@@ -55,7 +55,7 @@ def test_odd_rows(spark):
     rows = [(1, None, 5), (1, None, 5), (None, "", 6), (None, "x", 7), (2, "long " * 50_000, 8), (2, "y", 9)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, Slot int").withColumn("size", F.lit("clash"))
     df = df.withColumn("law", F.lit(1)).withColumn("kept", F.lit(3))
-    out = rows_of(sharding.shard_documents(df, 3))
+    out = rows_of(sharding.shard_documents(df, 2))
     assert len(out) == 6 and all(r["kept"] == 3 and r["law"] == "bytes" for r in out)
     assert sorted(r["size"] for r in out) == [16, 16, 16, 17, 17, 250_016]
     assert len({r["shard"] for r in out if not r["text"]}) == 1
