@@ -43,15 +43,16 @@ def _production_path(spark, sf_dir: str) -> dict:
     apart from ``value``; an error is reported instead of failing the bench."""
     try:
         from vidgraph.plans import fixtures as fx
-        from vidgraph.plans.jobs import CatalogStore, influence_job, network_job
+        from vidgraph.plans.jobs import CatalogTables, influence_job, network_job
         from vidgraph.session import scratch_path
 
         crawl_root = scratch_path(spark, "bench_crawl")
         fx.raw_lines_fx(spark, sf_dir).select("batch", "value").write.partitionBy("batch").text(crawl_root)
-        store = CatalogStore(spark, scratch_path(spark, "bench_catalog"))
+        store = CatalogTables(spark, scratch_path(spark, "bench_catalog"))
         out = {}
         t0 = time.perf_counter()
-        cat = store.read(store.import_crawl(crawl_root))
+        store.import_crawl(crawl_root)
+        cat = store.read()
         out["import"] = round(time.perf_counter() - t0, 3)
         t0 = time.perf_counter()
         network_job(cat.videos, cat.related, scratch_path(spark, "bench_network"), check_nonempty=True)

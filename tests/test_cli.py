@@ -20,7 +20,7 @@ def test_cli_commands(spark, tmp_dir, capsys):
            "v3\tz\t3\tFilm\t80\t300\t2.5\t9\t5\tv1\tv2\n")
     cat = f"{tmp_dir}/cat"
     assert main(["import", "--crawl", f"{tmp_dir}/prep", "--catalog", cat]) == 0
-    assert "catalogue version 0" in capsys.readouterr().out
+    assert "merged 3 videos, added 5 edges" in capsys.readouterr().out
     main(["top", "--catalog", cat, "--field", "views", "--k", "2"])
     out = capsys.readouterr().out
     assert "v3" in out and "v2" in out and "v1" not in out

@@ -1,0 +1,73 @@
+"""Bitmap tests before exact joins: no member is lost, most others never reach an exchange."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from vidgraph.operators import catalog, membership
+from vidgraph.operators.membership import KeyFilter
+
+
+def pairs(spark, lo, hi):
+    return spark.range(lo, hi).select(F.concat(F.lit("v"), "id").alias("srcVideoId"),
+                                      F.concat(F.lit("v"), F.col("id") * 7).alias("dstVideoId"))
+
+
+def test_members_are_kept_and_most_others_dropped(spark):
+    stored, keys = pairs(spark, 0, 100_000), pairs(spark, 0, 2_000)
+    kept = KeyFilter(keys, ["srcVideoId", "dstVideoId"], 2_000).maybe(stored, stored.columns)
+    assert kept.join(keys, stored.columns, "left_semi").count() == 2_000
+    assert kept.count() < 2_000 + 0.03 * 98_000
+    assert kept.columns == stored.columns
+
+
+def test_nulls_are_no_members(spark):
+    rows = spark.createDataFrame([("a", None), (None, "b"), ("a", "b")], "srcVideoId string, dstVideoId string")
+    assert [tuple(r) for r in KeyFilter(rows, rows.columns, 3).maybe(rows, rows.columns).collect()] == [("a", "b")]
+    none = rows.where(F.lit(False))
+    assert KeyFilter(none, rows.columns, 0).maybe(rows, rows.columns).count() == 0
+
+
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(membership, "MIN_WORDS", 2)
+    monkeypatch.setattr(membership, "MAX_WORDS", 2)
+    stored, keys = pairs(spark, 0, 3_000), pairs(spark, 0, 1_000)
+    small = KeyFilter(keys, stored.columns, 20)   # more keys than it was told
+    assert small.useful and small.maybe(stored, stored.columns).count() == 3_000
+    large = KeyFilter(keys, stored.columns, 1_000)
+    assert not large.useful and large.maybe(stored, stored.columns).count() == 3_000
+
+
+@pytest.mark.parametrize("told", [True, False])
+def test_stored_edges_do_not_reach_an_exchange(spark, told, tmp_dir):
+    """New edges above the broadcast limit: a shuffle join, whose stored side is tested in its scan's stage."""
+    pairs(spark, 0, 200_000).write.parquet(f"{tmp_dir}/stored")
+    pairs(spark, 199_000, 205_000).write.parquet(f"{tmp_dir}/fresh")
+    stored, fresh = spark.read.parquet(f"{tmp_dir}/stored"), spark.read.parquet(f"{tmp_dir}/fresh")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = catalog.unknown_related(fresh, stored, 6_000 if told else None)
+        assert len(out.collect()) == 5_000
+        exchanged = []   # rows written by each shuffle
+
+        def walk(node):
+            if node.nodeName() == "Exchange":
+                exchanged.append(node.metrics().apply("shuffleRecordsWritten").value())
+            kids = node.children()
+            for i in range(kids.length()):
+                walk(kids.apply(i))
+
+        walk(out._jdf.queryExecution().executedPlan())
+        assert exchanged and (max(exchanged) < 20_000) == told
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_known_related_with_the_bitmap(spark):
+    videos = spark.createDataFrame([("a",), ("b",), (None,)], "videoId string")
+    edges = spark.createDataFrame([("a", "b"), ("a", "zz"), ("b", "b"), ("y", "a")], "srcVideoId string, dstVideoId string")
+    for n in (None, 4):
+        assert sorted(map(tuple, catalog.known_related(edges, videos, n).collect())) == [("a", "b"), ("b", "b")]

@@ -29,14 +29,14 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from vidgraph.operators import catalog, ingest, network, search
     from vidgraph.plans import fixtures as fx
-    from vidgraph.plans.jobs import CatalogStore
+    from vidgraph.plans.jobs import CatalogTables
     from vidgraph.session import local_session, scratch_path
 
     spark = local_session()
-    store = CatalogStore(spark, scratch_path(spark, "plans_catalog"))
+    store = CatalogTables(spark, scratch_path(spark, "plans_catalog"))
     videos = fx.videos_fx(spark, sf_dir)
     store.merge(videos, lambda: fx.related_fx(spark, sf_dir))
-    cat = store.read(0)
+    cat = store.read()
     raw = fx.raw_lines_fx(spark, sf_dir)
     new_rows = ingest.parse_videos(raw)
     res = network.run_network(cat.videos, cat.related)

@@ -9,7 +9,7 @@ SparkSession, and uses built-in column expressions (no Python UDFs).
 
 Main entry points (also importable from their modules)::
 
-    from vidgraph import CatalogStore, read_crawl, search_top_k, search_range
+    from vidgraph import CatalogTables, read_crawl, search_top_k, search_range
     from vidgraph import run_network, network_job, pagerank, influence_job, influence_top
 """
 
@@ -36,7 +36,7 @@ _EXPORTS = {
     "run_network": "vidgraph.operators.network",
     "pagerank": "vidgraph.operators.influence",
     "influence_top": "vidgraph.operators.influence",
-    "CatalogStore": "vidgraph.plans.jobs",
+    "CatalogTables": "vidgraph.plans.catalog_tables",
     "network_job": "vidgraph.plans.jobs",
     "network_from_csv": "vidgraph.plans.jobs",
     "influence_job": "vidgraph.plans.jobs",

@@ -74,14 +74,20 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _catalogue(spark, path):
-    from vidgraph.plans.jobs import CatalogStore
+    from vidgraph.plans.catalog_tables import CatalogTables
 
-    cat = CatalogStore(spark, path).read()
+    cat = CatalogTables(spark, path).read()
     if cat is None:
-        raise SystemExit(f"no committed catalogue under {path}")
+        raise SystemExit(f"no catalogue under {path}")
     return cat
 
 
+def _print_report(report, path: str) -> None:
+    print(f"read {report.lines} lines ({report.skipped} skipped, {report.bad_bytes} with invalid UTF-8), "
+          f"{report.videos} video rows, {report.edges} edge rows")
+    print(f"merged {report.merged_videos} videos, added {report.added_edges} edges under {path}")
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     from pyspark.sql import SparkSession
@@ -95,18 +101,16 @@ def main(argv: list[str] | None = None) -> int:
         jobs.crawl_to_csv(spark, args.crawl, args.videos_out, args.related_out, layout=args.layout)
         print(f"wrote {args.videos_out} and {args.related_out}")
     elif args.command == "import":
-        version = jobs.CatalogStore(spark, args.catalog).import_crawl(
-            args.crawl, layout=args.layout, skip_ids=spark.read.text(args.skip) if args.skip else None)
-        print(f"catalogue version {version} written under {args.catalog}")
+        _print_report(jobs.CatalogTables(spark, args.catalog).import_crawl(
+            args.crawl, layout=args.layout, skip_ids=spark.read.text(args.skip) if args.skip else None), args.catalog)
     elif args.command == "import-csv":
-        version = jobs.CatalogStore(spark, args.catalog).import_csv(
-            args.videos, args.related, skip_ids=spark.read.text(args.skip) if args.skip else None)
-        print(f"catalogue version {version} written under {args.catalog}")
+        _print_report(jobs.CatalogTables(spark, args.catalog).import_csv(
+            args.videos, args.related, skip_ids=spark.read.text(args.skip) if args.skip else None), args.catalog)
     elif args.command == "network-csv":
         jobs.network_from_csv(spark, args.videos, args.related, args.out)
         print(f"outputs written under {args.out}")
     elif args.command == "network":
-        jobs.network_from_catalog(jobs.CatalogStore(spark, args.catalog), args.out)
+        jobs.network_from_catalog(jobs.CatalogTables(spark, args.catalog), args.out)
         print(f"outputs written under {args.out}")
     elif args.command == "top":
         search.search_top_k(_catalogue(spark, args.catalog).videos, args.field, args.k).show(args.k, truncate=False)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidgraph.functions.convert import to_float, to_integer
+from vidgraph.operators.membership import KeyFilter
 from vidgraph.operators.network import aggregation_videos
 from vidgraph.schema import VIDEO_COLUMNS
 
@@ -112,6 +113,30 @@ def merge_videos(existing: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
+def distinct_related(edges: DataFrame) -> DataFrame:
+    """Distinct (srcVideoId, dstVideoId) pairs without nulls."""
+    pair = ["srcVideoId", "dstVideoId"]
+    return edges.select(*pair).where(F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull()).dropDuplicates(pair)
+
+
+def known_related(fresh: DataFrame, videos: DataFrame, n_fresh: int | None = None) -> DataFrame:
+    """The ``fresh`` distinct edges whose both endpoints are ``videos``.
+
+    With ``n_fresh`` (how many they are, roughly) the stored videos are first
+    tested against a bitmap of the endpoints, in their scan's stage: of a large
+    catalogue only the videos that the fresh edges may name are shuffled.
+    """
+    ids = videos.select("videoId").where(F.col("videoId").isNotNull())
+    if n_fresh is not None:
+        ends = fresh.select(F.explode(F.array("srcVideoId", "dstVideoId")).alias("videoId"))
+        ids = KeyFilter(ends, ["videoId"], 2 * n_fresh).maybe(ids, ["videoId"])
+    return (
+        fresh.join(ids.withColumnRenamed("videoId", "srcVideoId"), "srcVideoId", "left_semi")
+        .join(ids.withColumnRenamed("videoId", "dstVideoId"), "dstVideoId", "left_semi")
+        .select("srcVideoId", "dstVideoId")
+    )
+
+
 def upsert_related(
     edges: DataFrame, videos: DataFrame, existing: DataFrame | None = None
 ) -> DataFrame:
@@ -121,28 +146,25 @@ def upsert_related(
     edges already satisfy the rule (videos are never removed), so the existing
     edge table is shuffled once, by the final de-duplication, not by the joins.
     """
-    e = (
-        edges.select("srcVideoId", "dstVideoId")
-        .where(F.col("srcVideoId").isNotNull() & F.col("dstVideoId").isNotNull())
-        .dropDuplicates(["srcVideoId", "dstVideoId"])
-    )
-    ids = videos.select("videoId").where(F.col("videoId").isNotNull())
-    e = (
-        e.join(ids.withColumnRenamed("videoId", "srcVideoId"), "srcVideoId", "left_semi")
-        .join(ids.withColumnRenamed("videoId", "dstVideoId"), "dstVideoId", "left_semi")
-        .select("srcVideoId", "dstVideoId")
-    )
+    e = known_related(distinct_related(edges), videos)
     if existing is None:
         return e
     return existing.select("srcVideoId", "dstVideoId").unionByName(e).dropDuplicates(["srcVideoId", "dstVideoId"])
 
 
-def unknown_related(fresh: DataFrame, existing: DataFrame) -> DataFrame:
-    """The ``fresh`` edges that ``existing`` does not hold.  The large existing
-    table is only the streamed side of a semi join with the fresh edges, so
-    where these are small enough to broadcast it is scanned, not shuffled."""
+def unknown_related(fresh: DataFrame, existing: DataFrame, n_fresh: int | None = None) -> DataFrame:
+    """The ``fresh`` edges that ``existing`` does not hold.
+
+    The large existing table is only the streamed side of a semi join with the
+    fresh edges.  With ``n_fresh`` it is first tested against their bitmap, so
+    that most stored edges never reach an exchange, also where the fresh edges
+    are too many to be broadcast.
+    """
     pair = ["srcVideoId", "dstVideoId"]
-    again = existing.select(*pair).join(fresh.select(*pair), pair, "left_semi")
+    stored = existing.select(*pair)
+    if n_fresh is not None:
+        stored = KeyFilter(fresh, pair, n_fresh).maybe(stored, pair)
+    again = stored.join(fresh.select(*pair), pair, "left_semi")
     return fresh.select(*pair).join(again, pair, "left_anti")
 
 

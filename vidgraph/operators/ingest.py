@@ -10,13 +10,13 @@ Python row parser):
    (``clean_id``, empty ones dropped, duplicates kept).
 
 Provenance columns of the input (for example ``batch, line_no`` or the
-``folder, file, block, pos`` of ``read_crawl``) are carried through, so that a
+``rank, block, pos`` of ``read_crawl``) are carried through, so that a
 later upsert can order rows (last write wins).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidgraph.functions.text import clean_cell, clean_id, split_fields, strip_outer_quotes
@@ -72,6 +72,16 @@ def parse_related(raw: DataFrame, value: str = "value") -> DataFrame:
     return related_from_fields(parse_lines(raw, value))
 
 
+def line_counts(value: str = "value") -> list[Column]:
+    """Aggregates over raw lines: ``lines``, ``skipped`` (empty after unquoting) and
+    ``badBytes`` (lines with invalid UTF-8); cheap enough to be observed in a write."""
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(F.rtrim(F.col(value), F.lit("\r\n")).isin("", '""'), 1)).alias("skipped"),
+        F.count(F.when(~F.is_valid_utf8(F.col(value)), 1)).alias("badBytes"),
+    ]
+
+
 def ingest_report(raw: DataFrame, value: str = "value") -> DataFrame:
     """One row of counts: lines, skipped (empty after unquoting), lines with
     invalid UTF-8 (``badBytes``), videos and related edges."""
@@ -84,9 +94,7 @@ def ingest_report(raw: DataFrame, value: str = "value") -> DataFrame:
         )
     )
     return raw.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count(F.when(line == "", 1)).alias("skipped"),
-        F.count(F.when(~F.is_valid_utf8(F.col(value)), 1)).alias("badBytes"),
+        *line_counts(value),
         F.count(F.when(line != "", 1)).alias("videos"),
         F.coalesce(F.sum(F.when(line != "", n_rel)), F.lit(0)).cast("bigint").alias("edges"),
     )

@@ -10,7 +10,7 @@ jobs expect; no job reads anything from how they are made.
   directed multiset: duplicates, null endpoints, and endpoints outside the
   catalogue (prefix ``x``, i.e. videos never crawled) on both sides.
 * ``raw_lines_fx`` - dirty crawl lines (quotes, BOM, NBSP, blank and empty
-  lines, bad numbers); related IDs are parts bought next, so targets grow with
+  lines, bad numbers, U+FFFD where the report's query puts invalid bytes); related IDs are parts bought next, so targets grow with
   the tables; batch 2 re-crawls the parts with ``p_size > 45``.
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TAB, BOM, NBSP = "\t", "\ufeff", "\u00a0"
+TAB, BOM, NBSP, BAD = "\t", "\ufeff", "\u00a0", "\ufffd"
 
 VIDEOS_FX = """
 select 'v' || cast(p_partkey as string) as videoId,
@@ -62,7 +62,7 @@ select 1 as batch, p_partkey as line_no, case p_partkey % 10
               || '{TAB}60{TAB}100{TAB}4.5{TAB}7{TAB}3{TAB}"v3"{TAB}{TAB} v4 '
   when 3 then 'v' || cast(p_partkey as string)
               || '{TAB}"a ""b"" c"{TAB}12{TAB}People & Blogs{TAB}60{TAB}100{TAB}4.5{TAB}7{TAB}3'
-  when 4 then 'v' || cast(p_partkey as string) || '{TAB}' || p_brand || '{TAB}12.7{TAB}' || p_type
+  when 4 then 'v' || cast(p_partkey as string) || '{TAB}' || p_brand || '{BAD}{TAB}12.7{TAB}' || p_type
               || '{TAB}60{TAB}n/a{TAB}4.5{TAB}7{TAB}3{TAB}v5'
   when 5 then '  '
   when 6 then '""'
@@ -77,7 +77,7 @@ select 2, p_partkey, 'v' || cast(p_partkey as string) || '{TAB}{TAB}13{TAB}{TAB}
        || cast(hi as string)
 from linked where p_size > 45
 """
-RAW_LINES_FX = _RAW_LINES_FX.format(TAB=TAB, BOM=BOM, NBSP=NBSP)
+RAW_LINES_FX = _RAW_LINES_FX.format(TAB=TAB, BOM=BOM, NBSP=NBSP, BAD=BAD)
 
 FIXTURES = {"videos_fx": VIDEOS_FX, "related_fx": RELATED_FX, "raw_lines_fx": RAW_LINES_FX}
 

@@ -2,10 +2,8 @@
 
 * ``crawl_to_csv``  - crawl files -> ``videos`` / ``related`` CSV (the converter).
 * ``import_crawl``  - crawl folders -> typed ``videos`` + ``related`` catalogue
-  (optionally merged into an existing one, with a skip list).
-* ``CatalogStore``  - a catalogue kept as versioned Parquet folders plus a commit
-  log; an import (crawl, CSV or micro-batch) writes the buckets of videos it
-  touches and the edges it adds, and never overwrites what it reads.
+  (optionally merged into an existing one, with a skip list), not stored; the
+  stored catalogue is ``plans.catalog_tables.CatalogTables``.
 * ``network_job``   - the three aggregation outputs as header CSV; the two
   small tables as one file each, ``node_degrees`` written by all tasks.
 * ``influence_job`` - PageRank over the catalogue, results stored, top list.
@@ -13,26 +11,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidgraph.operators import catalog, influence, ingest, network
-from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
-from vidgraph.session import scratch_path
+from vidgraph.plans.catalog_tables import Catalogue, CatalogTables
+from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT
 from vidgraph.sources import crawl, tables
 
 
-@dataclass
-class Catalogue:
-    videos: DataFrame
-    related: DataFrame
-
-
 def import_crawl(
     spark: SparkSession,
     roots: str | list[str],
@@ -43,9 +30,9 @@ def import_crawl(
 ) -> Catalogue:
     """Parse every crawl line under ``roots`` and merge it into ``existing``.
 
-    Lines are ordered by (folder, file, split, position): a later line wins.
+    Lines are ordered by (file rank, split, position): a later line wins.
     Both results are lazy and share the video merge; to store them, use
-    ``CatalogStore.import_crawl``, which stages the writes so it runs once.
+    ``CatalogTables.import_crawl``, which stages the writes so it runs once.
     """
     lines = ingest.parse_lines(crawl.read_crawl(spark, roots, layout=layout))
     videos = catalog.upsert_videos(
@@ -60,121 +47,6 @@ def import_crawl(
     return Catalogue(videos, related)
 
 
-class CatalogStore:
-    """Versioned Parquet catalogue under ``path``; an import writes what it changes.
-
-    * ``videos/version=N/bucket=B``: the videos whose ID hashes to ``B``, for the
-      buckets that version N touched; a reader takes each bucket's newest.
-    * ``related/version=N``: the edges that version N added.
-    * ``_versions``: the commit log, one small row per version (with the buckets
-      written, and the streaming query and batch it came from, if any).
-
-    Readers see only committed versions; what a failed attempt left is
-    overwritten by the next one.  One writer at a time.
-    """
-
-    LOG = "version bigint, n_buckets int, buckets array<int>, source string, batch bigint"
-
-    def __init__(self, spark: SparkSession, path: str, n_buckets: int = 64):
-        self.spark, self.path, self.n_buckets = spark, path.rstrip("/"), n_buckets
-
-    def _log(self, version: int | None = None) -> list:
-        """Commit rows up to ``version``, oldest first (one per version)."""
-        try:
-            log = self.spark.read.schema(self.LOG).parquet(f"{self.path}/_versions")
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":  # anything else is not an empty store
-                raise
-            return []
-        if version is not None:
-            log = log.where(F.col("version") <= version)
-        return sorted(log.collect(), key=lambda r: r["version"])
-
-    def latest_version(self) -> int | None:
-        log = self._log()
-        return log[-1]["version"] if log else None
-
-    def has_batch(self, source: str, batch: int) -> bool:
-        return any(r["source"] == source and r["batch"] == batch for r in self._log())
-
-    def _video_paths(self, log: list) -> dict[int, str]:
-        """Bucket -> folder of its newest rows."""
-        return {b: f"{self.path}/videos/version={r['version']}/bucket={b}" for r in log for b in r["buckets"]}
-
-    def _read_paths(self, paths: list[str], schema: T.StructType) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _related(self, log: list) -> DataFrame:
-        return self._read_paths([f"{self.path}/related/version={r['version']}" for r in log], RELATED_TEXT)
-
-    def read(self, version: int | None = None) -> Catalogue | None:
-        """The catalogue as of ``version`` (default: the newest); None if empty."""
-        log = self._log(version)
-        if not log or (version is not None and log[-1]["version"] != version):
-            return None
-        return Catalogue(self._read_paths(list(self._video_paths(log).values()), VIDEOS_TYPED), self._related(log))
-
-    def _bucket(self, log: list):
-        return F.pmod(F.xxhash64("videoId"), F.lit(log[0]["n_buckets"] if log else self.n_buckets)).cast("int")
-
-    def merge(self, latest: DataFrame, edges: Callable[[], DataFrame], source: str | None = None,
-              batch: int | None = None) -> int:
-        """Merge typed ``latest`` videos (one row per ID, it wins) and text
-        ``edges``, and commit the next version.
-
-        Only the video buckets that ``latest`` falls into are read and written;
-        new edges are checked against the videos after the merge, and of the
-        stored edges nothing is written: they are scanned for those that the
-        import brings again.
-        """
-        log = self._log()
-        version = log[-1]["version"] + 1 if log else 0
-        staged = scratch_path(self.spark, "new-videos")
-        tables.write_table(latest.withColumn("bucket", self._bucket(log)), staged)
-        latest = tables.read_table(self.spark, staged)
-        touched = sorted(r[0] for r in latest.select("bucket").distinct().collect())  # at most n_buckets numbers
-        current = self._video_paths(log)
-        old = self._read_paths([current[b] for b in touched if b in current], VIDEOS_TYPED)
-        merged = catalog.merge_videos(old, latest.drop("bucket")).withColumn("bucket", self._bucket(log))
-        merged = merged.repartition(max(1, len(touched)), "bucket")
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/videos/version={version}")
-        row = {"version": version, "n_buckets": log[0]["n_buckets"] if log else self.n_buckets, "buckets": touched,
-               "source": source, "batch": batch}
-        known = self._read_paths(list(self._video_paths([*log, row]).values()), VIDEOS_TYPED)
-        checked = scratch_path(self.spark, "new-related")
-        tables.write_table(catalog.upsert_related(edges(), known), checked)
-        fresh = tables.read_table(self.spark, checked, schema=RELATED_TEXT)
-        tables.write_table(catalog.unknown_related(fresh, self._related(log)), f"{self.path}/related/version={version}")
-        self.spark.createDataFrame([row], self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
-        return version
-
-    def merge_lines(self, lines: DataFrame, order: list[str], *, skip_ids: DataFrame | None = None,
-                    source: str | None = None, batch: int | None = None) -> int:
-        """Merge parsed crawl lines (``ingest.parse_lines`` output with the
-        ``order`` columns); the crawl text is scanned once for its videos and
-        once for its edges, nothing of it is kept on executors."""
-        latest = catalog.upsert_videos(ingest.videos_from_fields(lines), order=order, skip_ids=skip_ids)
-        return self.merge(latest, lambda: ingest.related_from_fields(lines), source, batch)
-
-    def import_crawl(self, roots: str | list[str], *, layout: str = "folders",
-                     skip_ids: DataFrame | None = None) -> int:
-        """Merge a crawl into the latest version; returns the new version number.
-
-        Lines are ordered by (folder, file, split, position): a later line wins.
-        """
-        lines = ingest.parse_lines(crawl.read_crawl(self.spark, roots, layout=layout))
-        return self.merge_lines(lines, crawl.ORDER_COLUMNS, skip_ids=skip_ids)
-
-    def import_csv(self, videos_path: str, related_path: str, *, skip_ids: DataFrame | None = None) -> int:
-        """Merge ``videos.csv`` and ``related.csv`` (header, columns by name);
-        a later row of a video wins, also with nulls."""
-        rows = tables.read_csv(self.spark, videos_path, VIDEOS_TEXT, with_order=True)
-        latest = catalog.upsert_videos(rows, order=tables.ROW_ORDER, skip_ids=skip_ids)
-        return self.merge(latest, lambda: tables.read_csv(self.spark, related_path, RELATED_TEXT))
-
-
 def network_job(videos: DataFrame, edges: DataFrame, out_dir: str, *, check_nonempty: bool = False) -> None:
     """Write ``global_metrics/``, ``category_summary/`` and ``node_degrees/`` under ``out_dir``."""
     if not out_dir:
@@ -215,9 +87,9 @@ def network_from_csv(spark: SparkSession, videos_path: str, related_path: str, o
     network_job(videos, related, out_dir)
 
 
-def network_from_catalog(store: CatalogStore, out_dir: str, version: int | None = None) -> None:
+def network_from_catalog(store: CatalogTables, out_dir: str) -> None:
     """Catalogue entry: de-duplicated, endpoint-checked edges; empty inputs raise."""
-    cat = store.read(version)
+    cat = store.read()
     if cat is None:
         raise ValueError("no catalogue found")
     network_job(cat.videos, cat.related, out_dir, check_nonempty=True)

@@ -18,6 +18,7 @@ from vidgraph.functions import text as tx
 from vidgraph.operators import catalog, influence, ingest, network, search
 from vidgraph.plans import duck, jobs
 from vidgraph.plans import fixtures as fx
+from vidgraph.plans.catalog_tables import CatalogTables
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
 from vidgraph.session import scratch_path
 from vidgraph.sources import crawl, tables
@@ -402,21 +403,21 @@ _RELATED_ONCE = duck.with_lines("").rstrip() + _KNOWN + (
 
 def _merged_twice(spark, sf_dir):
     """Batch 1 stored, then batch 2 merged into it."""
-    store = jobs.CatalogStore(spark, scratch_path(spark, "merged_catalog"))
-    lines = ingest.parse_lines(fx.raw_lines_fx(spark, sf_dir))
+    store = CatalogTables(spark, scratch_path(spark, "merged_catalog"))
+    raw = fx.raw_lines_fx(spark, sf_dir)
     for batch in (1, 2):
-        store.merge_lines(lines.where(F.col("batch") == batch), _ORDER)
-    return store.read()
+        store.merge_raw(raw.where(F.col("batch") == batch), _ORDER)
+    return store
 
 
 @register("upsert_videos_existing", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))
 def q_upsert_videos_existing(spark, sf_dir):
-    return rounded(_merged_twice(spark, sf_dir).videos)
+    return rounded(_merged_twice(spark, sf_dir).read().videos)
 
 
 @register("upsert_related_existing", _RELATED_TWICE)
 def q_upsert_related_existing(spark, sf_dir):
-    return _merged_twice(spark, sf_dir).related
+    return _merged_twice(spark, sf_dir).read().related
 
 
 def _imported_csv(spark, sf_dir):
@@ -425,7 +426,7 @@ def _imported_csv(spark, sf_dir):
     raw = fx.raw_lines_fx(spark, sf_dir)
     tables.write_csv(ingest.parse_videos(raw).select(*VIDEOS_TEXT.fieldNames()), f"{out}/videos")
     tables.write_csv(ingest.parse_related(raw).select(*RELATED_TEXT.fieldNames()), f"{out}/related")
-    store = jobs.CatalogStore(spark, f"{out}/catalog")
+    store = CatalogTables(spark, f"{out}/catalog")
     store.import_csv(f"{out}/videos", f"{out}/related")
     return store.read()
 
@@ -440,6 +441,42 @@ def q_import_from_csv_related(spark, sf_dir):
     return _imported_csv(spark, sf_dir).related
 
 
+@register("stored_constraints", duck.with_lines("").rstrip() + _KNOWN + (
+    ", latest as (" + _LATEST.format(cols="videoId", skip="") + "), stored as (select distinct srcVideoId, dstVideoId "
+    f"from rt where (batch = 1 and {_IN.format('ids1')}) or (batch = 2 and {_IN.format('ids2')})) "
+    "select (select count(*) from (select videoId from latest group by 1 having count(*) > 1)) as duplicateIds, "
+    "(select count(*) from (select 1 from stored group by srcVideoId, dstVideoId having count(*) > 1)) as duplicateEdges, "
+    f"(select count(*) from stored where not ({_IN.format('latest')})) as danglingEdges"))
+def q_stored_constraints(spark, sf_dir):
+    """Uniqueness and endpoint rules counted over the stored tables after two imports."""
+    return _merged_twice(spark, sf_dir).constraint_report()
+
+
+def _bad_bytes(raw: DataFrame) -> DataFrame:
+    """Crawl lines whose uploader field holds a byte that is no UTF-8, for every
+    replacement character of the fixture's lines."""
+    bad = F.unhex(F.lit("FF")).cast("string")
+    return raw.withColumn("value", F.replace("value", F.lit("\ufffd"), bad))
+
+
+_IMPORTED = duck.with_lines("").rstrip() + _KNOWN + (
+    "select (select count(*) from raw_lines_fx) as lines, (select count(*) from unq where line = '') as skipped, "
+    "(select count(*) from raw_lines_fx where contains(value, chr(65533))) as badBytes, "
+    "(select count(*) from lines) as videos, (select count(*) from rt) as edges, "
+    "(select count(distinct videoId) from ids2) as mergedVideos, "
+    f"(select count(*) from (select distinct srcVideoId, dstVideoId from rt where {_IN.format('ids2')})) as addedEdges")
+
+
+@register("import_report", _IMPORTED)
+def q_import_report(spark, sf_dir):
+    """The counts that one import's write jobs observe (no second scan)."""
+    store = CatalogTables(spark, scratch_path(spark, "report_catalog"))
+    report = store.merge_raw(_bad_bytes(fx.raw_lines_fx(spark, sf_dir)), _ORDER)
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in (
+        ("lines", report.lines), ("skipped", report.skipped), ("badBytes", report.bad_bytes), ("videos", report.videos),
+        ("edges", report.edges), ("mergedVideos", report.merged_videos), ("addedEdges", report.added_edges))])
+
+
 @register("unique_violations", duck.with_lines(
     "select videoId, count(*) as count from vt group by videoId having count(*) > 1"))
 def q_unique_violations(spark, sf_dir):
@@ -608,7 +645,7 @@ def q_network_from_csv_reordered(spark, sf_dir):
     "(select count(*) from raw_lines_fx where contains(value, chr(65533))) as badBytes, "
     "(select count(*) from lines) as videos, (select count(*) from rt) as edges"))
 def q_ingest_report(spark, sf_dir):
-    return ingest.ingest_report(fx.raw_lines_fx(spark, sf_dir))
+    return ingest.ingest_report(_bad_bytes(fx.raw_lines_fx(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- streaming
@@ -627,7 +664,7 @@ def _streamed(spark, sf_dir):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"streaming import failed: {q.exception()}")
-    return jobs.CatalogStore(spark, store_path).read()
+    return CatalogTables(spark, store_path).read()
 
 
 @register("streaming_import", duck.with_lines(_LATEST.format(cols=_GT_OUT, skip="")))

@@ -76,9 +76,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop path of ``path`` and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path`` (0 where there is none)."""
+    hadoop, fs = hadoop_path(spark, path)
+    return int(fs.getContentSummary(hadoop).getLength()) if fs.exists(hadoop) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that nothing reads any more."""
     if "/scratch/" not in path:
         raise ValueError(f"not a scratch folder: {path}")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    hadoop, fs = hadoop_path(spark, path)
+    fs.delete(hadoop, True)

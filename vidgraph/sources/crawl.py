@@ -13,10 +13,11 @@ scheme or a bucket root make no difference.  A root without any data file at
 the layout's depth is an error, never an empty crawl.  As everywhere in Spark,
 files whose names start with ``_`` or ``.`` (commit markers, checksums) are not
 listed.  Nothing is moved, renamed or deleted.  Each line keeps its provenance:
-``folder`` (crawl folder name), ``file`` (full path), ``block`` (start offset of
-its split) and ``pos`` (``monotonically_increasing_id`` taken on the scan,
-increasing within a split), so ``(folder, file, block, pos)`` orders lines as
-they are in the files.
+``folder`` (crawl folder name), ``file`` (full path), ``rank`` (the file's place in
+the natural order of folder and file names, see ``sources.files``), ``block`` (start
+offset of its split) and ``pos`` (``monotonically_increasing_id`` taken on the scan,
+increasing within a split), so ``(rank, block, pos)`` orders lines as they are in the
+files, by integers.
 
 The text reader splits on ``\\n``, ``\\r\\n`` and lone ``\\r`` and drops a BOM at
 the start of a file.  Values keep invalid UTF-8 bytes as read; ``parse_lines``
@@ -32,9 +33,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vidgraph.session import hadoop_path
+from vidgraph.sources.files import with_rank
+
 # Fixed value: the crawler's log file, which is not data.
 LOG_FILE = "log.txt"
-ORDER_COLUMNS = ["folder", "file", "block", "pos"]
+ORDER_COLUMNS = ["rank", "block", "pos"]
 LEVELS = {"files": 1, "folders": 2}
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
@@ -53,7 +57,7 @@ def resolve_root(spark: SparkSession, root: str) -> Root:
     without a scheme that is not absolute starts at the working directory."""
     if not re.match(_SCHEME, root) and not root.startswith("/"):
         root = os.path.abspath(root)
-    path, fs = _hadoop(spark, root)
+    path, fs = hadoop_path(spark, root)
     if not fs.exists(path):
         raise FileNotFoundError(f"no such crawl root: {root} (glob patterns are not roots)")
     path = fs.makeQualified(path)
@@ -65,11 +69,6 @@ def segments(path) -> int:
     return len([x for x in path.toUri().getPath().split("/") if x])
 
 
-def _hadoop(spark: SparkSession, root: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
 def _layout_levels(layout: str, is_file: bool = False) -> int:
     if layout not in LEVELS:
         raise ValueError("layout must be 'files' or 'folders'")
@@ -80,7 +79,7 @@ def _layout_levels(layout: str, is_file: bool = False) -> int:
 
 def check_has_files(spark: SparkSession, root: Root, layout: str, skip_log: bool) -> None:
     """Raise unless a data file stands at the layout's depth below ``root``."""
-    path, fs = _hadoop(spark, root.uri)
+    path, fs = hadoop_path(spark, root.uri)
     depth = root.segments + _layout_levels(layout, root.is_file)
     files = fs.listFiles(path, True)
     while files.hasNext():
@@ -129,7 +128,7 @@ def with_position(lines: DataFrame) -> DataFrame:
 
 def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folders",
                skip_log: bool | None = None) -> DataFrame:
-    """``folder, file, block, pos, value`` for every data line under ``roots``
+    """``folder, file, block, pos, value, rank`` for every data line under ``roots``
     (a root given twice is read once)."""
     given = [roots] if isinstance(roots, str) else list(roots)
     if not given:
@@ -139,9 +138,10 @@ def read_crawl(spark: SparkSession, roots: str | list[str], layout: str = "folde
     for root in dict.fromkeys(resolve_root(spark, r) for r in given):
         check_has_files(spark, root, layout, skip_log)
         by_depth.setdefault(root.segments + _layout_levels(layout, root.is_file), []).append(root.uri)
-    out = None
+    out, files = None, []
     for segments, uris in by_depth.items():
         scan = spark.read.option("recursiveFileLookup", "true").text(uris)
+        files += scan.inputFiles()
         part = with_position(lines_at(scan, segments, skip_log))
         out = part if out is None else out.unionByName(part)
-    return out
+    return with_rank(out, "file", files)

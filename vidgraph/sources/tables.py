@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from vidgraph.sources.files import with_rank
+
 _CSV_READ = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
 _CSV_WRITE = {
     "header": "true",
@@ -24,7 +26,7 @@ _CSV_WRITE = {
 }
 
 
-ROW_ORDER = ["_file", "_block", "_pos"]
+ROW_ORDER = ["_rank", "_block", "_pos"]
 
 
 def csv_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
@@ -37,7 +39,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, wit
 
     The header's order doesn't matter, further columns are skipped, a missing
     column is an error, and so is a file of a folder whose header differs from
-    the first one's.  ``with_order`` adds ``ROW_ORDER``: the rows' place.
+    the first one's.  ``with_order`` adds ``ROW_ORDER``: the rows' place, files in the
+    natural order of their names.
     """
     header = csv_columns(spark, path)
     missing = [c for c in schema.fieldNames() if c not in header]
@@ -48,7 +51,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, wit
     df = spark.read.schema(full).options(**_CSV_READ, enforceSchema="false").csv(path)
     order = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
              F.monotonically_increasing_id().alias("_pos")] if with_order else []
-    return df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], *order)
+    rows = df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], *order)
+    return with_rank(rows, "_file", df.inputFiles(), "_rank").drop("_file") if with_order else rows
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:

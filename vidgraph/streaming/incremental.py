@@ -1,12 +1,12 @@
 """Incremental crawl import with Structured Streaming.
 
 New crawl files arriving under a watched folder are parsed by the same column
-expressions as the batch import and merged into a ``CatalogStore`` once per
-micro-batch (``foreachBatch``).  Every micro-batch is merged into the newest
-committed version and becomes the next one; the commit log keeps the streaming
-query's id and the batch id, so a batch replayed after a failure is recognised
-and not merged twice, and batch imports and several queries (one at a time) can
-share a store.  Line order inside a batch is (file, split, position), and later
+expressions as the batch import and merged into the stored catalogue once per
+micro-batch (``foreachBatch``).  A small table beside the catalogue keeps the last
+batch that each streaming query has merged, so a batch replayed after a failure is
+recognised; a batch that broke off half-way is merged again, which changes nothing
+that was done.  Batch imports and several queries (one writer at a time) can share a
+catalogue.  Line order inside a batch is (file rank, split, position), and later
 batches win.
 """
 
@@ -17,9 +17,9 @@ from threading import Event
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from vidgraph.operators import ingest
-from vidgraph.plans.jobs import CatalogStore
+from vidgraph.plans.catalog_tables import CatalogTables, ImportReport
 from vidgraph.sources import crawl
+from vidgraph.sources.files import with_rank
 
 
 def crawl_stream(spark: SparkSession, watch_dir: str, *, layout: str = "files",
@@ -32,13 +32,15 @@ def crawl_stream(spark: SparkSession, watch_dir: str, *, layout: str = "files",
     return crawl.crawl_lines(reader.load(root.uri), root, layout)
 
 
-def merge_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: str) -> int | None:
-    """Merge one micro-batch of crawl lines into ``store``; returns the new
-    version, or None if this batch of this query is committed already."""
-    if store.has_batch(query_id, batch_id):
+def merge_batch(store: CatalogTables, batch: DataFrame, batch_id: int, query_id: str) -> ImportReport | None:
+    """Merge one micro-batch of crawl lines into ``store``; returns its report, or
+    None if this batch of this query has been merged already."""
+    if batch_id <= store.last_batch(query_id):
         return None
-    lines = ingest.parse_lines(crawl.with_position(batch))
-    return store.merge_lines(lines, ["file", "block", "pos"], source=query_id, batch=batch_id)
+    files = [r["file"] for r in batch.select("file").distinct().collect()]  # the files of one trigger
+    report = store.merge_raw(with_rank(crawl.with_position(batch), "file", files), crawl.ORDER_COLUMNS)
+    store.note_batch(query_id, batch_id)
+    return report
 
 
 def start_incremental_import(spark: SparkSession, watch_dir: str, catalog_path: str, checkpoint_location: str,
@@ -46,7 +48,7 @@ def start_incremental_import(spark: SparkSession, watch_dir: str, catalog_path:
                              processing_time: str | None = None,
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming import; ``available_now`` processes what is there and stops."""
-    store = CatalogStore(spark, catalog_path)
+    store = CatalogTables(spark, catalog_path)
     started, query_id = Event(), []
 
     def merge(df: DataFrame, batch_id: int) -> None:
