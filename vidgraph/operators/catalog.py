@@ -27,6 +27,8 @@ from vidgraph.operators.network import aggregation_videos
 from vidgraph.schema import VIDEO_COLUMNS
 
 ATTRS = VIDEO_COLUMNS[1:]
+# A key in more than one row of this many is dealt to several partitions of a join.
+BUSY_SHARE = 1000
 
 
 def _nonempty(c: str):
@@ -177,6 +179,43 @@ def unique_violations(videos: DataFrame) -> DataFrame:
     )
 
 
+def busy_keys(rows: DataFrame, key: str, share: int) -> DataFrame:
+    """``_busy, _salts`` for every value of ``key`` in more than 1/``share`` of the rows:
+    fewer than ``share`` values, whose salts sum up to less than twice that."""
+    total = rows.count()
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_busy")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") * share > total).select(
+        "_busy", F.ceil(F.col("_n") * F.lit(share) / F.lit(max(total, 1))).cast("int").alias("_salts"))
+
+
+def _with_properties(rows: DataFrame, key: str, spread: str, videos: DataFrame, prefix: str) -> DataFrame:
+    """``rows`` left-joined with the video that ``key`` names, its columns as ``prefix.*``.
+
+    A busy key is dealt to ``_salts`` partitions by the hash of ``spread``, its one
+    video copied to each; rows without a key are dealt in the same way.
+    """
+    busy = F.broadcast(busy_keys(rows, key, BUSY_SHARE))
+    salted = rows.join(busy, F.col(key) == F.col("_busy"), "left")
+    salts = F.when(F.col(key).isNull(), F.lit(BUSY_SHARE)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_busy", "_salts")
+    known = videos.where(F.col("videoId").isNotNull()).select(
+        F.col("videoId").alias("_key"), *[F.col(c).alias(f"{prefix}.{c}") for c in VIDEO_COLUMNS])
+    known = known.join(busy, F.col("_key") == F.col("_busy"), "left")
+    known = known.withColumn("_at", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_busy", "_salts")
+    joined = salted.join(known, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_at")), "left")
+    return joined.drop("_key", "_salt", "_at")
+
+
+def related_with_properties(edges: DataFrame, videos: DataFrame) -> DataFrame:
+    """Edges as a graph store's connector gives them: ``srcVideoId, dstVideoId`` and all
+    properties of both ends as ``source.<name>`` and ``target.<name>`` (literal column
+    names).  Every edge row is kept; an end that is null or no video has null
+    properties.  ``videos`` has one row per ID."""
+    rows = edges.select("srcVideoId", "dstVideoId")
+    rows = _with_properties(rows, "srcVideoId", "dstVideoId", videos, "source")
+    return _with_properties(rows, "dstVideoId", "srcVideoId", videos, "target")
+
+
 def endpoints(edges: DataFrame, src: str = "source.videoId", dst: str = "target.videoId",
               names: tuple[str, str] = ("srcVideoId", "dstVideoId")) -> DataFrame:
     """Project a connector edge frame (columns literally named ``source.<prop>``)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidgraph.operators import catalog, ingest
+from vidgraph.operators.membership import KeyFilter
 from vidgraph.schema import RELATED_COLUMNS, RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
 from vidgraph.session import hadoop_path, scratch_path, stored_bytes
 from vidgraph.sources import crawl, tables
@@ -55,6 +56,16 @@ class ImportReport:
     added_edges: int = 0
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What an import changed: the videos it brought, those of them that were there as
+    they were, and the edges it added (all stored aside)."""
+
+    latest: DataFrame
+    old: DataFrame
+    added: DataFrame
+
+
 class BucketedTable:
     """A Parquet table under ``path`` partitioned by ``bucket``, from the hash of ``keys[0]``."""
 
@@ -159,17 +170,27 @@ class CatalogTables:
         parts = ids.unionByName(twice, True).unionByName(loose, True)
         return parts.agg(*[F.max(c).alias(c) for c in ("duplicateIds", "duplicateEdges", "danglingEdges")])
 
-    def _merge_videos(self, staged: str, latest: DataFrame) -> None:
+    def _merge_videos(self, staged: str, latest: DataFrame, n_latest: int, track: bool) -> DataFrame | None:
         table = self.videos
         before, buckets = table.count(), table.count_with(stored_bytes(self.spark, staged))
         touched = None
         if buckets == before:  # at most ``buckets`` numbers
             touched = [r[0] for r in latest.select(table.place(buckets)).distinct().collect()]
+        old = None
+        if track:
+            held = KeyFilter(latest, ["videoId"], n_latest).maybe(table.read(touched), ["videoId"])
+            old = self._aside(held.join(latest.select("videoId"), "videoId", "left_semi"), "old-videos")
         merged = catalog.merge_videos(table.read(touched), latest)
         table.replace(merged, buckets, buckets if touched is None else len(touched))
+        return old
+
+    def _aside(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        tables.write_table(df, path)
+        return tables.read_table(self.spark, path, schema=df.schema)
 
-    def _add_related(self, fresh: DataFrame, n_fresh: int) -> int:
-        """Append the fresh distinct edges between stored videos that are new; returns how many."""
+    def _add_related(self, fresh: DataFrame, n_fresh: int) -> tuple[int, DataFrame]:
+        """Append the fresh distinct edges between stored videos that are new; returns how many and which."""
         table, checked, seen = self.related, scratch_path(self.spark, "new-related"), Observation()
         before, buckets = table.count(), table.count_with(0)
         stored = table.read([r[0] for r in fresh.select(table.place(before)).distinct().collect()]) if before else None
@@ -182,12 +203,12 @@ class CatalogTables:
             table.append(new, buckets, buckets)
         elif seen.get["n"]:
             table.replace(table.read().unionByName(new), buckets, buckets)
-        return int(seen.get["n"])
+        return int(seen.get["n"]), new
 
-    def merge(self, latest: DataFrame, edges: Callable[[], DataFrame]) -> tuple[int, int, int]:
+    def merge(self, latest: DataFrame, edges: Callable[[], DataFrame], track: bool = False) -> tuple[int, int, int, Changes]:
         """Merge typed ``latest`` videos (one row per ID, it wins, nulls included) and
         then the text ``edges`` between known videos; returns how many videos were
-        merged, distinct edges given, and edges added.
+        merged, distinct edges given, and edges added, and with ``track`` the changes.
 
         Only the buckets that ``latest`` falls into are read and written; of the
         stored edges only the buckets of the import's sources are read, tested in
@@ -195,27 +216,30 @@ class CatalogTables:
         """
         staged, rows = scratch_path(self.spark, "new-videos"), Observation()
         tables.write_table(latest.observe(rows, F.count(F.lit(1)).alias("n")), staged)
-        if rows.get["n"]:
-            self._merge_videos(staged, tables.read_table(self.spark, staged, schema=VIDEOS_TYPED))
+        brought, n_videos = tables.read_table(self.spark, staged, schema=VIDEOS_TYPED), int(rows.get["n"])
+        old = self._merge_videos(staged, brought, n_videos, track) if n_videos else None
         staged, pairs = scratch_path(self.spark, "new-pairs"), Observation()
         tables.write_table(catalog.distinct_related(edges()).observe(pairs, F.count(F.lit(1)).alias("n")), staged)
         fresh, n = tables.read_table(self.spark, staged, schema=RELATED_TEXT), int(pairs.get["n"])
-        return int(rows.get["n"]), n, self._add_related(fresh, n) if n else 0
-
-    def merge_raw(self, raw: DataFrame, order: list[str], *, skip_ids: DataFrame | None = None) -> ImportReport:
-        """Merge raw crawl lines (``value`` and the ``order`` columns).  The text is
-        scanned once for its videos and once for its edges; the report's counts are
-        observed in these two jobs."""
+        added, new = self._add_related(fresh, n) if n else (0, fresh)
+        old = self.spark.createDataFrame([], VIDEOS_TYPED) if old is None else old
+        return n_videos, n, added, Changes(brought, old, new)
+
+    def merge_raw(self, raw: DataFrame, order: list[str], *, skip_ids: DataFrame | None = None, track: bool = False):
+        """Merge raw crawl lines (``value`` and the ``order`` columns); returns the
+        report, with ``track`` also the changes.  The text is scanned once for its
+        videos and once for its edges; the counts are observed in these two jobs."""
         lines, pairs = Observation(), Observation()
         seen = raw.observe(lines, *ingest.line_counts("value"))
         latest = catalog.upsert_videos(ingest.parse_videos(seen), order=order, skip_ids=skip_ids)
-        merged, distinct, added = self.merge(
-            latest, lambda: ingest.parse_related(raw).observe(pairs, F.count(F.lit(1)).alias("edges")))
+        merged, distinct, added, changes = self.merge(
+            latest, lambda: ingest.parse_related(raw).observe(pairs, F.count(F.lit(1)).alias("edges")), track)
         # Where nothing is left after the first exchange, the rest of that job is not run and observes nothing.
         read = lines.get if merged else raw.agg(*ingest.line_counts("value")).first().asDict()
         edges = pairs.get["edges"] if distinct else ingest.parse_related(raw).count()
-        return ImportReport(read["lines"], read["skipped"], read["badBytes"], read["lines"] - read["skipped"],
-                            edges, merged, added)
+        report = ImportReport(read["lines"], read["skipped"], read["badBytes"], read["lines"] - read["skipped"],
+                              edges, merged, added)
+        return (report, changes) if track else report
 
     def import_crawl(self, roots: str | list[str], *, layout: str = "folders",
                      skip_ids: DataFrame | None = None) -> ImportReport:
@@ -230,7 +254,7 @@ class CatalogTables:
         seen = videos.observe(rows, F.count(F.lit(1)).alias("n"))
         latest = catalog.upsert_videos(seen, order=tables.ROW_ORDER, skip_ids=skip_ids)
         related = tables.read_csv(self.spark, related_path, RELATED_TEXT)
-        merged, distinct, added = self.merge(latest, lambda: related.observe(pairs, F.count(F.lit(1)).alias("n")))
+        merged, distinct, added, _ = self.merge(latest, lambda: related.observe(pairs, F.count(F.lit(1)).alias("n")))
         n_rows, n_pairs = rows.get["n"] if merged else videos.count(), pairs.get["n"] if distinct else related.count()
         return ImportReport(n_rows, 0, 0, n_rows, n_pairs, merged, added)
 

@@ -19,6 +19,7 @@ from vidgraph.operators import catalog, influence, ingest, network, search
 from vidgraph.plans import duck, jobs
 from vidgraph.plans import fixtures as fx
 from vidgraph.plans.catalog_tables import CatalogTables
+from vidgraph.plans.network_state import NetworkState
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT, VIDEOS_TYPED
 from vidgraph.session import scratch_path
 from vidgraph.sources import crawl, tables
@@ -441,6 +442,34 @@ def q_import_from_csv_related(spark, sf_dir):
     return _imported_csv(spark, sf_dir).related
 
 
+_LATEST_NETWORK = duck.with_lines("").rstrip() + _KNOWN + (
+    ", latest as (" + _LATEST.format(cols="videoId, uploader, category, cast(views as double) as views, "
+    "cast(rating as double) as rating", skip="") + "), cat_edges as (select distinct srcVideoId, dstVideoId "
+    f"from rt where (batch = 1 and {_IN.format('ids1')}) or (batch = 2 and {_IN.format('ids2')})), "
+    "nd as (select l.*, coalesce(o.n, 0) as outDegree, coalesce(i.n, 0) as inDegree from latest l "
+    "left join (select srcVideoId as videoId, count(*) as n from cat_edges group by 1) o on l.videoId = o.videoId "
+    "left join (select dstVideoId as videoId, count(*) as n from cat_edges group by 1) i on l.videoId = i.videoId)\n")
+
+
+def _kept_aggregates(spark, sf_dir):
+    """Two imports; the second changes categories of known videos and adds edges to others."""
+    state = NetworkState(CatalogTables(spark, scratch_path(spark, "kept_catalog")))
+    raw = fx.raw_lines_fx(spark, sf_dir)
+    for batch in (1, 2):
+        state.merge_raw(raw.where(F.col("batch") == batch), _ORDER)
+    return state
+
+
+@register("category_summary_incremental", _LATEST_NETWORK + _CAT_SQL.format(nd="nd"))
+def q_category_summary_incremental(spark, sf_dir):
+    return rounded(_kept_aggregates(spark, sf_dir).category_summary())
+
+
+@register("global_metrics_incremental", _LATEST_NETWORK + _global_sql("nd", "cat_edges"))
+def q_global_metrics_incremental(spark, sf_dir):
+    return rounded(_kept_aggregates(spark, sf_dir).global_metrics())
+
+
 @register("stored_constraints", duck.with_lines("").rstrip() + _KNOWN + (
     ", latest as (" + _LATEST.format(cols="videoId", skip="") + "), stored as (select distinct srcVideoId, dstVideoId "
     f"from rt where (batch = 1 and {_IN.format('ids1')}) or (batch = 2 and {_IN.format('ids2')})) "
@@ -499,6 +528,19 @@ def q_related_endpoints(spark, sf_dir):
     return catalog.endpoints(conn)
 
 
+def _side(prefix: str, alias: str) -> str:
+    return ", ".join((f'round({alias}.{c}, 6)' if c == "rating" else f"{alias}.{c}") + f' as "{prefix}.{c}"' for c in _V_COLS)
+
+
+@register("related_endpoints_full", fx.with_fixtures(
+    f"select r.srcVideoId, r.dstVideoId, {_side('source', 's')}, {_side('target', 't')} from related_fx r "
+    "left join videos_fx s on r.srcVideoId = s.videoId left join videos_fx t on r.dstVideoId = t.videoId",
+    "videos_fx", "related_fx"))
+def q_related_endpoints_full(spark, sf_dir):
+    """All edges, null and unknown endpoints included, with the nine properties of both ends."""
+    return rounded(catalog.related_with_properties(fx.related_fx(spark, sf_dir), fx.videos_fx(spark, sf_dir)))
+
+
 _V_FX_OUT = fx.with_fixtures(f"select {_V_OUT} from videos_fx", "videos_fx")
 
 
