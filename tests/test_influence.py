@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from vidgraph.operators import influence
+from vidgraph.session import scratch_path
 
 
 def _pr(spark, ids, edges, **kw):
@@ -102,26 +103,85 @@ def test_repeated_vertex_rows(spark):
     assert pr == {"a": pytest.approx(1.0), "b": pytest.approx(1.0)}
 
 
+def _graph(n=30):
+    return [f"n{i}" for i in range(n)], [(f"n{i}", f"n{(i * 7 + 3) % n}") for i in range(n)] + [("n0", f"n{i}") for i in range(1, n)]
+
+
+def _tables(spark):
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith("vidgraph_edges")}
+
+
 def test_keeps_nothing_on_executors(spark, monkeypatch):
-    """Between jobs there is no cached block to lose, and scratch that is no longer
-    read is deleted: what stays is the table of ranks."""
+    """Between jobs there is no cached block to lose, what is no longer read is deleted, and
+    at the end only the table of ranks stays."""
     import os
 
     import vidgraph.operators.influence as inf
 
-    paths, real = [], inf.scratch_path
+    paths, frontiers, real, store = [], [], inf.scratch_path, inf._State.store
 
     def noted(s, name):
-        assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
         paths.append(real(s, name))
         return paths[-1]
 
+    def counted(state, df, name, *counts):
+        assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+        frontiers.append(sum(n.startswith("frontier") for n in state.names()))
+        return store(state, df, name, *counts)
+
     monkeypatch.setattr(inf, "scratch_path", noted)
+    monkeypatch.setattr(inf._State, "store", counted)
     spark.catalog.clearCache()
-    edges = [(f"n{i}", f"n{(i * 7 + 3) % 30}") for i in range(30)] + [("n0", f"n{i}") for i in range(1, 30)]
-    _pr(spark, [f"n{i}" for i in range(30)], edges, salt_size=4, fold=3)
+    _pr(spark, *_graph(), salt_size=4, fold=3)
     left = [p for p in paths if os.path.exists(p.removeprefix("file:"))]
-    assert len(paths) > 8 and left == [paths[-1]]
+    assert len(frontiers) > 8 and max(frontiers) <= 4 and left == [paths[-1]] and not _tables(spark)
+
+
+@pytest.mark.parametrize("stop_at,fold", [("pairs", 10), ("vertices", 10), ("frontier-5", 10), ("frontier-5", 2), ("ranks-3", 3)])
+def test_resume_after_a_lost_driver(spark, tmp_dir, monkeypatch, stop_at, fold):
+    """A run that stops while it makes an output goes on from the outputs before it."""
+    import os
+
+    import vidgraph.operators.influence as inf
+
+    ids, edges = _graph()
+    expected = _reference_pagerank(ids, edges)
+    made, store = [], inf._State.store
+
+    def stops(state, df, name, *counts):
+        if name == stop_at:
+            df.write.mode("overwrite").parquet(f"{state.path}/{name}")
+            os.remove(f"{state.path}/{name}/_SUCCESS")   # half of it
+            raise KeyboardInterrupt
+        return store(state, df, name, *counts)
+
+    def notes(state, df, name, *counts):
+        if not state.done(name):
+            made.append(name)
+        return store(state, df, name, *counts)
+
+    path = f"{tmp_dir}/state"
+    monkeypatch.setattr(inf._State, "store", stops)
+    with pytest.raises(KeyboardInterrupt):
+        _pr(spark, ids, edges, salt_size=4, edges_per_bucket=9, fold=fold, state_path=path)
+    assert os.path.isdir(path) and not _tables(spark)
+    monkeypatch.setattr(inf._State, "store", notes)
+    got = _pr(spark, ids, edges, salt_size=4, edges_per_bucket=9, fold=fold, state_path=path)
+    assert got == pytest.approx(expected, rel=1e-9)
+    assert made[0] == stop_at and not os.path.exists(path) and not _tables(spark)
+
+
+def test_an_error_leaves_nothing(spark, monkeypatch):
+    import os
+
+    import vidgraph.operators.influence as inf
+
+    paths, real = [], inf.scratch_path
+    monkeypatch.setattr(inf, "scratch_path", lambda s, n: paths.append(real(s, n)) or paths[-1])
+    monkeypatch.setattr(inf, "superstep", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        _pr(spark, *_graph())
+    assert paths and not any(os.path.exists(p) for p in paths) and not _tables(spark)
 
 
 def test_not_converged_is_an_error(spark):
@@ -138,9 +198,6 @@ def test_trusted_edges_same_result(spark):
 
 def test_superstep_shuffles_only_the_frontier(spark):
     """The stored edge table keeps its (src, salt) buckets and order, with AQE on."""
-    import contextlib
-    import io
-
     from pyspark.sql import functions as F
 
     import vidgraph.operators.influence as inf
@@ -149,18 +206,72 @@ def test_superstep_shuffles_only_the_frontier(spark):
     e = spark.createDataFrame([(f"n{i}", f"n{(i * 3) % 50}") for i in range(50)], "src string, dst string")
     dedup = inf.distinct_edges(v, e)
     vx = inf.vertex_salts(v, dedup, 2)
-    w, name, _ = inf._bucketed(inf.weighted_edges(dedup, vx), 4, ["src", "salt"])
-    frontier = inf._stored(vx.select("id", F.lit(0.15).alias("delta"), "salts"), "frontier", 0.01)[0]
-    sends = frontier.select(F.col("id").alias("src"),
-                            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "delta")
-    step = sends.join(w.hint("merge"), ["src", "salt"]).groupBy("dst").agg(F.sum("w").alias("m"))
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        step.explain()
-    plan = buf.getvalue()
+    state = inf._State(spark, scratch_path(spark, "test-superstep"))
+    vx, _ = state.store(vx, "vertices")
+    w, n = inf._edge_table(state, lambda: inf.weighted_edges(dedup, vx), "edges_of_a_superstep", lambda: 50, 13)
+    frontier, _ = state.store(vx.select("num", F.lit(0.15).alias("delta"), "salts"), "frontier-0")
+    plan = _explained(inf.superstep(frontier, w.hint("merge"), 0.15, 0.01, n, False))
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
     assert plan.count("Exchange hashpartitioning(src") == 1
-    spark.sql(f"drop table {name}")
+    spark.sql("drop table edges_of_a_superstep")
+
+
+def _explained(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_few_senders_read_few_blocks(spark):
+    """Late supersteps: the senders' blocks prune the edge table's folders at run time."""
+    from pyspark.sql import functions as F
+
+    import vidgraph.operators.influence as inf
+
+    v = spark.createDataFrame([(f"n{i}",) for i in range(400)], "id string")
+    e = spark.createDataFrame([(f"n{i}", f"n{(i * 3 + k) % 400}") for i in range(400) for k in range(3)], "src string, dst string")
+    dedup = inf.distinct_edges(v, e)
+    state = inf._State(spark, scratch_path(spark, "test-blocks"))
+    vx, _ = state.store(inf.vertex_salts(v, dedup), "vertices")
+    w, n = inf._edge_table(state, lambda: inf.weighted_edges(dedup, vx), "edges_in_blocks", lambda: 1200, 30)
+    assert n == 40
+    rows, files = {}, {}
+    for few in (1, 5, 400):
+        frontier, _ = state.store(vx.orderBy("id").limit(few).select("num", F.lit(0.15).alias("delta"), "salts"), f"f-{few}")
+        for prune in (False, True):
+            step = inf.superstep(frontier, w, 0.15, 0.01, n, prune)
+            assert ("dynamicpruning" in _explained(step)) == prune
+            rows[few, prune] = sorted(map(tuple, step.collect()))
+            files[few, prune] = _files_read(step, "edges")
+    for few in (1, 5, 400):
+        assert [r[:1] + r[2:] for r in rows[few, True]] == [r[:1] + r[2:] for r in rows[few, False]]
+        assert [r[1] for r in rows[few, True]] == pytest.approx([r[1] for r in rows[few, False]])
+        assert files[few, False] >= 35 and files[few, True] <= few
+    assert files[1, True] == 1
+    spark.sql("drop table edges_in_blocks")
+
+
+def _files_read(df, name):
+    """Files that the executed scans of paths holding ``name`` have read."""
+    found = [0]
+
+    def walk(node):
+        kind = node.nodeName()
+        if kind == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStage"):
+            return walk(node.plan())
+        if kind.startswith("Scan parquet") and name in node.toString():
+            found[0] += node.metrics().apply("numFiles").value()
+        for i in range(node.children().length()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found[0]
 
 
 def test_integer_vertex_ids(spark):

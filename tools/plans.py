@@ -66,14 +66,14 @@ def main() -> None:
     edges = cat.related.select(F.col("srcVideoId").alias("src"), F.col("dstVideoId").alias("dst"))
     dedup = influence.distinct_edges(verts, edges)
     vx = influence.vertex_salts(verts, dedup)
-    w, table, _ = influence._bucketed(influence.weighted_edges(dedup, vx), 8, ["src", "salt"])
-    frontier = influence._stored(vx.select("id", F.lit(0.15).alias("delta"), "salts"), "frontier", 0.01)[0]
-    sends = frontier.where(F.col("delta") > 0.01).select(
-        F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "delta")
-    step = (sends.join(w.hint("merge"), ["src", "salt"]).groupBy("dst")
-            .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts")))
-    print(f"### PageRank superstep (merge-join path)\n\n```\n{formatted(step)}\n```\n")
-    spark.sql(f"drop table {table}")
+    state = influence._State(spark, scratch_path(spark, "plans_pagerank"))
+    vx, _ = state.store(vx, "vertices")
+    w, buckets = influence._edge_table(state, lambda: influence.weighted_edges(dedup, vx), "plans_edges", edges.count, 4_000)
+    frontier, _ = state.store(vx.select("num", F.lit(0.15).alias("delta"), "salts"), "frontier-0")
+    for title, prune in (("merge-join path", False), ("few senders: their blocks prune the edge table", True)):
+        step = influence.superstep(frontier, w if prune else w.hint("merge"), 0.15, 0.01, buckets, prune)
+        print(f"### PageRank superstep ({title})\n\n```\n{formatted(step)}\n```\n")
+    spark.sql("drop table plans_edges")
     spark.stop()
 
 

@@ -14,34 +14,41 @@ which the reference reaches through its graph library):
 
 Plan at scale
 * The weighted edge table is built once, de-duplicated (parallel edges become
-  a multiplicity), and stored as a table bucketed by ``(src, salt)``: no
-  superstep shuffles it again (a merge join sorts each bucket where it lies).
+  a multiplicity), and stored as a table bucketed by ``(src, salt)``, one folder
+  (``block``) per bucket: no superstep shuffles it again (a merge join sorts each
+  bucket where it lies).
 * Skew: a source with many out-edges is split into ``ceil(targets / salt_size)``
   salt buckets (edges spread by a hash of their target); its delta is exploded
   to one row per bucket on the (small) frontier side, so no task holds more
   than about ``salt_size`` edges of one source.  Targets with many in-edges
   are summed by a partial aggregate.
-* A superstep is one job: it joins the frontier (read back from storage, so
-  Spark knows its size and broadcasts it or not by the session's own threshold)
-  with the edge table, sums the mass by target and writes the next frontier;
-  the row counts come from the write itself (``observe``).
-* Frontiers and the edge table lie in the shared checkpoint folder (they
-  survive lost executors); every ``FOLD`` supersteps the ranks so far are
-  folded into one table, and what is no longer read is deleted.  Only scalars
-  reach the driver: counts, and N and the rank sum for the final scaling.
+* Vertices are numbered once; edges and frontiers carry numbers, not IDs.
+* A superstep is one job: it joins the frontier (read back from storage, so Spark
+  knows its size and broadcasts it or not by the session's own threshold) with the
+  edge table, sums the mass by target and writes the next frontier; the counts come
+  from the write itself (``observe``).
+* Late supersteps have few senders: where they are fewer than the blocks, the blocks
+  they fall into prune the edge table's folders at run time (dynamic partition
+  pruning), so files read fall with the frontier.
+* All that is stored lies in one folder (by default a new one under the shared
+  checkpoint folder; it survives lost executors).  Every ``FOLD`` supersteps the ranks so
+  far are folded into one table, and what is no longer read is deleted.  With
+  ``state_path`` a run that broke off, driver included, is resumed by the same call:
+  outputs that are complete are read instead of made.  Folder and table are removed
+  at the end, and after an error unless ``state_path`` is given.  Only scalars reach
+  the driver: counts, and N and the rank sum for the final scaling.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidgraph.schema import VIDEO_COLUMNS
-from vidgraph.session import delete_path, scratch_path
+from vidgraph.session import hadoop_path, scratch_path
 
 SALT_SIZE = 200_000
 # Edge rows per bucket of the weighted edge table (about 40 bytes each).
@@ -79,7 +86,8 @@ def distinct_edges(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def vertex_salts(vertex_ids: DataFrame, dedup: DataFrame, salt_size: int = SALT_SIZE) -> DataFrame:
-    """``id, salts, outdeg`` for every vertex: salts = ceil(targets / salt_size), at least 1."""
+    """``id, num, salts, outdeg`` for every vertex: a number of its own (to be stored before
+    it is used), salts = ceil(targets / salt_size), at least 1."""
     deg = dedup.groupBy(F.col("src").alias("id")).agg(
         F.sum("mult").alias("outdeg"), F.count(F.lit(1)).alias("targets")
     )
@@ -87,7 +95,7 @@ def vertex_salts(vertex_ids: DataFrame, dedup: DataFrame, salt_size: int = SALT_
         vertex_ids.select("id").where(F.col("id").isNotNull()).distinct()
         .join(deg, "id", "left")
         .select(
-            "id",
+            "id", F.monotonically_increasing_id().alias("num"),
             F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("targets"), F.lit(0)) / F.lit(salt_size)))
             .cast("int").alias("salts"),
             F.coalesce(F.col("outdeg"), F.lit(0)).alias("outdeg"),
@@ -96,40 +104,98 @@ def vertex_salts(vertex_ids: DataFrame, dedup: DataFrame, salt_size: int = SALT_
 
 
 def weighted_edges(dedup: DataFrame, vx: DataFrame) -> DataFrame:
-    """``src, salt, dst, w, dstSalts``: weight = mult / outdeg(src); the salt
-    spreads a source's edges over its buckets by a hash of the target."""
-    src_side = vx.select(F.col("id").alias("src"), F.col("salts").alias("srcSalts"), "outdeg")
-    dst_side = vx.select(F.col("id").alias("dst"), F.col("salts").alias("dstSalts"))
+    """``src, salt, dst, w, dstSalts``, ends as vertex numbers: weight = mult /
+    outdeg(src); the salt spreads a source's edges over its buckets by a hash of the target."""
+    src_side = vx.select(F.col("id").alias("src"), F.col("num").alias("srcNum"), F.col("salts").alias("srcSalts"), "outdeg")
+    dst_side = vx.select(F.col("id").alias("dst"), F.col("num").alias("dstNum"), F.col("salts").alias("dstSalts"))
     return (
         dedup.join(src_side, "src")
         .join(dst_side, "dst")
         .select(
-            "src",
+            F.col("srcNum").alias("src"),
             F.pmod(F.xxhash64("dst"), F.col("srcSalts")).cast("int").alias("salt"),
-            "dst",
+            F.col("dstNum").alias("dst"),
             (F.col("mult") / F.col("outdeg")).alias("w"),
             "dstSalts",
         )
     )
 
 
-def _stored(df: DataFrame, name: str, tol: float | None = None) -> tuple[DataFrame, str, int, bool]:
-    """Write ``df`` (one job) and read it back: (rows, path, how many, whether any
-    of them sends mass)."""
-    path, seen = scratch_path(df.sparkSession, name), Observation()
-    sends = F.max(F.col("delta") > F.lit(tol)) if tol is not None else F.lit(True)
-    df.observe(seen, F.count(F.lit(1)).alias("n"), sends.alias("sends")).write.parquet(path)
-    found = seen.get
-    return df.sparkSession.read.schema(df.schema).parquet(path), path, int(found["n"]), bool(found["sends"])
+class _State:
+    """What a run has stored under ``path``; complete outputs (Spark marks them) are not made again."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-def _bucketed(df: DataFrame, buckets: int, keys: list[str]) -> tuple[DataFrame, str, str]:
-    """Store ``df`` bucketed and sorted by ``keys``: (table, its name, its path)."""
-    spark, name = df.sparkSession, f"vidgraph_edges_{uuid.uuid4().hex}"
-    path = scratch_path(spark, "edges")
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
-     .option("path", path).format("parquet").saveAsTable(name))
-    return spark.table(name), name, path
+    def done(self, name: str) -> bool:
+        path, fs = hadoop_path(self.spark, f"{self.path}/{name}/_SUCCESS")
+        return fs.exists(path)
+
+    def names(self) -> list[str]:
+        path, fs = hadoop_path(self.spark, self.path)
+        return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+    def numbered(self, prefix: str) -> list[int]:
+        """The numbers N of complete outputs ``prefix-N``, ascending."""
+        found = [n for n in self.names() if n.startswith(prefix + "-") and self.done(n)]
+        return sorted(int(n.rsplit("-", 1)[1]) for n in found)
+
+    def delete(self, name: str = "") -> None:
+        path, fs = hadoop_path(self.spark, f"{self.path}/{name}" if name else self.path)
+        fs.delete(path, True)
+
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def store(self, df: DataFrame, name: str, *counts) -> tuple[DataFrame, dict]:
+        """Write ``df`` (one job, observing the aggregates ``counts``) and read it back."""
+        if self.done(name):
+            stored = self.read(name, df.schema)
+            return stored, stored.agg(*counts).first().asDict() if counts else {}
+        seen = Observation()
+        out = df.observe(seen, *counts) if counts else df
+        out.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return self.read(name, df.schema), dict(seen.get) if counts else {}
+
+
+def _block(buckets: int):
+    """The bucket Spark puts a ``(src, salt)`` row into."""
+    return F.pmod(F.hash("src", "salt"), F.lit(buckets))
+
+
+def _edge_table(state: _State, make, name: str, n_edges, edges_per_bucket: int) -> tuple[DataFrame, int]:
+    """The weighted edges as table ``name``: one folder ``block=B`` per bucket of
+    ``(src, salt)``.  A complete one is only registered again."""
+    spark, held = state.spark, state.numbered("edges")
+    if held:
+        buckets = held[-1]
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in make().schema)
+        spark.sql(f"create table {name} ({columns}, block int) using parquet partitioned by (block) clustered by (src, salt) "
+                  f"sorted by (src, salt) into {buckets} buckets location '{state.path}/edges-{buckets}'")
+        spark.sql(f"alter table {name} recover partitions")
+    else:
+        for broken in [f for f in state.names() if f.startswith("edges-")]:
+            state.delete(broken)
+        buckets = max(spark.sparkContext.defaultParallelism, -(-n_edges() // edges_per_bucket))
+        rows = make().repartition(buckets, "src", "salt").withColumn("block", _block(buckets))
+        (rows.write.partitionBy("block").bucketBy(buckets, "src", "salt").sortBy("src", "salt")
+         .option("path", f"{state.path}/edges-{buckets}").format("parquet").saveAsTable(name))
+    return spark.table(name), buckets
+
+
+def superstep(frontier: DataFrame, w: DataFrame, reset: float, tol: float, buckets: int, prune: bool) -> DataFrame:
+    """The next frontier (``num, delta, salts``); ``prune``: read only the blocks of the senders."""
+    sends = frontier.where(F.col("delta") > F.lit(tol)).select(
+        F.col("num").alias("src"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "delta")
+    if prune:
+        blocks = sends.select(_block(buckets).alias("block")).distinct()  # at most one row per bucket
+        w = w.join(F.broadcast(blocks), "block", "left_semi")
+    return (
+        sends.join(w, ["src", "salt"])
+        .groupBy("dst")
+        .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts"))
+        .select(F.col("dst").alias("num"), (F.lit(1.0 - reset) * F.col("mass")).alias("delta"), "salts")
+    )
 
 
 def pagerank(
@@ -146,6 +212,7 @@ def pagerank(
     edges_per_bucket: int = EDGES_PER_BUCKET,
     fold: int = FOLD,
     trusted_edges: bool = False,
+    state_path: str | None = None,
 ) -> DataFrame:
     """Vertices (``id_col`` renamed ``id``, other columns kept) + ``pagerank``.
 
@@ -154,60 +221,69 @@ def pagerank(
     mass is still being sent then, that is an error, not a result.
     ``trusted_edges=True`` states that ``edges`` are distinct pairs of known
     vertices (a catalogue's edge table is), which skips their clean-up; out-degrees
-    are wrong if the statement is.
+    are wrong if the statement is.  ``state_path`` (shared storage) keeps the state of
+    a run that breaks off; a call with the same inputs and path goes on from there.
     """
     _check(reset_probability, tol, max_iter)
     spark = vertices.sparkSession
     verts = vertices.withColumnRenamed(id_col, "id")
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    if trusted_edges:
-        dedup = e.select("src", "dst", F.lit(1).cast("bigint").alias("mult"))
+    state = _State(spark, state_path.rstrip("/") if state_path else scratch_path(spark, "pagerank"))
+    table, n = f"vidgraph_edges_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n")
+    converged = False
+    try:
+        if trusted_edges:
+            dedup = e.select("src", "dst", F.lit(1).cast("bigint").alias("mult"))
+        else:
+            dedup = distinct_edges(verts.select("id"), e)
+        dedup, pairs = state.store(dedup, "pairs", n)
+        vx, _ = state.store(vertex_salts(verts.select("id"), dedup, salt_size), "vertices")
+        w, buckets = _edge_table(state, lambda: weighted_edges(dedup, vx), table, lambda: pairs["n"], edges_per_bucket)
+        ranks = _run(state, vx, w, buckets, reset_probability, tol, max_iter, fold)
+        path = scratch_path(spark, "pagerank-ranks")
+        ranks = ranks.join(vx.select("num", "id"), "num").select("id", "delta")
+        ranks.write.parquet(path)
+        ranks = spark.read.schema(ranks.schema).parquet(path)
+        converged = True
+    finally:
+        spark.sql(f"drop table if exists {table}")
+        if converged or not state_path:
+            state.delete()
+    stats = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum("delta").alias("total")).first()
+    factor = (stats["n"] / stats["total"]) if stats["total"] else 1.0
+    return verts.join(ranks.select("id", (F.col("delta") * F.lit(factor)).alias("pagerank")), "id")
+
+
+def _run(state: _State, vx: DataFrame, w: DataFrame, buckets: int, reset: float, tol: float, max_iter: int | None,
+         fold: int) -> DataFrame:
+    """Supersteps from the state's newest folded ranks (or the start) to convergence: the rank sums."""
+    schema = T.StructType([vx.schema["num"], T.StructField("delta", T.DoubleType()), T.StructField("salts", T.IntegerType())])
+    senders = F.count(F.when(F.col("delta") > F.lit(tol), 1)).alias("senders")
+    folded = state.numbered("ranks")
+    step = folded[-1] if folded else 0
+    if step:
+        frontier = state.read(f"frontier-{step}", schema)
+        seen = frontier.agg(senders).first().asDict()
+        parts = [state.read(f"ranks-{step}", T.StructType(schema.fields[:2]))]
     else:
-        dedup = distinct_edges(verts.select("id"), e)
-    dedup, dedup_path, n_edges, _ = _stored(dedup, "pagerank-edges")
-    vx, vx_path, _, _ = _stored(vertex_salts(verts.select("id"), dedup, salt_size), "pagerank-vertices")
-    buckets = max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_bucket))
-    w, w_name, w_path = _bucketed(weighted_edges(dedup, vx), buckets, ["src", "salt"])
-
-    start = F.lit(reset_probability).cast("double")
-    frontier, path, received, active = _stored(vx.select("id", start.alias("delta"), "salts"), "frontier", tol)
-    paths, parts, step = [dedup_path, vx_path, w_path, path], [frontier.select("id", "delta")], 0
-    while received and active:
+        start = vx.select("num", F.lit(reset).cast("double").alias("delta"), "salts")
+        frontier, seen = state.store(start, "frontier-0", senders)
+        parts = [frontier.select("num", "delta")]
+    stored = [f"frontier-{step}"]
+    while seen["senders"]:
         if max_iter is not None and step >= max_iter:
-            spark.sql(f"drop table {w_name}")
             raise RuntimeError(f"PageRank has not converged after {max_iter} supersteps")
-        sends = frontier.where(F.col("delta") > F.lit(tol)).select(
-            F.col("id").alias("src"),
-            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-            "delta",
-        )
-        received_mass = (
-            sends.join(w, ["src", "salt"])
-            .groupBy("dst")
-            .agg(F.sum(F.col("delta") * F.col("w")).alias("mass"), F.max("dstSalts").alias("salts"))
-            .select(
-                F.col("dst").alias("id"),
-                (F.lit(1.0 - reset_probability) * F.col("mass")).alias("delta"),
-                "salts",
-            )
-        )
-        frontier, path, received, active = _stored(received_mass, "frontier", tol)
-        paths.append(path)
-        parts.append(frontier.select("id", "delta"))
         step += 1
+        received = superstep(frontier, w, reset, tol, buckets, seen["senders"] < buckets)
+        frontier, seen = state.store(received, f"frontier-{step}", senders)
+        parts.append(frontier.select("num", "delta"))
+        stored.append(f"frontier-{step}")
         if len(parts) > fold:
-            ranks, folded, _, _ = _stored(_summed(parts), "ranks")
-            for old in paths[3:-1]:  # all frontiers but the current one
-                delete_path(spark, old)
-            paths, parts = [*paths[:3], path, folded], [ranks]
-
-    ranks, _, _, _ = _stored(_summed(parts), "ranks")
-    spark.sql(f"drop table {w_name}")
-    for old in paths:
-        delete_path(spark, old)
-    stats = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum("delta").alias("total")).first()
-    factor = (stats["n"] / stats["total"]) if stats["total"] else 1.0
-    return verts.join(ranks.select("id", (F.col("delta") * F.lit(factor)).alias("pagerank")), "id")
+            ranks, _ = state.store(_summed(parts), f"ranks-{step}")
+            for old in [f"ranks-{r}" for r in state.numbered("ranks")[:-1]] + stored[:-1]:
+                state.delete(old)
+            parts, stored = [ranks], stored[-1:]
+    return _summed(parts)
 
 
 def _summed(parts: list[DataFrame]) -> DataFrame:
@@ -215,7 +291,7 @@ def _summed(parts: list[DataFrame]) -> DataFrame:
     union = parts[0]
     for more in parts[1:]:
         union = union.unionByName(more)
-    return union.groupBy("id").agg(F.sum("delta").alias("delta"))
+    return union.groupBy("num").agg(F.sum("delta").alias("delta"))
 
 
 def influence_top(results: DataFrame, k: int = 10, by: str = "pagerank", key: str = "id") -> DataFrame:

@@ -559,13 +559,14 @@ _PR_OUT = ("v.videoId as id, v.uploader, v.age, v.category, v.length, v.views, r
            "v.ratingCount, v.commentCount, round(r.pr * (select n from tot) / (select s from tot), 6) as pagerank")
 
 
-def _pagerank_sql(tail: str = "") -> str:
+def _pagerank_sql(tail: str = "", distinct: str = "distinct") -> str:
     return f"""with recursive videos_fx as ({fx.duck('videos_fx')}),
 related_fx as ({fx.duck('related_fx')}),
-ce as (select distinct srcVideoId as src, dstVideoId as dst from related_fx
+ce as (select {distinct} srcVideoId as src, dstVideoId as dst from related_fx
        where srcVideoId in (select videoId from videos_fx) and dstVideoId in (select videoId from videos_fx)),
 od as (select src, count(*) as deg from ce group by src),
-w as (select ce.src, ce.dst, 1.0 / od.deg as w from ce join od on ce.src = od.src),
+w as (select ce.src, ce.dst, cast(count(*) as double) / od.deg as w from ce join od on ce.src = od.src
+      group by ce.src, ce.dst, od.deg),
 it(step, id, delta) as (
   select 0, videoId, cast({PR_RESET} as double) from videos_fx
   union all
@@ -589,6 +590,12 @@ def q_pagerank(spark, sf_dir):
     return rounded(_pagerank_results(spark, sf_dir))
 
 
+@register("pagerank_raw_edges", _pagerank_sql(distinct=""))
+def q_pagerank_raw_edges(spark, sf_dir):
+    """Over the raw edge rows: parallel edges weigh more, null and unknown endpoints are left out."""
+    return rounded(influence.pagerank(fx.videos_fx(spark, sf_dir), fx.related_fx(spark, sf_dir), PR_RESET, PR_TOL))
+
+
 @register("pagerank_top", _pagerank_sql(f"order by pagerank desc, id asc limit {PR_TOP}"))
 def q_pagerank_top(spark, sf_dir):
     return rounded(influence.influence_top(_pagerank_results(spark, sf_dir), PR_TOP))
