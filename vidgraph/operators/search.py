@@ -7,6 +7,8 @@ reach the final merge, so nothing large is gathered in one place.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,10 @@ def find_in_range(videos: DataFrame, field: str, start, end, n: int = 10) -> Dat
     if not isinstance(n, int) or n < 0:
         raise ValueError("n must be a non-negative integer")
     c = F.col(field)
+    if isinstance(videos.schema[field].dataType, T.IntegralType):
+        # Whole bounds, which select the same whole numbers and reach the Parquet scan as pushed filters.
+        start, end = (f(x) if isinstance(x, float) and math.isfinite(x) else x
+                      for f, x in ((math.floor, start), (math.ceil, end)))
     return (
         videos.where((c > F.lit(start)) & (c < F.lit(end)))
         .orderBy(F.desc(field), F.asc("videoId"))

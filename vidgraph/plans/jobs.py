@@ -6,6 +6,7 @@
   stored catalogue is ``plans.catalog_tables.CatalogTables``.
 * ``network_job``   - the three aggregation outputs as header CSV; the two
   small tables as one file each, ``node_degrees`` written by all tasks.
+* ``cluster_job``   - the catalogue clustered for range searches over any metric.
 * ``influence_job`` - PageRank over the catalogue, results stored, top list.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from vidgraph.operators import catalog, influence, ingest, network
+from vidgraph.operators import catalog, clustering, influence, ingest, network
 from vidgraph.plans.catalog_tables import Catalogue, CatalogTables
 from vidgraph.schema import RELATED_TEXT, VIDEOS_TEXT
 from vidgraph.sources import crawl, tables
@@ -60,6 +61,12 @@ def network_job(videos: DataFrame, edges: DataFrame, out_dir: str, *, check_none
         res.unpersist()
 
 
+def cluster_job(videos: DataFrame, path: str, *, row_group_bytes: int = 16 << 20) -> None:
+    """Write ``videos`` to ``path`` in the order of a curve through the search metrics:
+    range searches over it skip the row groups that cannot hold a match."""
+    clustering.clustered(videos).write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
+
+
 def influence_job(cat: Catalogue, results_path: str, *, reset: float = 0.15, tol: float = 0.01,
                   top: int = 20, format: str = "parquet", options: dict | None = None) -> DataFrame:
     """PageRank over the catalogue, stored at ``results_path``; returns the top list.

@@ -237,6 +237,22 @@ for _f, (_s, _e) in RANGES.items():
         f"select {_V_OUT} from complete where {_f} > {_s} and {_f} < {_e} "
         f"order by {_f} desc, videoId asc limit {RANGE_N}"))(_range_query(_f))
 
+def _clustered_range_query(field):
+    start, end = RANGES[field]
+
+    def q(spark, sf_dir):
+        """The range search over the catalogue stored in curve order."""
+        path = scratch_path(spark, "clustered_videos")
+        jobs.cluster_job(fx.videos_fx(spark, sf_dir), path)
+        stored = tables.read_table(spark, path, schema=VIDEOS_TYPED)
+        return rounded(search.search_range(stored, field, start, end, RANGE_N))
+
+    return q
+
+
+for _f in RANGES:
+    register(f"range_clustered_{_f}", ORACLES[f"range_{_f}"])(_clustered_range_query(_f))
+
 TOPK_CATEGORY_K = 3
 
 
