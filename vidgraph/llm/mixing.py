@@ -8,13 +8,17 @@ uniform number taken from a hash of seed and ``doc_id``; rates above
 ``MEAN_LIMIT`` are sums of equal independent parts, so the table of the function
 stays short.  Copies are dealt and ordered by a hash: one global shuffle, without
 sampling.  Rates depend on one row per source only, so a source that holds a
-third of all rows is neither grouped nor moved by its key.
+third of all rows is neither grouped nor moved by its key: the rates are broadcast
+up to ``RATES_BYTES``; of more sources, those of over a thousandth of all bytes (fewer
+than 1,000) are, and only the others' rows are joined by their key.
 
 Defined cases: null texts count as empty; null sources are a source of their
 own; a null ``doc_id`` draws like the text ``null``; repeated rows of one
-``doc_id`` draw alike; a source without a weight gets none and counts in no
-total; columns that clash
-with the added ones are replaced; an empty table gives an empty table.
+``doc_id`` draw alike; a source without a weight, or with a null one, gets no copies
+and counts in no total; a negative or not finite weight is an error; of several
+weights of one source the largest counts; texts are kept whole whatever their length;
+columns that clash with the added ones are replaced; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -22,9 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidgraph.llm.common import broadcast_if_small, quoted, scratch, without
+from vidgraph.llm.common import quoted, scratch, without
 
 MEAN_LIMIT = 64
+RATES_BYTES = 32 << 20
 ADDED = ["copy", "n_copies", "shuffle_key"]
 
 
@@ -58,8 +63,12 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, alpha: float
     if weights is None:
         sizes = sizes.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(alpha)))
     else:
-        w = weights.groupBy("source").agg(F.max("weight").alias("weight"))
-        sizes = sizes.join(w, sizes["__source"].eqNullSafe(w["source"])).drop("source")
+        w = weights.groupBy("source").agg(F.max("weight").cast("double").alias("weight"),
+                                          F.min("weight").cast("double").alias("least")).where("weight is not null")
+        bad = w.where((F.col("least") < 0) | F.isnan("weight") | (F.col("weight") == float("inf")))
+        if not bad.isEmpty():
+            raise ValueError("weights must be finite and not negative")
+        sizes = sizes.join(w.drop("least"), sizes["__source"].eqNullSafe(w["source"])).drop("source")
     total = sizes.agg(F.sum("size").alias("s"), F.sum("weight").cast("double").alias("w")).first()
     if not total["s"] or not total["w"]:
         sizes, total = sizes.where(F.lit(False)), {"s": 1, "w": 1.0}
@@ -76,11 +85,29 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, alpha: float
     the global order of ``shuffle_key``."""
     rates = source_rates(docs, weights, alpha, epochs)
     base = without(docs, *ADDED)
-    rows = base.join(broadcast_if_small(rates), base["source"].eqNullSafe(rates["__source"]))
-    draws = F.transform(F.sequence(F.lit(1), rates["parts"]), lambda part: _uniform(F.lit(seed), base["doc_id"], part))
-    copies = F.aggregate(draws, F.lit(0), lambda acc, u: acc + F.size(F.filter(rates["cdf"], lambda c: c <= u)))
-    columns = [base[f"`{c}`"] if "`" not in c else quoted(c) for c in base.columns]
-    rows = rows.select(*columns, copies.cast("bigint").alias("n_copies")).where("n_copies > 0")
+    near, far = _split_rates(rates)
+    rows = _repeated(base, near, seed)
+    if far is not None:
+        rows = rows.unionByName(_repeated(base, far, seed))
     rows = rows.select("*", F.explode_outer(F.sequence(F.lit(1).cast("bigint"), "n_copies")).alias("copy"))
     rows = rows.withColumn("shuffle_key", _digest(F.lit(seed), F.lit("order"), F.col("doc_id"), F.col("copy")))
     return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
+
+
+def _split_rates(rates: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rates to broadcast, and those of the smaller sources where all are too many."""
+    found = rates.agg(F.sum(F.size("cdf") * 8 + F.coalesce(F.octet_length("__source"), F.lit(0)) + 64).alias("bytes"),
+                      F.sum("size").alias("size")).first()
+    if (found["bytes"] or 0) <= RATES_BYTES:
+        return F.broadcast(rates), None
+    large = F.col("size") * 1000 > found["size"]
+    return F.broadcast(rates.where(large)), rates.where(~large)
+
+
+def _repeated(base: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
+    """Rows of the sources in ``rates`` with ``n_copies`` above 0."""
+    rows = base.join(rates, base["source"].eqNullSafe(rates["__source"]))
+    draws = F.transform(F.sequence(F.lit(1), rates["parts"]), lambda part: _uniform(F.lit(seed), base["doc_id"], part))
+    copies = F.aggregate(draws, F.lit(0), lambda acc, u: acc + F.size(F.filter(rates["cdf"], lambda c: c <= u)))
+    columns = [base[f"`{c}`"] if "`" not in c else quoted(c) for c in base.columns]
+    return rows.select(*columns, copies.cast("bigint").alias("n_copies")).where("n_copies > 0")

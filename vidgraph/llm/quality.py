@@ -8,8 +8,10 @@
 4. Rules and weights become one Spark column expression.
 
 Defined cases: null and empty texts have all-zero statistics and get a score;
-repeated labels of one id count as the larger; labelled ids without a document
-are not used; with no or one class to learn from the score is a constant (0.5
+repeated labels of one id count as the larger; of repeated rows of one id the one
+with the smallest text hash is learned from, so the sample is bounded in rows and no
+copy weighs twice, and every row is scored; labelled ids without a document are not
+used; very long texts are read whole; an empty table gives an empty table; with no or one class to learn from the score is a constant (0.5
 without rows); columns that clash with the added ones are replaced.
 """
 
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from vidgraph.llm.common import held_out, quoted, scratch, without
+from vidgraph.llm.common import held_out, quoted, scratch, text_hash, without
 
 SAMPLE_ROWS, TREES, DEPTH, LASSO = 20_000, 12, 3, 0.002
 ADDED = ["held_out", "score", "predicted"]
@@ -79,7 +81,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(F.col("quality").cast("double")).alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = docs.select(F.col("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    if not texts.groupBy("doc_id").count().where("count > 1").isEmpty():  # rows of one id: the smallest hash of their texts
+        one = texts.groupBy("doc_id", "label").agg(F.min(text_hash(F.col("text"))).alias("h"))
+        texts = texts.join(F.broadcast(one.select("doc_id", "h")), "doc_id").where(text_hash(F.col("text")) == F.col("h"))
+        texts = texts.groupBy("doc_id", "label").agg(F.first("text").alias("text"))
     return scratch(texts.select(statistics(F.col("text")).alias("stats"), "label"), "quality-sample")
 
 
