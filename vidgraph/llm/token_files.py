@@ -1,7 +1,7 @@
 """Token ids as Arrow stream files of equal-length sequences.
 
-Documents are dealt by ranges of ``doc_id`` and sorted; each task encodes its
-texts, ends every document with ``end_id`` and packs the ids into sequences of
+Documents are dealt by ranges of ``doc_id`` (or of a given ``order``) and sorted,
+equal rows apart; each task encodes its texts, ends every document with ``end_id`` and packs the ids into sequences of
 ``length`` ids.  A file is an Arrow IPC stream of record batches of
 ``batch_rows`` rows with two fixed-size lists: ``input_ids`` and ``mask`` (true:
 an id, false: padding after the last document of the file).  Batches have equal
@@ -15,18 +15,28 @@ leaves only files that nothing names.
 Encoding: a byte-level BPE with spaces kept in front of words never joins text
 across a single space between two non-blanks, nor a word and the mark after it,
 so a text is cut there and every distinct piece is encoded once per task.  The pieces' ids are the library's own.
+With any other tokenizer (another pre-tokenizer or model, a normalizer) texts go
+through the library whole.
 A text that holds an added token (such as ``<|endoftext|>``) goes through the
 library as a whole and gets that token's id, as its plain call gives it; with
 ``escape_special`` strings that name special tokens are ordinary text.
 
+Folders are Hadoop URIs as Spark takes them; tasks write through Arrow's file
+systems, so ``s3a``, ``wasbs`` and the like are translated (``arrow_uri``) and a
+scheme that Arrow doesn't know is an error before the job starts.
+
 Defined cases: null and empty texts give the end id only; null ids come first;
-rows of one ``doc_id`` are ordered by a hash of the text; an empty table gives an
-empty manifest; other columns are not read.
+rows of one ``doc_id`` are ordered by a hash of the text, equal rows by their place
+in the input (each is written, and dealt to as many files as it takes); very long
+texts are encoded whole; an empty table gives an empty manifest; other columns are
+not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,6 +61,25 @@ OTHER_BLANKS = "".join(chr(i) for i in range(128, 0x3001) if chr(i).isspace())
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
+def arrow_uri(folder: str) -> str:
+    """A Hadoop folder URI as Arrow's file systems take it."""
+    scheme, _, rest = folder.partition("://") if "://" in folder else folder.partition(":") if re.match(r"file:/", folder) else (
+        "file", "", folder)
+    scheme, plain = scheme.lower(), rest.rstrip("/")
+    if scheme == "file":
+        if not plain.startswith("/"):
+            raise ValueError(f"not an absolute folder: {folder}")
+        return "file://" + plain
+    if scheme in ("s3", "s3a", "s3n"):
+        return "s3://" + plain
+    if scheme in ("abfs", "abfss", "wasb", "wasbs"):
+        return "abfs" + ("s" if scheme.endswith("s") and scheme != "abfs" else "") + "://" + plain.replace(
+            ".blob.core.", ".dfs.core.", 1)
+    if scheme in ("gs", "hdfs", "viewfs"):
+        return f"{scheme}://{plain}"
+    raise ValueError(f"no way to write token files to {scheme}://")
+
+
 class Encoder:
     """Texts to little-endian id bytes; remembers the ids of pieces.  With
     ``escape`` strings that name special tokens are ordinary text."""
@@ -64,6 +93,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.named = [t.content for t in added if not (escape and t.special)]
         self.joined = not any(" " in n for n in self.named)
+        self.cuts = _byte_level(json.loads(self.tokenizer.to_str()))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces: dict[str, bytes] = {}
         self.spaced = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
@@ -95,6 +125,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of a few texts."""
+        if not self.cuts:
+            return self._whole(texts)
         cut = [[t] if any(n in t for n in self.named) else _pieces(t) for t in texts]
         heads = self._whole([c[0] for c in cut])
         for c in cut:
@@ -119,6 +151,17 @@ class Encoder:
             yield from self.encode(held)
 
 
+def _byte_level(spec: dict) -> bool:
+    """Whether texts may be cut: byte-level BPE split by the usual pattern, spaces
+    kept in front of words, nothing normalised, no dropout or added end of word."""
+    split = spec.get("pre_tokenizer") or {}
+    model = spec.get("model") or {}
+    return (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+            and not split.get("add_prefix_space") and model.get("type") == "BPE" and not model.get("dropout")
+            and not model.get("end_of_word_suffix") and not model.get("continuing_subword_prefix")
+            and not model.get("ignore_merges") and not spec.get("truncation") and not spec.get("padding"))
+
+
 def _pieces(text: str) -> list[str]:
     """Cut where no token can reach across: at single spaces between non-blanks,
     and before a comma or full stop that ends a word.  The first piece is as it
@@ -158,7 +201,7 @@ class _Writer:
     """The two streams of one file."""
 
     def __init__(self, folder: str, part: int, dtype: np.dtype, id_type: pa.DataType, length: int, batch_rows: int):
-        self.fs, root = pa.fs.FileSystem.from_uri(folder)
+        self.fs, root = pa.fs.FileSystem.from_uri(arrow_uri(folder))
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         self.names = (f"{name}.tokens.arrows", f"{name}.index.arrows")
         self.length, self.rows, self.dtype = length, batch_rows, dtype
@@ -229,15 +272,19 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, length: int = LENGTH,
-                 batch_rows: int = BATCH_ROWS, escape_special: bool = False) -> DataFrame:
+                 batch_rows: int = BATCH_ROWS, escape_special: bool = False, order: Column | None = None) -> DataFrame:
     """Write all texts of ``docs`` (``doc_id, text``) below ``folder`` (a shared
     folder, as a URI or an absolute path) and return the manifest: one row per
-    file with ``first`` (ids in all files before it)."""
+    file with ``first`` (ids in all files before it).  Files hold the documents in
+    ascending ``doc_id``, or in that of ``order`` (an expression over ``docs``)."""
     spark = docs.sparkSession
+    arrow_uri(folder)  # an unknown scheme fails here
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
-    rows = docs.select("doc_id", "text", text_hash(docs["text"]).alias("xh"))
-    rows = rows.repartitionByRange("doc_id", "xh").sortWithinPartitions("doc_id", "xh").select("doc_id", "text")
+    rows = docs.select("doc_id", "text", text_hash(docs["text"]).alias("xh"), F.monotonically_increasing_id().alias("place"),
+                       *([] if order is None else [order.alias("key")]))
+    keys = [*([] if order is None else ["key"]), "doc_id", "xh", "place"]  # the place deals equal rows to many ranges
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     manifest = scratch(rows.mapInArrow(
         lambda it: _write(it, folder, tokenizer, end_id, length, batch_rows, escape_special), MANIFEST), "token-manifest")
     # One row per file.
@@ -251,7 +298,7 @@ def open_sequences(path: str) -> pa.Table:
 
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    fs, root = pa.fs.FileSystem.from_uri(folder)
+    fs, root = pa.fs.FileSystem.from_uri(arrow_uri(folder))
     for batch in batches:
         for row in batch.to_pylist():
             with fs.open_input_file(f"{root}/{row['tokens']}") as a, fs.open_input_file(f"{root}/{row['index']}") as b:
