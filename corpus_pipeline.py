@@ -26,7 +26,9 @@ def _kept_by(docs: DataFrame, added: list[str], operator: Callable[[DataFrame],
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble scores below 0.5 go."""
+    """Documents that the rule ensemble scores below 0.5 go; null and empty texts are
+    scored like others, repeated rows alike; without labels all score 0.5 and stay;
+    an empty table gives an empty one (as in all stages)."""
     labels = table(spark, sf_dir, "labels")
     return _kept_by(docs, quality.ADDED, lambda d: quality.score_quality(d, labels), "predicted = 1")
 
@@ -45,21 +47,29 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages (one word in twenty or more) go."""
+    """Documents that hold benchmark passages (one word in twenty or more) go; null and
+    empty texts hold none, repeated rows go or stay together, an empty benchmark
+    lets all stay; texts are read whole."""
     benchmark = table(spark, sf_dir, "benchmark")
     return _kept_by(docs, decontamination.ADDED, lambda d: decontamination.decontaminate(d, benchmark),
                     "not contaminated")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at shares proportional to the square root of their size, one epoch."""
+    """Sources at shares proportional to the square root of their size, one epoch: a
+    document stays as often as it is drawn.  A null source is one of its own, null
+    and empty texts are drawn like others, repeated rows are drawn alike."""
     return _kept_by(docs, mixing.ADDED, lambda d: mixing.mix_sources(d, alpha=0.5, epochs=1.0, seed=42), "n_copies > 0")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents and, read back from them, their index."""
+    """Token files of all documents in mixed order and, read back from them, their index
+    (``start``: the place in that order).  The order is a hash of the id and the
+    row's place in the input, so the copies that mixing made lie apart; null and
+    empty texts are an end id each."""
     folder = token_files.token_folder(spark)
-    manifest = token_files.write_tokens(docs, folder, token_files.default_tokenizer())
+    order = F.xxhash64(F.lit(42), F.col("doc_id"), F.monotonically_increasing_id())
+    manifest = token_files.write_tokens(docs, folder, token_files.default_tokenizer(), order=order)
     return token_files.read_index(manifest, folder, docs.schema["doc_id"].dataType.simpleString())
 
 
