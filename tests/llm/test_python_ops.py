@@ -1,10 +1,12 @@
 """Operators tested against brute force, round trips and held-out accuracy (3, 5, 6, 7, 8) and the pipeline."""
 
+import hashlib
 import itertools
 import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -236,6 +238,41 @@ def test_encoder_random_texts():
         assert encoder.encode([text])[0] == ids.tobytes(), repr(text)
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def contaminated(words, windows):
+    hit = set()
+    for n in {len(w) for w in windows}:
+        for i in range(len(words) - n + 1):
+            if tuple(words[i:i + n]) in windows:
+                hit.update(range(i, i + n))
+    return bool(hit) and 20 * len(hit) >= len(words)
+
+
+def expected_copies(rows):
+    """Poisson counts inverted from the hash, in plain Python."""
+    sizes = Counter()
+    for r in rows:
+        sizes[r["source"]] += len(r["text"] or "") + 1
+    roots = {s: n ** 0.5 for s, n in sizes.items()}
+    out = Counter()
+    for r in rows:
+        rate = roots[r["source"]] / sum(roots.values()) * sum(sizes.values()) / sizes[r["source"]]
+        parts = math.ceil(rate / 64)
+        for part in range(1, parts + 1):
+            u = int(hashlib.md5(f"42|{r['doc_id']}|{part}".encode()).hexdigest()[:13], 16) / 2 ** 52
+            k, term = 0, math.exp(-rate / parts)
+            cum = term
+            while cum <= u:
+                k += 1
+                term *= rate / parts / k
+                cum += term
+            out[r["doc_id"]] += k
+    return Counter({i: n for i, n in out.items() if n})
+
+
 def test_pipeline(spark):
     """Every stage against its own restatement; the index against the library."""
     docs = common.table(spark, SF, "documents")
@@ -254,10 +291,24 @@ def test_pipeline(spark):
             low = grouped(len(ids), [(a, b) for a, b in itertools.combinations(range(len(ids)), 2)
                                      if (fps[a] ^ fps[b]).bit_count() <= 3])
             assert kept == {ids[i] for i in low}
+        elif name == "benchmark decontamination":
+            items = [plain_words(r["text"]) for r in common.table(spark, SF, "benchmark").collect()]
+            windows = {tuple(w[i:i + min(13, len(w))]) for w in items if w for i in range(len(w) - min(13, len(w)) + 1)}
+            assert kept == {i for i, r in rows.items() if not contaminated(plain_words(r["text"]), windows)}
+            assert len(kept) < len(rows)
+        elif name == "mixing sources to target weights":
+            got = Counter(r["doc_id"] for r in after.collect())
+            assert got == expected_copies(list(rows.values())) and got.keys() != rows.keys()
+            assert all(r["text"] == rows[r["doc_id"]]["text"] for r in after.collect())
         elif name == "token ids":
-            texts = sorted((r["doc_id"], r["text"]) for r in before.collect())
             got = sorted((tuple(r) for r in after.collect()), key=lambda r: r[1])
-            assert got == expected_index(texts)
+            texts = {r["doc_id"]: r["text"] for r in before.collect()}
+            assert Counter(r[0] for r in got) == Counter(r["doc_id"] for r in before.collect())
+            assert got == expected_index([(r[0], texts[r[0]]) for r in got])
+            ids = [r[0] for r in got]   # mixed: not by id, copies apart
+            assert sum(a < b for a, b in zip(ids, ids[1:])) < 0.6 * len(ids)
+            together = sum(a == b for a, b in zip(ids, ids[1:]))
+            assert together < 0.2 * (len(ids) - len(set(ids)))
         docs = after
 
 
