@@ -44,6 +44,11 @@ def odd_dir(spark, tmp_path_factory):
             (4, 0, "weird<|im_sep|>\nrole", "x")]
     spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string").write.parquet(
         f"{folder}/conversations.parquet")
+    near = [1.0, 0.1, 0.0]
+    vecs = [(1, near, 0), (1, near, 0), (7, [1.0, 0.0, 0.0], 0), (3, [2.0, 0.1, 0.1], 0), (4, near, 1), (5, near, None),
+            (6, None, 0), (8, [0.0, 0.0, 0.0], 0), (9, [float("nan"), 1.0, 0.0], 0), (10, [1.0, None, 0.0], 0), (11, [], 0),
+            (12, [float("inf"), 0.0, 0.0], 0), (13, [-1.0, -0.1, 0.0], 0), (14, [1.0, 0.1], 0), (2, [-1.0, 0.0, 0.0], 0)]
+    spark.createDataFrame(vecs, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     labels = [(i * 3, i % 2, 0) for i in range(len(texts)) if i % 5]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder

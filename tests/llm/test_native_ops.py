@@ -1,4 +1,4 @@
-"""Operators that DuckDB can express (1, 2, 4, 9, 10): SQL agreement and defined cases."""
+"""Operators that DuckDB can express (1, 2, 4, 5, 9 to 12): SQL agreement and defined cases."""
 
 import random
 
@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def agree(spark, name, folder):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         path = f"{folder}/{t}.parquet"
         con.execute(f"create view {t} as select * from read_parquet('{path if folder == SF else path + '/*.parquet'}')")
     df = queries.QUERIES[name](spark, folder)

@@ -18,8 +18,9 @@ Vectors of equal label (and length) are linked at cosine ``threshold`` or more.
 Defined cases: a vector that is null, empty or zero or holds nulls or non-finite
 numbers links with nothing, nor does one without a label; vectors of different
 length don't link; repeated rows are vectors of their own and link with each
-other; a null ``vec_id`` never names a component unless it is alone (then null)
-and is kept only when alone; columns that clash with the added ones are replaced.
+other; a null ``vec_id`` never names a component that holds an id and is not kept
+there (rows without ids that link with nothing else have a null component and are
+all kept: nothing tells them apart); an empty table gives an empty table; columns that clash with the added ones are replaced.
 """
 
 from __future__ import annotations

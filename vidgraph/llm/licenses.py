@@ -12,7 +12,9 @@ what is left is verified exactly.  The phrase labels are
 found beside this at every place where a phrase's words stand consecutively.
 
 Defined cases: null texts are empty; repeated document rows
-get equal reports; a null ``doc_id`` is kept; no templates: phrases only.
+get equal reports; a null ``doc_id`` is kept; no templates: phrases only; very long
+texts are scanned whole; only ``doc_id`` and ``text`` are read, so other columns can't
+clash; an empty table gives an empty table.
 """
 
 from __future__ import annotations

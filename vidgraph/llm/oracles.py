@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vidgraph.llm.chat import END, SEP, STOP, TURN
-from vidgraph.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+from vidgraph.llm.licenses import NOTICES, PHRASES, REQUIRED, TEMPLATES, THRESHOLD
 
 # Runs of letters, digits and non-ASCII characters, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -91,25 +91,46 @@ def _values(rows) -> str:
     return ", ".join("('" + "', '".join(r) + "')" for r in rows)
 
 
+# Blocks are runs of consecutive words of the whole text that start with a template word.
 OP10 = f"""
 with phrases(phrase, label) as (values {_values(PHRASES.items())}),
-templates as (select name, list_distinct({words('t')}) w from (values {_values(TEMPLATES.items())}) v(name, t)),
-d as (select doc_id, text, {words('text')} w from documents),
-places as (select doc_id, label, p - 1 spot
-  from (select doc_id, w, label, string_split(phrase, ' ') f, unnest(generate_series(1, len(w))) p from d, phrases)
+required(name, phrase) as (values {_values((n, p) for n, ps in REQUIRED.items() for p in ps)}),
+templates as (select name, list_distinct(ws) w, ceil({THRESHOLD} * len(list_distinct(ws)) - 1e-9)::bigint needed,
+    ceil(len(ws) / {THRESHOLD} - 1e-9)::bigint longest
+  from (select name, {words('t')} ws from (values {_values({**TEMPLATES, **NOTICES}.items())}) v(name, t))),
+d as (select doc_id, row_number() over () r, {words('text')} w from documents),
+places as (select r, label, p - 1 spot
+  from (select r, w, label, string_split(phrase, ' ') f, unnest(generate_series(1, len(w))) p from d, phrases)
   where w[p:p + len(f) - 1] = f),
-base as (select doc_id, count(*) n_base, min(spot) first_word, max(spot) last_word,
+base as (select r, count(*) n_base, min(spot) first_word, max(spot) last_word,
   string_agg(distinct label, ',' order by label) base_labels, list(distinct label) labels from places group by 1),
-blocks as (select doc_id, {words('line')} b from (
-  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line from documents)),
-found as (select doc_id, list(distinct name) labels, max(c) best from (
-  select doc_id, name, len(list_intersect(t.w, b)) / len(t.w) c from blocks, templates t)
-  where c >= {THRESHOLD} - 1e-9 group by 1)
+likely as (select r, name, d.w, t.w tw, needed, longest from d, templates t
+  where len(list_intersect(list_distinct(d.w), t.w)) >= needed),
+blocks as (select r, name, tw, needed, w[p:p + longest - 1] b
+  from (select *, unnest(generate_series(1, len(w))) p from likely) where list_contains(tw, w[p])),
+matches as (select r, name, len(list_intersect(list_distinct(b), tw)) / len(tw) c from blocks
+  where len(list_intersect(list_distinct(b), tw)) >= needed and not exists (select 1 from required q
+    where q.name = blocks.name and not contains(' ' || array_to_string(b, ' ') || ' ', ' ' || q.phrase || ' '))),
+found as (select r, list(distinct name) labels, max(c) best from matches group by 1)
 select doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word::bigint first_word,
   last_word::bigint last_word, coalesce(base_labels, '') base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') labels,
   case when n_base > 0 then 1.0::double else coalesce(best, 0)::double end score
-from d left join base using (doc_id) left join found using (doc_id)
+from d left join base using (r) left join found using (r)
+"""
+
+# All pairs within a label, and reachability from the smallest ids.
+OP5 = """
+with recursive v as (select row_number() over () r, vec_id, label, embedding::double[] e from embeddings),
+good as (select * from v where label is not null and vec_id is not null and e is not null and len(e) > 0
+  and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (select a.r, b.r s from good a join good b on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r
+  where list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.93),
+reach as (select r, r s from v union select reach.r, links.s from reach join links on links.r = reach.s),
+low as (select reach.r, min(v.vec_id) component_id from reach join v on v.r = reach.s group by 1),
+n as (select r, count(*) n_links from links group by 1)
+select vec_id, coalesce(n_links, 0)::bigint n_links, component_id, vec_id = component_id kept
+from v join low using (r) left join n using (r)
 """
 
 # CRC-32 of a text: eight table steps give the 256 table entries, one step per byte the sum.
@@ -168,6 +189,7 @@ ORACLES = {
     "op1_line_dedup": OP1,
     "op2_mixing": OP2,
     "op4_chat_formatting": OP4,
+    "op5_embedding_near_dedup": OP5,
     "op9_benchmark_decontamination": OP9,
     "op10_license_scan": OP10,
     "op11_prefix_trie": OP11,
