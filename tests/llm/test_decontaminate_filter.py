@@ -1,0 +1,42 @@
+"""op9: the shingle table follows the benchmark's size; windows of many items."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from vidgraph.llm import decontaminate as dec
+
+
+def test_suspects_stay_near_the_true_hits(spark):
+    """A benchmark of some 300,000 shingles lets few foreign positions through."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(20_000)]
+    items = [(i, " ".join(rnd.choices(words, k=3_000))) for i in range(100)]
+    docs = [(i, " ".join(rnd.choices(words, k=200))) for i in range(400)]
+    docs += [(1000 + i, "x " * 50 + " ".join(t.split()[i:i + 40])) for i, t in items[:20]]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    windows = dec.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    parts = dec._window_shingles(windows, 5)
+    names = parts.groupBy("sh").agg(F.first("size").alias("size")).withColumn("sid", F.monotonically_increasing_id()).cache()
+    assert names.count() > 250_000 and len(dec._table_of(names, [5])) >= 1 << 21
+    true = 20 * 36
+    found = dec._suspects(d, names, [5])
+    assert true <= found.count() < true + 0.07 * 400 * 196
+    assert found.where("doc_id >= 1000").count() >= true
+    out = {r["doc_id"]: r for r in dec.decontaminate(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert all(out[1000 + i]["n_hit"] >= 40 and str(i) in out[1000 + i]["item_ids"] for i in range(20))
+    assert not any(out[i]["contaminated"] for i in range(400))
+
+
+def test_windows_that_all_items_share(spark):
+    """Item sets: every item of a shared window is listed, once."""
+    shared = " ".join(f"s{i}" for i in range(30))
+    items = [(i, f"{shared} own{i} " + " ".join(f"o{i}x{k}" for k in range(14))) for i in range(60)] + [(None, shared)]
+    docs = [(1, shared), (2, f"{shared} own7"), (3, "nothing here"), (4, None)]
+    windows = dec.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    of, sets = dec._item_sets(windows)
+    assert of.count() == windows.count() and of.select("set_id").distinct().count() == 61
+    out = {r["doc_id"]: r for r in dec.decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert out[1]["item_ids"] == sorted(str(i) for i in range(60)) and out[1]["n_hit"] == 30
+    assert out[2]["n_hit"] == 31 and out[3]["n_items"] == out[4]["n_items"] == 0

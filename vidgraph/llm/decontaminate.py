@@ -4,9 +4,10 @@ A window is 13 consecutive words of a benchmark item (an item of fewer words is
 one window).  A window occurs in a document where its words stand consecutively.
 
 1. Windows become sets of positioned shingles (5 words; a shorter window is one
-   shingle).  A fixed-size bitmap of the benchmark's shingle hashes travels in
-   the plan; positions of a document that miss it are dropped inside the row,
-   so only suspected shingles leave the text scan, with their exact words.
+   shingle).  A table of the benchmark's shingle hashes, about eight places for
+   each (``MAX_SLOTS`` at most), travels in the plan; positions of a document that
+   miss one of their two places are dropped inside the row, so only suspected
+   shingles leave the text scan, with their exact words.
 2. A join on the exact words leaves real benchmark shingles; their number of
    occurrences in the whole corpus is the global order (rarest first).
 3. A window that is contained as a whole must hold its rarest shingle, so the
@@ -19,7 +20,7 @@ one window).  A window occurs in a document where its words stand consecutively.
 Defined cases: a null or empty text has no words; null or wordless items give
 no window; an item id on several rows is one item; a null item id is never
 listed or counted, but its words hit; repeated document rows get equal results;
-columns of the documents that clash with the added ones are replaced.
+very long texts are searched whole; an empty table gives an empty table; columns of the documents that clash with the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 from vidgraph.llm.common import bind, broadcast_if_small, quoted, scratch, text_hash, without, words
 
 WINDOW, SHINGLE = 13, 5
-SLOTS = 1 << 18  # bytes of the filter in the plan, whatever the benchmark's size
+MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 24  # bytes of the table in the plan
 ADDED = ["n_words", "n_hit", "item_ids", "n_items", "contaminated"]
 OCCURRENCE = "doc_id {id}, xh bigint, n_words int, pos int, sid bigint"
 
@@ -54,11 +55,20 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     cut = bind(F.col("w"), lambda a: F.transform(
         _starts(F.greatest(F.size(a), F.lit(window)), window), lambda p: F.slice(a, p + 1, F.lit(window))))
     w = w.select("item", F.explode_outer(cut).alias("win"))
-    w = w.groupBy("win").agg(F.array_distinct(F.collect_list("item")).alias("items"))
+    w = w.groupBy("win").agg(F.array_sort(F.collect_set("item")).alias("items"))
     return scratch(w.select(F.monotonically_increasing_id().alias("window_id"), F.size("win").alias("len"),
                             "win", "items"), "windows")
 
 
+def _item_sets(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``window_id, set_id`` and ``set_id, item``: windows of the same items share a set,
+    so a document that holds many of them meets their items once."""
+    sets = windows.select("items").distinct().withColumn("set_id", F.monotonically_increasing_id())
+    sets = scratch(sets, "item-sets")
+    of = windows.select("window_id", "items").join(sets, "items").select("window_id", "set_id")
+    return scratch(of, "window-sets"), sets.select("set_id", F.explode("items").alias("item"))
+
+
 def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     """``window_id, len, off, size, sh`` for every shingle of every window."""
     size = F.least(F.col("len"), F.lit(shingle))
@@ -68,18 +78,26 @@ def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return windows.select("window_id", "len", size.alias("size"), F.posexplode_outer(parts).alias("off", "sh"))
 
 
-def _slot(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(SLOTS - 1).cast("bigint")).cast("int")
+def _slots(h: Column, slots: int) -> list[Column]:
+    """The two places of a hash."""
+    return [x.bitwiseAND(F.lit(slots - 1).cast("bigint")) for x in (h, F.shiftrightunsigned(h, 32))]
 
 
-def _filter_of(names: DataFrame, size: int) -> Column:
-    """One byte per slot, 01 where a benchmark shingle of ``size`` words falls;
-    at most ``SLOTS`` numbers reach the driver, whatever the benchmark's size."""
-    h = _hash(F.split("sh", " "), F.lit(0), size)
-    flags = bytearray(SLOTS)
-    for r in names.where(F.col("size") == size).select(_slot(h)).distinct().collect():
-        flags[r[0]] = 1
-    return F.lit(bytes(flags))
+def _table_of(names: DataFrame, sizes: list[int]) -> bytes:
+    """One byte per slot, 01 where a benchmark shingle falls; what reaches the driver
+    is a bitmap of at most ``MAX_SLOTS`` bits."""
+    slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << (8 * names.count() - 1).bit_length()))
+    h = F.coalesce(*[F.when(F.col("size") == s, _hash(F.split("sh", " "), F.lit(0), s)) for s in sizes])
+    at = names.select(F.explode(F.array(*_slots(h, slots))).alias("at"))
+    bits = at.groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
+    width = 1 << 15  # bits of one bitmap, lowest bit first
+    spread = [bytes(b >> i & 1 for i in range(8)) for b in range(256)]
+    flags = bytearray(max(slots, width))
+    for r in bits.collect():
+        start = (r["bucket"] - 1) * width
+        flags[start:start + width] = b"".join([spread[b] for b in r["bits"]])
+    return bytes(flags[:slots])
 
 
 def _occurrences(docs: DataFrame, names: DataFrame) -> DataFrame:
@@ -88,19 +106,28 @@ def _occurrences(docs: DataFrame, names: DataFrame) -> DataFrame:
     if not sizes:
         kind = docs.schema["doc_id"].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], OCCURRENCE.format(id=kind))
-    flags = {s: _filter_of(names, s) for s in sizes}
+    return scratch(_suspects(docs, names, sizes).join(broadcast_if_small(names.select("sh", "sid")), "sh").drop("sh").distinct(),
+                   "occurrences")
+
+
+def _suspects(docs: DataFrame, names: DataFrame, sizes: list[int]) -> DataFrame:
+    """``doc_id, xh, n_words, pos, sh`` of the shingles that the table lets through."""
+    held = _table_of(names, sizes)
+    flags, slots = F.lit(held), len(held)
 
     def suspected(w: Column, s: int) -> Column:
-        at = F.filter(_starts(F.size(w), s), lambda p: F.substring(
-            flags[s], _slot(_hash(w, p, s)) + 1, F.lit(1)) == F.lit(b"\x01"))
+        def hit(p: Column) -> Column:
+            one, two = [F.substring(flags, x.cast("int") + 1, F.lit(1)) == F.lit(b"\x01") for x in _slots(_hash(w, p, s), slots)]
+            return one & two
+
+        at = F.filter(_starts(F.size(w), s), hit)
         return F.transform(at, lambda p: F.struct(
             F.size(w).alias("n_words"), p.alias("pos"), F.array_join(F.slice(w, p + 1, F.lit(s)), " ").alias("sh")))
 
     found = bind(words(F.col("text")), lambda w: F.concat(*[suspected(w, s) for s in sizes]))
     rows = docs.select("doc_id", text_hash(F.col("text")).alias("xh"), F.explode_outer(found).alias("o"))
-    rows = rows.select("doc_id", "xh", "o.*").where(F.col("sh").isNotNull())
     # Repeated document rows give equal occurrences: one of each is enough.
-    return scratch(rows.join(broadcast_if_small(names.select("sh", "sid")), "sh").drop("sh").distinct(), "occurrences")
+    return rows.select("doc_id", "xh", "o.*").where(F.col("sh").isNotNull())
 
 
 def window_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -146,8 +173,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     word in ``ratio`` is hit.  No row is dropped."""
     windows = benchmark_windows(benchmark, window)
     hits = scratch(window_hits(docs, windows, shingle), "hits")
-    items = (hits.select("doc_id", "xh", "window_id").distinct()
-             .join(broadcast_if_small(windows.select("window_id", F.explode("items").alias("item"))), "window_id")
+    of, sets = _item_sets(windows)
+    items = (hits.join(broadcast_if_small(of), "window_id").select("doc_id", "xh", "set_id").distinct()
+             .join(broadcast_if_small(sets), "set_id")
              .groupBy("doc_id", "xh").agg(F.array_sort(F.collect_set("item")).alias("item_ids")))
     found = _covered(hits).alias("a").join(
         items.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.xh") == F.col("b.xh")), "left")
