@@ -61,7 +61,7 @@ def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     share = F.lit(3.0 * rows) / F.greatest(F.approx_count_distinct("h", 0.05), F.lit(1))
     share = known.groupBy("lang").agg(F.least(share, F.lit(1.0)).alias("share"))
     below = F.col("h").cast("double") <= F.lit(-(2.0 ** 63)) + F.lit(2.0 ** 64) * F.col("share")
-    near = known.join(share, "lang").where(below)
+    near = known.join(F.broadcast(share), "lang").where(below)  # one row a label, each of which has its dictionary anyway
     picked = near.select("lang", "h").distinct()  # about 3 * rows a language
     picked = picked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     picked = picked.where(F.col("n") <= rows).select("lang", "h")
