@@ -22,7 +22,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from vidgraph.operators import influence
-    from vidgraph.session import local_session
+    from vidgraph.session import local_session, scratch_path
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
@@ -40,7 +40,8 @@ def main() -> None:
     )
     salt_size, parts = 20_000, 8
     dedup = influence.distinct_edges(v, e).persist()
-    vx = influence.vertex_salts(v, dedup, salt_size=salt_size).persist()
+    state = influence._State(spark, scratch_path(spark, "skew_check"))
+    vx, _ = state.store(influence.vertex_salts(v, dedup, salt_size=salt_size), "vertices")  # numbers are stored before use
     w = influence.weighted_edges(dedup, vx).persist()
     hub = dedup.where("src = 'o0'").count()
     hub_buckets = vx.where("id = 'o0'").first()["salts"]
@@ -50,7 +51,7 @@ def main() -> None:
     def sizes(df):
         return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
 
-    print("partition sizes with salt   ", sizes(influence._partitioned_checkpoint(w, parts, ["src", "salt"])))
+    print("partition sizes with salt   ", sizes(w.repartition(parts, "src", "salt")))
     print("partition sizes without salt", sizes(w.repartition(parts, "src")))
     t = time.perf_counter()
     res = influence.pagerank(v.withColumnRenamed("id", "videoId"), e.toDF("srcVideoId", "dstVideoId"),
