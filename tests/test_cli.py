@@ -51,3 +51,22 @@ def test_cli_to_csv(spark, tmp_dir, capsys):
     videos = {r.videoId: r for r in tables.read_csv(spark, f"{tmp_dir}/v", VIDEOS_TEXT).collect()}
     assert videos["v1"].uploader == "u, x" and videos["v2"].uploader is None
     assert sorted(map(tuple, tables.read_csv(spark, f"{tmp_dir}/r", RELATED_TEXT).collect())) == [("v1", "v2")] * 2
+
+
+def test_cli_aggregates_check_and_cluster(spark, tmp_dir, capsys):
+    line = "v{0}\tu\t1\t{1}\t60\t{2}\t4.5\t7\t3\tv1\n"
+    _write(f"{tmp_dir}/a/x/0.tsv", line.format(1, "Music", 10) + line.format(2, "Film", 20))
+    _write(f"{tmp_dir}/b/x/0.tsv", line.format(1, "Film", 30))
+    cat = f"{tmp_dir}/cat"
+    for crawl in "ab":
+        main(["import", "--crawl", f"{tmp_dir}/{crawl}", "--catalog", cat, "--aggregates"])
+    capsys.readouterr()
+    main(["summary", "--catalog", cat])
+    out = capsys.readouterr().out
+    assert "Music" not in out and "Film" in out and "50.0" in out
+    main(["check", "--catalog", cat])
+    assert capsys.readouterr().out.count("|           0|") == 1
+    main(["pagerank", "--catalog", cat, "--results", f"{tmp_dir}/pr", "--state", f"{tmp_dir}/pr_state"])
+    assert "pagerank" in capsys.readouterr().out and not os.path.exists(f"{tmp_dir}/pr_state")
+    main(["cluster", "--catalog", cat, "--out", f"{tmp_dir}/curve"])
+    assert spark.read.parquet(f"{tmp_dir}/curve").count() == 2

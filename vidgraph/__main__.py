@@ -2,13 +2,17 @@
 
 Commands
   to-csv        --crawl DIR [--crawl DIR ...] --videos-out DIR --related-out DIR [--layout files|folders]
-  import        --crawl DIR [--crawl DIR ...] --catalog DIR [--layout folders|files] [--skip FILE]
+  import        --crawl DIR [--crawl DIR ...] --catalog DIR [--layout folders|files] [--skip FILE] [--aggregates]
+  summary       --catalog DIR   (the category summary that imports with --aggregates keep up to date)
+  check         --catalog DIR   (duplicate IDs, duplicate edges, edges to unknown videos)
+  cluster       --catalog DIR --out DIR   (a copy of the videos whose range searches read less)
   import-csv    --videos CSV --related CSV --catalog DIR [--skip FILE]   (FILE: one video ID per line)
   network-csv   --videos CSV --related CSV --out DIR
   network       --catalog DIR --out DIR
   top           --catalog DIR --field F [--k 10]
   range         --catalog DIR --field F --start S --end E [--n 10]
-  pagerank      --catalog DIR --results DIR [--reset 0.15] [--tol 0.01] [--top 20]
+  pagerank      --catalog DIR --results DIR [--reset 0.15] [--tol 0.01] [--top 20] [--state DIR]
+                (DIR keeps a run that breaks off; the same command goes on from there)
   results-top   --results DIR [--k 10]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (spark-submit or
@@ -39,6 +43,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--catalog", required=True)
     s.add_argument("--layout", choices=["folders", "files"], default="folders")
     s.add_argument("--skip")
+    s.add_argument("--aggregates", action="store_true")
+    for name in ("summary", "check"):
+        sub.add_parser(name).add_argument("--catalog", required=True)
+    s = sub.add_parser("cluster")
+    s.add_argument("--catalog", required=True)
+    s.add_argument("--out", required=True)
     s = sub.add_parser("import-csv")
     s.add_argument("--videos", required=True)
     s.add_argument("--related", required=True)
@@ -67,6 +77,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--reset", type=float, default=0.15)
     s.add_argument("--tol", type=float, default=0.01)
     s.add_argument("--top", type=int, default=20)
+    s.add_argument("--state")
     s = sub.add_parser("results-top")
     s.add_argument("--results", required=True)
     s.add_argument("--k", type=int, default=10)
@@ -94,6 +105,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from vidgraph.operators import influence, search
     from vidgraph.plans import jobs
+    from vidgraph.plans.network_state import NetworkState
     from vidgraph.sources import tables
 
     spark = SparkSession.builder.appName(f"vidgraph-{args.command}").getOrCreate()
@@ -101,8 +113,16 @@ def main(argv: list[str] | None = None) -> int:
         jobs.crawl_to_csv(spark, args.crawl, args.videos_out, args.related_out, layout=args.layout)
         print(f"wrote {args.videos_out} and {args.related_out}")
     elif args.command == "import":
-        _print_report(jobs.CatalogTables(spark, args.catalog).import_crawl(
+        store = jobs.CatalogTables(spark, args.catalog)
+        _print_report((NetworkState(store) if args.aggregates else store).import_crawl(
             args.crawl, layout=args.layout, skip_ids=spark.read.text(args.skip) if args.skip else None), args.catalog)
+    elif args.command == "summary":
+        NetworkState(jobs.CatalogTables(spark, args.catalog)).category_summary().show(1000, truncate=False)
+    elif args.command == "check":
+        jobs.CatalogTables(spark, args.catalog).constraint_report().show()
+    elif args.command == "cluster":
+        jobs.cluster_job(_catalogue(spark, args.catalog).videos, args.out)
+        print(f"clustered videos written to {args.out}")
     elif args.command == "import-csv":
         _print_report(jobs.CatalogTables(spark, args.catalog).import_csv(
             args.videos, args.related, skip_ids=spark.read.text(args.skip) if args.skip else None), args.catalog)
@@ -119,7 +139,7 @@ def main(argv: list[str] | None = None) -> int:
                             args.n).show(max(args.n, 1), truncate=False)
     elif args.command == "pagerank":
         top = jobs.influence_job(_catalogue(spark, args.catalog), args.results, reset=args.reset, tol=args.tol,
-                                 top=args.top)
+                                 top=args.top, state_path=args.state)
         top.show(args.top, truncate=False)
     elif args.command == "results-top":
         stored = tables.read_table(spark, args.results, schema=influence.RESULT_SCHEMA)

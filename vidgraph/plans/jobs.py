@@ -68,13 +68,15 @@ def cluster_job(videos: DataFrame, path: str, *, row_group_bytes: int = 16 << 20
 
 
 def influence_job(cat: Catalogue, results_path: str, *, reset: float = 0.15, tol: float = 0.01,
-                  top: int = 20, format: str = "parquet", options: dict | None = None) -> DataFrame:
+                  top: int = 20, format: str = "parquet", options: dict | None = None,
+                  state_path: str | None = None) -> DataFrame:
     """PageRank over the catalogue, stored at ``results_path``; returns the top list.
+    With ``state_path`` a run that broke off is resumed by the same call.
 
     The catalogue's edges are distinct and endpoint-checked by construction, so
     PageRank skips re-checking them.
     """
-    pr = influence.pagerank(cat.videos, cat.related, reset, tol, trusted_edges=True)
+    pr = influence.pagerank(cat.videos, cat.related, reset, tol, trusted_edges=True, state_path=state_path)
     tables.write_table(pr, results_path, format=format, options=options)
     stored = tables.read_table(cat.videos.sparkSession, results_path, schema=influence.RESULT_SCHEMA,
                                format=format, options=options)
