@@ -113,9 +113,9 @@ def vectors():
     return rows
 
 
-@pytest.mark.parametrize("sizes", [(256, 4096, 1024), (8, 16, 4)])
+@pytest.mark.parametrize("sizes", [(256, 4096, 1024, 400, 256), (8, 16, 4, 400, 256), (8, 16, 4, 0, 4)])
 def test_embeddings_brute_force(spark, monkeypatch, sizes):
-    for name, value in zip(("CELL", "CHUNK", "BLOCK"), sizes):
+    for name, value in zip(("CELL", "CHUNK", "BLOCK", "COPY", "FAN"), sizes):
         monkeypatch.setattr(embeddings, name, value)
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").withColumn("kept", F.lit("clash"))
