@@ -46,7 +46,7 @@ THRESHOLD = 0.93
 CELL, FAN, SAMPLE, ROUNDS = 512, 256, 8192, 5
 CHUNK, BLOCK, BLOCK_BYTES = 4096, 1 << 15, 16 << 20
 SCORES = 1 << 22  # products held at once
-COPY = 400  # a copied row costs about as much as this many products
+COPY = 2000  # a copied row (written, shuffled, read) costs about as much as this many products
 SHRINK = 0.7  # a cell is split again only below this share of what it was split from
 # One level of a row's path: the cell it stands in, its home, the cells it visits (one bit each).
 LEVEL = np.dtype([("cell", "<i2"), ("home", "<i2"), ("seen", "u1", 32)])
